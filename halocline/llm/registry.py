@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from halocline.llm.decontamination import op3_decontamination
 from halocline.llm.packing import op5_packing
+from halocline.llm.simhash import op8_simhash
 
 QUERIES = {
+    "op3_decontamination": op3_decontamination,
     "op5_packing": op5_packing,
+    "op8_simhash": op8_simhash,
 }
 
 ORACLE_SQL: dict[str, str] = {}
