@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from halocline.llm import exact_dedup
 from halocline.llm.decontamination import op3_decontamination
 from halocline.llm.packing import op5_packing
 from halocline.llm.simhash import op8_simhash
@@ -9,7 +10,8 @@ from halocline.llm.simhash import op8_simhash
 QUERIES = {
     "op3_decontamination": op3_decontamination,
     "op5_packing": op5_packing,
+    "op6_exact_dedup": exact_dedup.op6_exact_dedup,
     "op8_simhash": op8_simhash,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = dict(exact_dedup.ORACLE_SQL)
