@@ -5,6 +5,7 @@ from __future__ import annotations
 from halocline.llm import exact_dedup
 from halocline.llm.decontamination import op3_decontamination
 from halocline.llm.packing import op5_packing
+from halocline.llm.quality import op10_quality
 from halocline.llm.simhash import op8_simhash
 
 QUERIES = {
@@ -12,6 +13,7 @@ QUERIES = {
     "op5_packing": op5_packing,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
     "op8_simhash": op8_simhash,
+    "op10_quality": op10_quality,
 }
 
 ORACLE_SQL: dict[str, str] = dict(exact_dedup.ORACLE_SQL)
