@@ -6,9 +6,11 @@ from halocline.llm import exact_dedup
 from halocline.llm.decontamination import op3_decontamination
 from halocline.llm.packing import op5_packing
 from halocline.llm.quality import op10_quality
+from halocline.llm.secret_scan import op1_secret_scan
 from halocline.llm.simhash import op8_simhash
 
 QUERIES = {
+    "op1_secret_scan": op1_secret_scan,
     "op3_decontamination": op3_decontamination,
     "op5_packing": op5_packing,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
