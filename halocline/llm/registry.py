@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from halocline.llm import exact_dedup
+from halocline.llm import exact_dedup, url_filter
 from halocline.llm.decontamination import op3_decontamination
 from halocline.llm.packing import op5_packing
 from halocline.llm.quality import op10_quality
@@ -12,10 +12,11 @@ from halocline.llm.simhash import op8_simhash
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op3_decontamination": op3_decontamination,
+    "op4_url_filter": url_filter.op4_url_filter,
     "op5_packing": op5_packing,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
     "op8_simhash": op8_simhash,
     "op10_quality": op10_quality,
 }
 
-ORACLE_SQL: dict[str, str] = dict(exact_dedup.ORACLE_SQL)
+ORACLE_SQL: dict[str, str] = exact_dedup.ORACLE_SQL | url_filter.ORACLE_SQL
