@@ -8,6 +8,7 @@ from halocline.llm.packing import op5_packing
 from halocline.llm.quality import op10_quality
 from halocline.llm.secret_scan import op1_secret_scan
 from halocline.llm.simhash import op8_simhash
+from halocline.llm.toxicity import op7_toxicity
 
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
@@ -15,6 +16,7 @@ QUERIES = {
     "op4_url_filter": url_filter.op4_url_filter,
     "op5_packing": op5_packing,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
+    "op7_toxicity": op7_toxicity,
     "op8_simhash": op8_simhash,
     "op10_quality": op10_quality,
 }
