@@ -5,6 +5,7 @@ from __future__ import annotations
 from halocline.llm import exact_dedup, url_filter
 from halocline.llm.decontamination import op3_decontamination
 from halocline.llm.packing import op5_packing
+from halocline.llm.pii import op9_pii
 from halocline.llm.quality import op10_quality
 from halocline.llm.secret_scan import op1_secret_scan
 from halocline.llm.simhash import op8_simhash
@@ -18,6 +19,7 @@ QUERIES = {
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
     "op7_toxicity": op7_toxicity,
     "op8_simhash": op8_simhash,
+    "op9_pii": op9_pii,
     "op10_quality": op10_quality,
 }
 
