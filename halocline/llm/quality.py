@@ -26,10 +26,10 @@ from pyspark.sql import functions as F
 from halocline.llm.common import in_train_folds, local_text, read_table, small_batches, word_hashes
 
 #: Labelled documents that the model is fitted on, at most; chosen by a hash of their id.
-MAX_DOCS = 4_000
+MAX_DOCS = 2_000
 THRESHOLD = 0.7
 OWN = 13  # features of a line itself
-STEPS = 150
+STEPS = 100
 
 CLASS = np.zeros((6, 256), bool)  # letters, capitals, !, |, marks, digits
 CLASS[0, 65:91] = CLASS[0, 97:123] = CLASS[0, 128:] = True
@@ -112,15 +112,23 @@ def with_neighbours(x: np.ndarray, row: np.ndarray) -> np.ndarray:
     return out
 
 
-def prefix_products(m: np.ndarray) -> np.ndarray:
-    """Products m[0] .. m[t] of 2 x 2 matrices for every t, each scaled to a largest entry of 1."""
-    p = m / m.max(axis=(1, 2), keepdims=True)
+def prefix_products(m: np.ndarray, longest: int) -> np.ndarray:
+    """Products of the last ``longest`` or more 2 x 2 matrices up to each place, scaled to a largest entry of 1."""
+    p = scaled(m.transpose(1, 2, 0))
     step = 1
-    while step < len(p):
-        q = np.einsum("tij,tjk->tik", p[:-step], p[step:])
-        p = np.concatenate((p[:step], q / q.max(axis=(1, 2), keepdims=True)))
+    while step < longest:
+        l, r = p[:, :, :-step], p[:, :, step:]
+        q = np.concatenate((p[:, :, :step], np.empty_like(r)), axis=2)
+        for i in (0, 1):
+            for k in (0, 1):
+                q[i, k, step:] = l[i, 0] * r[0, k] + l[i, 1] * r[1, k]
+        p = scaled(q)
         step *= 2
-    return p
+    return p.transpose(2, 0, 1)
+
+
+def scaled(p: np.ndarray) -> np.ndarray:
+    return p / np.maximum(np.maximum(p[0, 0], p[0, 1]), np.maximum(p[1, 0], p[1, 1]))
 
 
 def marginals(scores: np.ndarray, row: np.ndarray, trans: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -134,11 +142,12 @@ def marginals(scores: np.ndarray, row: np.ndarray, trans: np.ndarray) -> tuple[n
     same[1:] = row[1:] == row[:-1]
     move = np.exp(trans - trans.max())
     m = np.where(same[:, None, None], move[None], 1.0) * emit[:, None, :]
-    alpha = prefix_products(m)[:, 0, :]
+    longest = int(np.diff(np.flatnonzero(np.append(~same, True))).max())  # a document's first line starts afresh
+    alpha = prefix_products(m, longest)[:, 0, :]
     back = np.ones((n, 2, 2))
     back[:-1] = np.where(same[1:, None, None], m[1:], 1.0)
     # suffix products are prefix products of the transposes, taken from the end
-    beta = prefix_products(back[::-1].transpose(0, 2, 1))[::-1].transpose(0, 2, 1).sum(axis=2)
+    beta = prefix_products(back[::-1].transpose(0, 2, 1), longest)[::-1].transpose(0, 2, 1).sum(axis=2)
     good = alpha * beta
     good /= good.sum(axis=1, keepdims=True)
     pair = np.zeros((n, 2, 2))
