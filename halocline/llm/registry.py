@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from halocline.llm import exact_dedup, url_filter
 from halocline.llm.decontamination import op3_decontamination
+from halocline.llm.html_text import op2_html_text
 from halocline.llm.packing import op5_packing
 from halocline.llm.pii import op9_pii
 from halocline.llm.quality import op10_quality
@@ -13,6 +14,7 @@ from halocline.llm.toxicity import op7_toxicity
 
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
+    "op2_html_text": op2_html_text,
     "op3_decontamination": op3_decontamination,
     "op4_url_filter": url_filter.op4_url_filter,
     "op5_packing": op5_packing,
