@@ -36,13 +36,52 @@ CACHE_WORDS = 600_000
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, tier int, step_id long"
 
 
+class Slots(dict):
+    """Numbers strings in the order in which they are first asked for."""
+
+    def __init__(self) -> None:
+        super().__init__({"": 0})
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = slot = len(self)
+        self.new.append(word)
+        return slot
+
+    def take_new(self) -> list[str]:
+        new, self.new = self.new, []
+        return new
+
+
+class Ragged:
+    """Rows of ids in one array."""
+
+    def __init__(self) -> None:
+        self.flat = np.zeros(0, np.uint32)
+        self.lens = np.zeros(1, np.int64)
+        self.at = np.zeros(1, np.int64)
+
+    def extend(self, flat: np.ndarray, lens: np.ndarray) -> None:
+        self.at = np.concatenate((self.at, len(self.flat) + np.cumsum(lens) - lens))
+        self.flat, self.lens = np.concatenate((self.flat, flat)), np.concatenate((self.lens, lens))
+
+    def rows(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The rows of these slots one after the other, and where each ends."""
+        lens = self.lens[slots]
+        ends = np.cumsum(lens)
+        return self.flat[np.repeat(self.at[slots] - ends + lens, lens) + np.arange(ends[-1] if len(ends) else 0)], ends
+
+
 class WordIds:
     """ids of whole texts, each distinct space-separated string encoded once.
 
     The vocabulary's pre-tokenizer never joins text over white space and its normalizer works on single
-    characters around a space, so a text's ids are those of its space-separated strings in order.
+    characters around a space, so a text's ids are those of its space-separated strings in order.  A string of
+    Latin-1 letters and closing punctuation is two pre-tokens, which are encoded once each.
     """
 
+    CLOSING = ".,!?;:|"
+
     def __init__(self, path: str, keep: int = CACHE_WORDS) -> None:
         from tokenizers import Tokenizer
 
@@ -56,64 +95,61 @@ class WordIds:
         self.clear()
 
     def clear(self) -> None:
-        self.slots: dict[str, int] = {"": 0}
-        self.cores: dict[str, np.ndarray] = {}
-        self.parts: list[np.ndarray] = [np.zeros(0, np.uint32)]
-        self.lens = np.zeros(1, np.int64)
-        self.at = np.zeros(1, np.int64)
-        self.flat = np.zeros(0, np.uint32)
-
-    def encode_cores(self, cores: list[str]) -> None:
-        """Lower-case alphabetic Latin-1 strings: each is one pre-token, which ends with its only </w>."""
-        for k in range(0, len(cores), 500):
-            some = cores[k : k + 500]
-            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, np.uint32)
-            stops = np.flatnonzero(self.ends[ids]) + 1
-            self.cores.update(zip(some, np.split(ids, stops[:-1]), strict=True))
+        self.words, self.word_ids = Slots(), Ragged()
+        self.parts, self.part_ids = Slots(), Ragged()
+
+    def learn_parts(self, parts: list[str], latin: bool) -> None:
+        alone = [p.isalpha() and (latin or max(p) < "Ā") for p in parts]
+        letters = [p for p, a in zip(parts, alone, strict=True) if a]
+        found: list[np.ndarray] = []
+        for k in range(0, len(letters), 500):  # each is one pre-token, and ends with its only </w>
+            found.append(np.array(self.tokenizer.encode(" ".join(letters[k : k + 500]), add_special_tokens=False).ids, np.uint32))
+        flat = np.concatenate(found) if found else np.zeros(0, np.uint32)
+        stops = np.flatnonzero(self.ends[flat]) + 1
+        assert len(stops) == len(letters)
+        others = [e.ids for e in self.tokenizer.encode_batch([p for p, a in zip(parts, alone, strict=True) if not a], add_special_tokens=False)]
+        # in the order of their slots: letters and others are laid down apart, then gathered
+        both = Ragged()
+        both.extend(np.concatenate((flat, np.array([i for ids in others for i in ids], np.uint32))), np.concatenate((np.diff(stops, prepend=0), np.array([len(ids) for ids in others], np.int64))))
+        alone = np.array(alone, bool)
+        slots = np.where(alone, np.cumsum(alone), len(letters) + np.cumsum(~alone))
+        ids, ends = both.rows(slots)
+        self.part_ids.extend(ids, np.diff(ends, prepend=0))
 
     def learn(self, words: list[str]) -> None:
-        plans, cores, odd = [], {}, {}
-        for w in words:
-            low = w.lower()
-            core = low.rstrip(".,!?;:|")
-            if core.isalpha() and max(core) < "Ā" and max(low) < "Ā":
-                tail = low[len(core) :]
-                if core not in self.cores:
-                    cores[core] = None
-                if tail and tail not in self.cores:
-                    odd[tail] = None
-                plans.append((core, tail))
+        joined = "\n".join(words)  # no word has a line break
+        try:
+            joined.encode("latin-1")
+            lows = joined.lower().split("\n")
+        except UnicodeEncodeError:
+            lows = [w.lower() if max(w) < "Ā" else "" for w in words]
+        parts: list[str] = []
+        for word, low in zip(words, lows, strict=True):
+            core = low.rstrip(self.CLOSING)
+            if core.isalpha():
+                parts += (core, low[len(core) :])
             else:
-                if w not in self.cores:
-                    odd[w] = None
-                plans.append((w, ""))
-        self.encode_cores(list(cores))
-        odd_list = list(odd)
-        for w, e in zip(odd_list, self.tokenizer.encode_batch(odd_list, add_special_tokens=False), strict=True):
-            self.cores[w] = np.array(e.ids, np.uint32)
-        new = []
-        for w, (core, tail) in zip(words, plans, strict=True):
-            self.slots[w] = len(self.parts) + len(new)
-            new.append(np.concatenate((self.cores[core], self.cores[tail])) if tail else self.cores[core])
-        lens = np.array([len(x) for x in new], np.int64)
-        self.parts += new
-        self.lens = np.concatenate((self.lens, lens))
-        self.at = np.concatenate((self.at, len(self.flat) + np.cumsum(lens) - lens))
-        self.flat = np.concatenate((self.flat, *new))
+                parts += (word, "")
+        slots = np.fromiter(map(self.parts.__getitem__, parts), np.int64, len(parts))
+        if new := self.parts.take_new():
+            self.learn_parts(new, joined.isascii() or max(joined) < "Ā")
+        ids, ends = self.part_ids.rows(slots)
+        self.word_ids.extend(ids, np.diff(ends[1::2], prepend=0))
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        if len(self.slots) > self.keep:
+        if len(self.words) > self.keep:
             self.clear()
-        words = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
-        flat = [w for ws in words for w in ws]
-        if new := [w for w in dict.fromkeys(flat) if w not in self.slots]:
+        counts, flat = [], []
+        for t in texts:
+            words = t.replace("\n", " ").split(" ") if t else []
+            counts.append(len(words))
+            flat += words
+        slots = np.fromiter(map(self.words.__getitem__, flat), np.int64, len(flat))
+        if new := self.words.take_new():
             self.learn(new)
-        slots = np.fromiter(map(self.slots.__getitem__, flat), np.int64, len(flat))
-        lens = self.lens[slots]
-        ends = np.cumsum(lens)
-        ids = self.flat[np.repeat(self.at[slots] - ends + lens, lens) + np.arange(ends[-1] if len(ends) else 0)]
-        bounds = np.concatenate(([0], ends))[np.cumsum([len(ws) for ws in words])]
-        return np.split(ids, bounds[:-1])
+        ids, ends = self.word_ids.rows(slots)
+        stops = np.concatenate(([0], ends))[np.cumsum(counts)].tolist()
+        return [ids[a:b] for a, b in zip([0, *stops], stops, strict=False)]
 
 
 class TierPacker:
