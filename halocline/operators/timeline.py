@@ -9,15 +9,15 @@ from pyspark.sql import functions as F
 STEP_NAMES = {3600: "1h", 1800: "30m"}
 
 
-def step_seconds(time: str = "time") -> Column:
-    """Microsecond-exact seconds since 1970 of a timestamp, with or without a zone."""
-    return F.unix_micros(F.col(time).cast("timestamp")) / 1_000_000
+def micros(time: str = "time") -> Column:
+    """Microseconds since 1970 of a timestamp, with or without a zone."""
+    return F.unix_micros(F.col(time).cast("timestamp"))
 
 
 def deltas(df: DataFrame, keys: list[str], time: str = "time", order: list[str] | None = None) -> DataFrame:
     """df with ``prev_time`` and ``delta_s``, the seconds since the row before in each series."""
     w = Window.partitionBy(*keys).orderBy(time, *(order or []))
-    return df.withColumn("prev_time", F.lag(time).over(w)).withColumn("delta_s", step_seconds(time) - step_seconds("prev_time"))
+    return df.withColumn("prev_time", F.lag(time).over(w)).withColumn("delta_s", (micros(time) - micros("prev_time")) / 1_000_000)
 
 
 def time_report(df: DataFrame, keys: list[str], time: str = "time", order: list[str] | None = None) -> DataFrame:

@@ -67,11 +67,11 @@ def layer_array_stats(spark, sf):
     return table(spark, sf, "embeddings").select(F.col("vec_id").alias("face_id"), *[(F.round(c, 6) + 0.0).alias(f"layer_{n}") for n, c in stats.items()])
 
 
-@REG.add("depth_average", f"""WITH {VELOCITY_SQL} SELECT row_id, round(avg(u), 8) + 0.0 AS u_depth_avg, round(avg(v), 8) + 0.0 AS v_depth_avg,
-    round(avg(to_direction), 8) + 0.0 AS to_direction_depth_avg FROM flow GROUP BY row_id""")
+@REG.add("depth_average", f"""WITH {VELOCITY_SQL} SELECT row_id, round(avg(u), 10) + 0.0 AS u_depth_avg, round(avg(v), 10) + 0.0 AS v_depth_avg,
+    round(avg(to_direction), 10) + 0.0 AS to_direction_depth_avg FROM flow GROUP BY row_id""")
 def depth_average(spark, sf):
     out = summary.depth_average(derive.add_flow(velocity(spark, sf)), ["row_id"], ["u", "v", "to_direction"])
-    return rounded(out, *out.columns[1:], digits=8)
+    return rounded(out, *out.columns[1:], digits=10)
 
 
 @REG.add("face_center_mean", """
