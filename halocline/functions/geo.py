@@ -13,6 +13,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from halocline.functions.flow import ColumnOrName, as_col
 
@@ -154,7 +155,7 @@ def geodesic_metres(lat1: np.ndarray, lon1: np.ndarray, lat2: np.ndarray, lon2:
     return np.where(settled, out, sphere)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def geodesic_m(parts: Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     """WGS84 metres between (lat1, lon1) and (lat2, lon2), vectorised over Arrow batches."""
     for lat1, lon1, lat2, lon2 in parts:

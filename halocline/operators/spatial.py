@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from halocline.functions import geo, names
 
@@ -234,9 +235,9 @@ def split_at_dateline(ring: list[tuple[float, float]], gap: float = 0.001) -> li
 
 def split_dateline(df: DataFrame, corners: list[tuple[str, str]]) -> DataFrame:
     """A row per part of each triangle, with split_part (from 1) and split_total; most have one part."""
-    kind = "array<array<struct<lon:double,lat:double>>>"
+    point = T.StructType([T.StructField("lon", T.DoubleType()), T.StructField("lat", T.DoubleType())])
 
-    @F.pandas_udf(kind)
+    @F.pandas_udf(T.ArrayType(T.ArrayType(point)))
     def split(rings: pd.Series) -> pd.Series:
         return pd.Series([[[{"lon": x, "lat": y} for x, y in part] for part in split_at_dateline([(p["lon"], p["lat"]) for p in ring])] for ring in rings])
 
