@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from halocline.llm.common import read_table, shared_dir, text_or_empty
+from halocline.llm.common import materialize, read_table, shared_dir, text_or_empty
 
 
 @dataclass(frozen=True)
@@ -124,7 +124,7 @@ class BlobLedger:
         at = f"{self.path}/scan-{len(self.parts):05d}"
         update_ledger(versions, self.read(), self.rules).write.parquet(at)
         self.parts.append(at)
-        return join_back(versions, findings_of(self.read(), self.rules))
+        return join_back(versions, materialize(findings_of(self.read(), self.rules)))  # written, so that Spark may split a hot blob's paths
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

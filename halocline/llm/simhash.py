@@ -155,8 +155,11 @@ def keyed(fps: DataFrame, kinds: list) -> DataFrame:
 
 
 def crowded(shards: DataFrame) -> DataFrame:
-    """Shards of more than one fingerprint, with their size; a hot shard is one row per task before the shuffle."""
-    sizes = shards.groupBy("kind", "key").agg(F.count("*").alias("size")).where("size > 1")
+    """Shards of more than one fingerprint, with their size; a hot shard is one row per task before the shuffle.
+
+    The sizes are written first, so that Spark may split a hot shard's rows in the join.
+    """
+    sizes = materialize(shards.groupBy("kind", "key").agg(F.count("*").alias("size")).where("size > 1"))
     return shards.join(sizes.hint("merge"), ["kind", "key"])
 
 
@@ -170,6 +173,8 @@ def links(fps: DataFrame, radius: int = RADIUS, shard_limit: int = SHARD_LIMIT)
     others = [tuple(x for x in range(4) if x not in p) for p in PAIRS]
     rest = F.element_at(F.array(*[F.shiftleft(block(fp, c, 16), 16).bitwiseOR(block(fp, d, 16)) for c, d in others]), (F.col("kind") + 1).cast("int"))
     large = first.where(F.col("size") > shard_limit).withColumn("rest", rest)
+    if large.isEmpty():
+        return small
     finer = [(F.col("kind") * 6 + k + 6, F.shiftleft(F.col("key"), 16).bitwiseOR(F.shiftleft(block(F.col("rest"), a, 8), 8).bitwiseOR(block(F.col("rest"), b, 8)))) for k, (a, b) in enumerate(PAIRS)]
     return small.unionByName(tree_links(crowded(keyed(large, finer)).drop("size"), radius))
 
@@ -181,18 +186,18 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b): the least node of its component.
 
     Each round points every node, and the roots it has met, at the least node seen next to them, until nothing
-    moves; a round's result is written to the shared folder.  Rows are aggregated before each shuffle, so a node
-    with very many neighbours stays cheap.
+    moves.  Rows are aggregated before each shuffle, and both sides of each join are written to the shared folder
+    first, so that Spark may split the rows of a node with very many neighbours.
     """
     pairs = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     pairs = materialize(pairs)
     while True:
         # large star: larger neighbours point at the least of the node and its neighbours
         both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
-        large = both.where("b > a").join(least.hint("merge"), "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        least = materialize(both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m")))
+        large = materialize(both.where("b > a").join(least.hint("merge"), "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct())
         # small star: the node and its smaller neighbours point at the least of them
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
+        low = materialize(large.groupBy("a").agg(F.min("b").alias("m")))
         small = large.join(low.hint("merge"), "a").select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b")).distinct()
         after = materialize(small)
         done = after.groupBy("a").agg(F.count("*").alias("n")).where("n > 1").isEmpty() and after.select(F.col("b").alias("a")).join(after, "a", "left_semi").isEmpty()
@@ -208,9 +213,9 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, shard_limit: int = SH
     marked = materialize(fingerprints(docs), shared_dir(spark))
     distinct = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
     roots = components(links(distinct.select("fp"), radius, shard_limit))
-    named = distinct.join(roots.hint("merge"), distinct["fp"] == roots["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"), "first_id")
-    ids = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    table = named.join(ids.hint("merge"), "root").select("fp", "component_id")
+    named = materialize(distinct.join(roots.hint("merge"), distinct["fp"] == roots["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"), "first_id"))
+    ids = materialize(named.groupBy("root").agg(F.min("first_id").alias("component_id")))
+    table = materialize(named.join(ids.hint("merge"), "root").select("fp", "component_id"))
     return marked.join(table.hint("merge"), "fp").select("doc_id", "fp", "component_id")
 
 
