@@ -280,39 +280,42 @@ def path_distance(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     return df.withColumn("step_", F.coalesce(step, F.lit(0.0))).withColumn("distance_km", F.sum("step_").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))).drop("step_")
 
 
-def hotspots(faces: DataFrame, value: str, top_n: int, spacing_m: float, relax: float = 0.8, least: float = 0.3, pool: int = 20_000) -> DataFrame:
+def hotspots(faces: DataFrame, value: str, top_n: int, spacing_m: float, relax: float = 0.8, least: float = 0.3, pool: int = 5_000) -> DataFrame:
     """The ``top_n`` highest faces that keep ``spacing_m`` from each other, greedily; the spacing is relaxed by
     ``relax`` down to ``least`` of it while too few are found.
 
-    The greedy choice is a loop over a top-k of ``pool`` candidates.  If that pool is used up, it is doubled and
-    the choice made anew, so the result is that of all faces.
+    Candidates come in pools from the top; the next pool leaves out what lies too near to faces chosen already.
+    So the choice is that over all faces, and the driver holds one pool.
     """
     spark = faces.sparkSession
-    ranked = faces.where(F.col(value).isNotNull()).select("face_id", "lat", "lon", F.col(value).cast("double").alias(value)).orderBy(F.desc(value), "face_id")
-    total = None
+    ranked = faces.where(F.col(value).isNotNull()).select("face_id", "lat", "lon", F.col(value).cast("double").alias("v_"))
+    spacing = spacing_m
     while True:
-        rows = ranked.limit(pool).collect()  # a top-k report's candidates
-        chosen = choose_spaced(rows, top_n, spacing_m, relax, least)
-        if len(chosen) >= top_n or len(rows) < pool:
-            break
-        total = total if total is not None else ranked.count()
-        if pool >= total:
+        chosen = choose_spaced(ranked, top_n, spacing, pool)
+        if len(chosen) == top_n or spacing * relax < spacing_m * least:
             break
-        pool *= 2
-    out = [(k + 1, r["face_id"], r["lat"], r["lon"], r[value], s) for k, (r, s) in enumerate(chosen)]
+        spacing *= relax
+    out = [(k + 1, r["face_id"], r["lat"], r["lon"], r["v_"], spacing) for k, r in enumerate(chosen)]
     return spark.createDataFrame(out, f"rank int, face_id long, lat double, lon double, {value} double, spacing_m double")
 
 
-def choose_spaced(rows: list, top_n: int, spacing_m: float, relax: float, least: float) -> list[tuple]:
-    spacing, chosen = spacing_m, []
-    while True:
-        chosen = []
+def choose_spaced(ranked: DataFrame, top_n: int, spacing_m: float, pool: int) -> list:
+    chosen: list = []
+    left = ranked
+    while len(chosen) < top_n:
+        rows = left.orderBy(F.desc("v_"), "face_id").limit(pool).collect()
         for r in rows:
-            if len(chosen) == top_n:
-                break
-            far = all(math.hypot((r["lat"] - c["lat"]) * 111_000, (r["lon"] - c["lon"]) * 111_000 * math.cos(math.radians(r["lat"]))) >= spacing for c, _ in chosen)
-            if far:
-                chosen.append((r, spacing))
-        if len(chosen) == top_n or spacing * relax < spacing_m * least:
-            return chosen
-        spacing *= relax
+            if len(chosen) < top_n and all(planar_metres(r["lat"], r["lon"], c["lat"], c["lon"]) >= spacing_m for c in chosen):
+                chosen.append(r)
+        if len(rows) < pool:
+            break
+        last = rows[-1]
+        left = ranked.where((F.col("v_") < last["v_"]) | ((F.col("v_") == last["v_"]) & (F.col("face_id") > last["face_id"])))
+        for c in chosen:
+            dy, dx = (F.col("lat") - c["lat"]) * 111_000.0, (F.col("lon") - c["lon"]) * 111_000.0 * F.cos(F.radians("lat"))
+            left = left.where(F.sqrt(dy * dy + dx * dx) >= spacing_m)
+    return chosen
+
+
+def planar_metres(lat1: float, lon1: float, lat2: float, lon2: float) -> float:
+    return math.hypot((lat1 - lat2) * 111_000, (lon1 - lon2) * 111_000 * math.cos(math.radians(lat1)))

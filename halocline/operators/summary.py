@@ -58,7 +58,7 @@ def running_surface_mean(df: DataFrame, keys: list[str], bucket: Column, value:
 
 def direction_bin(direction: str, width: float) -> Column:
     """Bin number from 0; 360 falls into the last bin, as a closed histogram has it."""
-    return F.least(F.floor(F.col(direction) / width), F.lit(int(360 / width) - 1)).cast("int")
+    return F.when(F.col(direction).isNotNull(), F.least(F.floor(F.col(direction) / width), F.lit(int(360 / width) - 1)).cast("int"))
 
 
 def modal_directions(df: DataFrame, keys: list[str], direction: str, speed: str, width: float = 1.0, mask: float = 90.0) -> DataFrame:
