@@ -32,7 +32,7 @@ def grid_id(lat: ColumnOrName, lon: ColumnOrName) -> Column:
     return F.concat_ws("_", degree_key(lat), degree_key(lon), decimal_key(lat), decimal_key(lon))
 
 
-def point_file_name(location: ColumnOrName, face_id: ColumnOrName, lat: ColumnOrName, lon: ColumnOrName, temporal: str = "1h", dataset: str = "tidal_hindcast", version: str = "v1.0.0") -> Column:
+def point_file_name(location: ColumnOrName, face_id: ColumnOrName, lat: ColumnOrName, lon: ColumnOrName, temporal: str = "1h", dataset: str = "hindcast", version: str = "v1.0.0") -> Column:
     return F.concat(as_col(location), F.lit(f".{dataset}.face="), face_label(face_id), F.lit(".lat="), F.format_string("%.7f", as_col(lat)), F.lit(".lon="), F.format_string("%.7f", as_col(lon)), F.lit(f"-{temporal}.b4.{version}.parquet"))
 
 

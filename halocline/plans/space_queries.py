@@ -18,7 +18,7 @@ def partition_keys(spark, sf):
 
 
 PATH_SQL = "'lat_deg=' || CAST(trunc(lat) AS INTEGER) || '/lon_deg=' || CAST(trunc(lon) AS INTEGER) || '/lat_dec=' || printf('%02d', CAST(floor((abs(lat) - floor(abs(lat))) * 100) AS BIGINT)) || '/lon_dec=' || printf('%02d', CAST(floor((abs(lon) - floor(abs(lon))) * 100) AS BIGINT))"
-FILE_SQL = "location || '.tidal_hindcast.face=' || printf('%08d', face_id) || '.lat=' || printf('%.7f', lat) || '.lon=' || printf('%.7f', lon) || '-1h.b4.v1.0.0.parquet'"
+FILE_SQL = "location || '.hindcast.face=' || printf('%08d', face_id) || '.lat=' || printf('%.7f', lat) || '.lon=' || printf('%.7f', lon) || '-1h.b4.v1.0.0.parquet'"
 
 
 @REG.add("uri_columns", f"WITH {POINTS_SQL} SELECT face_id, 's3://bucket/' || location || '/' || {PATH_SQL} || '/' || {FILE_SQL} AS uri FROM points")
