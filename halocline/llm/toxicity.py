@@ -32,7 +32,9 @@ MAX_UNLABELLED = 8_000
 #: Words in the model at most: those most over-represented among the positives.
 VOCABULARY = 4_096
 THRESHOLD = 0.3
-STEPS = 300
+STEPS = 600
+#: The ridge is RIDGE by the number of positives, at most MOST_RIDGE: more examples need less of it.
+RIDGE, MOST_RIDGE = 0.1, 5e-4
 #: Standard errors by which a word's rate among positives must exceed that in unlabelled text.
 SURPRISE = 4
 #: Bits of the table that keeps most other words from the vocabulary's binary search.
@@ -92,7 +94,7 @@ def choose_words(positive: list[np.ndarray], unlabelled: list[np.ndarray], size:
     return np.sort(words[best[z[best] > SURPRISE]])
 
 
-def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, size: int = VOCABULARY, steps: int = STEPS, ridge: float = 3e-4) -> PUModel:
+def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, size: int = VOCABULARY, steps: int = STEPS) -> PUModel:
     """positive, unlabelled: each document's distinct word hashes."""
     words = choose_words(positive, unlabelled, size)
     model = PUModel(words, np.zeros(len(words)), float(np.log(max(prior, 1e-6) / max(1 - prior, 1e-6))))
@@ -103,6 +105,7 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
         row = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
         return model.features(row, np.concatenate(docs))
 
+    ridge = min(RIDGE / len(positive), MOST_RIDGE)
     (pr, pf), (ur, uf) = table(positive), table(unlabelled)
     first, second = np.zeros(len(words) + 1), np.zeros(len(words) + 1)
     for step in range(1, steps + 1):
