@@ -240,6 +240,23 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+UPPER, LOWERED = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+WORDS_SQL = rf"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWERED}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+ORACLE_SQL = {
+    "op3_decontamination": f"""
+        WITH d AS (SELECT doc_id, {WORDS_SQL} AS w FROM documents),
+        b AS (SELECT item_id::VARCHAR AS item_id, w, least(len(w), {WINDOW}) AS n FROM (SELECT item_id, {WORDS_SQL} AS w FROM benchmark)),
+        bw AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS k FROM b, unnest(generate_series(1, len(w) - n + 1)) AS t(i) WHERE n > 0),
+        lengths AS (SELECT DISTINCT n FROM bw),
+        dw AS (SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS k FROM d, lengths, unnest(generate_series(1, len(w) - n + 1)) AS t(i)),
+        hits AS (SELECT doc_id, i, n, item_id FROM dw JOIN bw USING (n, k)),
+        places AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(generate_series(i, i + n - 1)) AS p FROM hits) GROUP BY doc_id),
+        items AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY doc_id)
+        SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+        FROM d LEFT JOIN places USING (doc_id) LEFT JOIN items USING (doc_id)"""
+}
+
+
 def brute_force(docs: list[tuple], items: list[tuple]) -> dict:
     """The contract word by word, for tests: doc_id to (n_words, n_hit, n_items, sha256, contaminated)."""
     import re

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from halocline.llm import exact_dedup, url_filter
+from halocline.llm import decontamination, exact_dedup, secret_scan, url_filter
 from halocline.llm.decontamination import op3_decontamination
 from halocline.llm.html_text import op2_html_text
 from halocline.llm.packing import op5_packing
@@ -25,4 +25,4 @@ QUERIES = {
     "op10_quality": op10_quality,
 }
 
-ORACLE_SQL: dict[str, str] = exact_dedup.ORACLE_SQL | url_filter.ORACLE_SQL
+ORACLE_SQL: dict[str, str] = secret_scan.ORACLE_SQL | decontamination.ORACLE_SQL | url_filter.ORACLE_SQL | exact_dedup.ORACLE_SQL

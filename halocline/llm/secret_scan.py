@@ -139,3 +139,27 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     base = F.filter("findings", lambda x: x["rank"] < len(BASE))
     return found.select("doc_id", *[count(r.kind) for r in BASE], F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("findings")).alias("spans"))
+
+
+def oracle_sql() -> str:
+    """The same spans from DuckDB: texts split at each rule's matches, places as running lengths."""
+    quoted = lambda p: p.replace("'", "''")
+    parts = []
+    for rank, r in enumerate(RULES):
+        pieces = f"string_split(regexp_replace(text, '({quoted(r.pattern)})', chr(1) || '\\1' || chr(1), 'g'), chr(1))"
+        tested = f"length(regexp_extract(piece, '{quoted(r.tested)}', 1))" if r.tested else "length(piece)"
+        parts.append(f"""SELECT doc_id, {rank} AS rank, '{r.kind}' AS kind, stop - length(piece) AS start, stop FROM (
+            SELECT doc_id, i, piece, sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY i)::BIGINT AS stop FROM (
+                SELECT doc_id, unnest(s) AS piece, generate_subscripts(s, 1) AS i FROM (SELECT doc_id, {pieces} AS s FROM t)))
+            WHERE i % 2 = 0 AND {tested} >= {r.least}""")
+    counts = ", ".join(f"count(*) FILTER (rank = {k}) AS n_{r.kind}" for k, r in enumerate(BASE))
+    named = "string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank)"
+    return f"""
+        WITH t AS (SELECT doc_id, translate(coalesce(text, ''), chr(1), chr(2)) AS text FROM documents),
+        spans AS ({" UNION ALL ".join(parts)}),
+        found AS (SELECT doc_id, {counts}, {named} AS spans, {named} FILTER (rank < {len(BASE)}) AS base FROM spans GROUP BY doc_id)
+        SELECT doc_id, {", ".join(f"coalesce(n_{r.kind}, 0) AS n_{r.kind}" for r in BASE)}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+        FROM t LEFT JOIN found USING (doc_id)"""
+
+
+ORACLE_SQL = {"op1_secret_scan": oracle_sql()}
