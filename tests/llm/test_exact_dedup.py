@@ -62,6 +62,12 @@ def test_keep_one_and_empty(spark):
     assert exact_groups(df.limit(0)).count() == 0
 
 
+def test_keep_one_with_an_id_of_several_texts(spark):
+    df = spark.createDataFrame([(1, "a", 0), (1, "b", 0), (2, "a", 0), (2, None, 0)], "doc_id int, text string, digest int")
+    assert sorted((r.doc_id, r.text) for r in keep_one(df).where("text is not null").collect()) == [(1, "b"), (2, "a")]
+    assert keep_one(df).count() == 3
+
+
 def test_table(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     assert got(op6_exact_dedup(spark, SF)) == plain(rows)
