@@ -47,6 +47,19 @@ def line_crosses_dateline(points: ColumnOrName) -> Column:
     return F.exists(F.sequence(F.lit(1), F.greatest(F.size(x) - 1, F.lit(1))), lambda i: F.coalesce(F.abs(F.get(x, i)["lon"] - F.get(x, i - 1)["lon"]) > 180, F.lit(False)))
 
 
+def one_hemisphere(lons: ColumnOrName) -> Column:
+    """An array of longitudes on the side that most of them are on, west in a tie; they go beyond 180 degrees."""
+    x = as_col(lons)
+    west = F.size(F.filter(x, lambda v: v < 0)) >= F.size(F.filter(x, lambda v: v > 0))
+    return F.when(west, F.transform(x, lambda v: F.when(v > 0, v - 360.0).otherwise(v))).otherwise(F.transform(x, lambda v: F.when(v < 0, v + 360.0).otherwise(v)))
+
+
+def utc_offset_hours(zone: ColumnOrName) -> Column:
+    """A time zone's offset at noon of 2023-01-15, in whole hours towards zero."""
+    noon = F.lit("2023-01-15 12:00:00").cast("timestamp_ntz")
+    return (F.timestamp_diff("MINUTE", noon, F.convert_timezone(F.lit("UTC"), as_col(zone), noon)) / 60).cast("int")
+
+
 def haversine_km(lat1: ColumnOrName, lon1: ColumnOrName, lat2: ColumnOrName, lon2: ColumnOrName) -> Column:
     a1, o1, a2, o2 = (F.radians(as_col(c)) for c in (lat1, lon1, lat2, lon2))
     h = F.pow(F.sin((a2 - a1) / 2), 2) + F.cos(a1) * F.cos(a2) * F.pow(F.sin((o2 - o1) / 2), 2)

@@ -145,3 +145,15 @@ def multipart_etag(content: ColumnOrName, part_size: int) -> Column:
     n = F.ceil(F.length(c) / part_size).cast("int")
     parts = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.md5(F.substring(c, i * part_size + 1, F.lit(part_size))))
     return F.when(F.length(c) <= part_size, F.md5(c)).otherwise(F.concat(F.md5(F.unhex(F.array_join(parts, ""))), F.lit("-"), n))
+
+
+# Names of exported variables, and variables that an export leaves out.
+EXPORT_NAMES = {"lat_center": "latitude", "lon_center": "longitude", "h_center": "water_depth", "vap_utc_timezone_offset": "timezone", "vap_jurisdiction": "jurisdiction"}
+NOT_EXPORTED = ("lat_node", "lon_node", "nv", "face", "node", "sigma", "sigma_layer", "time", "x_center", "y_center", "x", "y", "zeta", "meta_mesh_exterior_boundary_wkt")
+
+
+def export_name(variable: ColumnOrName, static: ColumnOrName) -> Column:
+    """A variable's name in an export; null if it is left out.  Static variables lose their prefix."""
+    v = as_col(variable)
+    fixed = F.element_at(F.create_map(*[F.lit(x) for pair in EXPORT_NAMES.items() for x in pair]), v)
+    return F.when(v.isin(*NOT_EXPORTED), F.lit(None)).otherwise(F.coalesce(fixed, F.when(as_col(static), F.regexp_replace(v, "^vap_", "")), v))

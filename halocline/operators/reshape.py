@@ -38,6 +38,12 @@ def fill(df: DataFrame, columns: list[str], value: float = FILL_VALUE) -> DataFr
     return df.withColumns({c: F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")), F.lit(value)) for c in columns})
 
 
+def last_record(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Of rows with equal keys the one that comes last; a partial aggregate, so nothing is sorted."""
+    others = [c for c in df.columns if c not in keys]
+    return df.groupBy(*keys).agg(F.max_by(F.struct(*others), F.struct(*order)).alias("last_")).select(*keys, "last_.*")
+
+
 def batch_of(index: str, size: int) -> Column:
     return F.floor(F.col(index) / size).cast("long")
 

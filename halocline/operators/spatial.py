@@ -114,13 +114,67 @@ def points_in_polygons(points: DataFrame, polygons: DataFrame, ring: str = "ring
 
 
 def jurisdiction(found: DataFrame, keys: list[str]) -> DataFrame:
-    """One label per point from all boundaries that contain it: the highest in this order.
+    """One label per point from all boundaries that contain it; a point in none has one row of nulls.
 
-    State waters, territorial sea, exclusive economic zone, contiguous zone, otherwise outside.
+    In this order: state waters; the territorial sea, unless its region is an Atlantic or Pacific coast, where
+    claims away from a state's waters are left out; the exclusive economic zone; management areas of federal
+    consistency (of several areas one must be named just so, other areas give "not found"); Alaska; outside.
     """
-    rank = F.when(F.col("source") == "state", 0).when(F.col("TS") > 0, 1).when(F.col("EEZ") > 0, 2).when(F.col("CZ") > 0, 3).otherwise(4)
-    label = F.when(rank == 0, F.concat(F.col("stateName"), F.lit(" state waters"))).when(rank == 1, "territorial sea").when(rank == 2, "exclusive economic zone").when(rank == 3, "contiguous zone").otherwise("outside")
-    return found.groupBy(*keys).agg(F.min_by(label, F.struct(rank, label)).alias("jurisdiction"))
+    text = lambda c: F.col(c) if c in found.columns else F.lit(None).cast("string")
+    flag = lambda c: F.coalesce(F.max(F.col(c) > 0), F.lit(False))
+    flags = found.groupBy(*keys).agg(
+        F.array_join(F.array_sort(F.collect_set(F.when(F.col("source") == "state", F.col("stateName")))), "/").alias("states"),
+        flag("TS").alias("in_ts"),
+        flag("EEZ").alias("in_eez"),
+        F.collect_set(text("REGION")).alias("regions"),
+        F.collect_list(F.when(F.col("source") == "czma", text("CZMADomain"))).alias("domains"),
+    )
+    eez, outside, rule = "exclusive economic zone", "outside", "federal consistency"
+    coast = F.exists("regions", lambda r: r.contains("Atlantic Coast") | r.contains("Pacific Coast"))
+    consistent = F.array_contains("domains", rule) | ((F.size("domains") == 1) & F.get("domains", F.lit(0)).contains(rule))
+    label = (
+        F.when(F.col("states") != "", F.concat(F.col("states"), F.lit(" state waters")))
+        .when(F.col("in_ts"), F.when(coast, outside).otherwise("territorial sea"))
+        .when(F.col("in_eez"), eez)
+        .when(F.size("domains") > 0, F.when(consistent, eez).otherwise("not found"))
+        .when(F.array_contains("regions", "Alaska"), eez)
+        .otherwise(outside)
+    )
+    return flags.select(*keys, label.alias("jurisdiction"))
+
+
+def convex_hull(points: list[tuple[float, float]]) -> list[tuple[float, float]]:
+    """The closed hull of points, anticlockwise."""
+    left = sorted(set(points))
+    if len(left) < 3:
+        return [*left, *left[:1]]
+
+    def chain(some: list[tuple[float, float]]) -> list[tuple[float, float]]:
+        out: list[tuple[float, float]] = []
+        for p in some:
+            while len(out) > 1 and (out[-1][0] - out[-2][0]) * (p[1] - out[-2][1]) <= (out[-1][1] - out[-2][1]) * (p[0] - out[-2][0]):
+                out.pop()
+            out.append(p)
+        return out
+
+    lower, upper = chain(left), chain(left[::-1])
+    return [*lower, *upper[1:]]
+
+
+def line_outline(points: str, margin: float = 2.0) -> Column:
+    """A boundary line, an array of (lon, lat), as a closed ring: its hull, or a box around the globe with
+    ``margin`` degrees of latitude on either side if it crosses the date line."""
+    ring = T.ArrayType(T.StructType([T.StructField("lon", T.DoubleType()), T.StructField("lat", T.DoubleType())]))
+
+    @F.pandas_udf(ring)
+    def hull(lines: pd.Series) -> pd.Series:
+        return pd.Series([[{"lon": x, "lat": y} for x, y in convex_hull([(p["lon"], p["lat"]) for p in line])] for line in lines])
+
+    lats = F.transform(points, lambda p: p["lat"])
+    low, high = F.array_min(lats) - margin, F.array_max(lats) + margin
+    corner = lambda x, y: F.struct(F.lit(x).alias("lon"), y.alias("lat"))
+    box = F.array(corner(-180.0, low), corner(180.0, low), corner(180.0, high), corner(-180.0, high), corner(-180.0, low))
+    return F.when(geo.line_crosses_dateline(points), box).otherwise(hull(F.col(points)))
 
 
 def distance_to_shore(points: DataFrame, shore: DataFrame, keys: list[str], radii_km: tuple[float, ...] = (100.0, 500.0, 1000.0), snap_km: float = 1.852) -> DataFrame:

@@ -122,6 +122,33 @@ def test_nearest_and_gap(spark):
     assert spatial.until_gap(d, ["k"], "d").count() == 60
 
 
+def test_jurisdiction_rules(spark):
+    rows = [
+        (1, "sea", None, 1, 0, "Gulf of Mexico", None),
+        (2, "sea", None, 1, 1, "Atlantic Coast", None),
+        (3, "sea", None, 0, 1, "Atlantic Coast", None),
+        (4, "czma", None, None, None, None, "federal consistency by state"),
+        (5, "czma", None, None, None, None, "inland"),
+        (6, "sea", None, 0, 0, "Alaska", None),
+        (7, None, None, None, None, None, None),
+        (8, "sea", None, 1, 0, "Atlantic Coast", None),
+        (8, "state", "Maine", None, None, None, None),
+        (9, "czma", None, None, None, None, "federal consistency"),
+        (9, "czma", None, None, None, None, "inland"),
+        (10, "czma", None, None, None, None, "federal consistency by state"),
+        (10, "czma", None, None, None, None, "inland"),
+    ]
+    df = spark.createDataFrame(rows, "id int, source string, stateName string, TS int, EEZ int, REGION string, CZMADomain string")
+    eez = "exclusive economic zone"
+    assert {r.id: r.jurisdiction for r in spatial.jurisdiction(df, ["id"]).collect()} == {1: "territorial sea", 2: "outside", 3: eez, 4: eez, 5: "not found", 6: eez, 7: "outside", 8: "Maine state waters", 9: eez, 10: "not found"}
+
+
+def test_convex_hull():
+    assert spatial.convex_hull([(0, 0), (2, 0), (1, 1), (2, 2), (0, 2), (1, 0)]) == [(0, 0), (2, 0), (2, 2), (0, 2), (0, 0)]
+    assert spatial.convex_hull([(1, 1)]) == [(1, 1), (1, 1)]
+    assert spatial.convex_hull([]) == []
+
+
 def test_jurisdiction(spark):
     df = spark.createDataFrame([(1, "noaa", 0.0, 1.0, 0.0, None), (1, "state", None, None, None, "Maine"), (2, "noaa", 0.0, 1.0, 0.0, None), (3, "noaa", 0.0, 0.0, 0.0, None)], "id int, source string, TS double, EEZ double, CZ double, stateName string")
     assert {r.id: r.jurisdiction for r in spatial.jurisdiction(df, ["id"]).collect()} == {1: "Maine state waters", 2: "exclusive economic zone", 3: "outside"}
