@@ -43,12 +43,13 @@ def materialize(df: DataFrame, path: str | None = None, sort_by: str | None = No
     return spark.read.schema(df.schema).parquet(path)
 
 
-def one_row(df: DataFrame, keys: list[str], row: str) -> DataFrame:
+def one_row(df: DataFrame, keys: list[str], row: str, counted: DataFrame | None = None) -> DataFrame:
     """``df`` with one row of each key (no nulls): of repeated keys the struct ``row`` of the least hash stays.
 
-    Only repeated keys are aggregated by their rows, in each task first.
+    Only repeated keys are aggregated by their rows, in each task first; ``counted`` has the keys of the rows of ``df``
+    where that is cheaper to read.
     """
-    repeated = materialize(df.groupBy(*keys).agg(F.count("*").alias("n_rows_")).where("n_rows_ > 1").select(*keys))
+    repeated = materialize((df if counted is None else counted).groupBy(*keys).agg(F.count("*").alias("n_rows_")).where("n_rows_ > 1").select(*keys))
     if repeated.isEmpty():
         return df.select(*keys, row)
     again = df.join(repeated.hint("merge"), keys, "left_semi").groupBy(*keys).agg(F.min_by(row, F.xxhash64(row)).alias(row))

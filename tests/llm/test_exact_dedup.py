@@ -71,3 +71,13 @@ def test_keep_one_with_an_id_of_several_texts(spark):
 def test_table(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     assert got(op6_exact_dedup(spark, SF)) == plain(rows)
+
+
+def test_stage_keeps_one_row_of_each_text(spark):
+    import corpus_pipeline
+
+    df = spark.createDataFrame([(*r, i) for i, r in enumerate([*ROWS, (None, "alone"), (2, "a")])], "doc_id long, text string, n int")
+    kept = corpus_pipeline.keep_exact(spark, df, "")
+    assert kept.columns == df.columns
+    rows = [(r.doc_id or -1, r.text or "") for r in kept.collect()]
+    assert sorted(rows) == [(-1, "alone"), (2, "a"), (4, ""), (5, "b"), (7, "é" * 9000), (8, "a "), (9, "c")]
