@@ -1,10 +1,11 @@
 """Personal data: regular expressions propose spans, checksums confirm them, nearby words adjust their score.
 
-Base kinds are email, ip, card (Luhn) and phone; added kinds are iban (mod-97) and ssn, which needs a context
-word.  Every confirmed span has a score from its kind, its checksum and the words within CONTEXT_CHARS before
+Base kinds are email, ip, card (Luhn) and phone; added kinds are iban (mod-97) and ssn, which needs one
+context word.  Every confirmed span has a score from its kind, its checksum and the words within CONTEXT_CHARS before
 it; base spans are always kept, added spans from ADDED_SCORE on.  Spans are code points, end exclusive; each
-kind's matches are leftmost and non-overlapping, and a match that fails its test is dropped, its text not tried
-again.  Patterns use possessive repeats and look-behinds that do not change what they match, so that long runs
+base kind's matches are leftmost and non-overlapping, and a match that fails its test is dropped, its text not tried
+again; an iban is cut at its country's length, where the words after it
+look like a part of it, and one that fails is tried from later words.  Patterns use possessive repeats and look-behinds that do not change what they match, so that long runs
 of digits or letters take linear time.
 
 Edge cases: null is empty; repeated rows and null ids give a row each; further columns are ignored; an empty
@@ -34,6 +35,16 @@ IP = re.compile(r"(?<![0-9])([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{1,4}){3,8}(?![A-Za-z0-9])")
+#: Characters of each country's numbers.
+IBAN_LENGTH = {
+    x[:2]: int(x[2:])
+    for x in (
+        "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BI27 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DJ27 DK18 DO28 EE20 EG29 ES24 FI18 FK18 FO18 FR27 "
+        "GB22 GE22 GI23 GL18 GR27 GT28 HN28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 LY25 MC27 MD24 ME22 "
+        "MK19 MN20 MR27 MT31 MU30 NI28 NL18 NO15 OM23 PK24 PL28 PS29 PT25 QA29 RO24 RS22 RU33 SA24 SC31 SD18 SE24 SI19 SK24 SM27 SO23 ST25 SV28 "
+        "TL23 TN24 TR26 UA29 VA22 VG24 XK20 YE30"
+    ).split()
+}
 SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 FOR = {
     "email": ("mail", "contact", "write", "reach"),
@@ -44,7 +55,7 @@ FOR = {
     "ssn": ("ssn", "social", "security", "tax"),
 }
 AGAINST = {"email": ("example",), "ip": ("version", "release"), "card": ("order", "isbn", "invoice"), "phone": ("fraction",), "iban": (), "ssn": ("part", "serial")}
-START = {"email": 0.8, "ip": 0.6, "card": 0.7, "phone": 0.6, "iban": 0.8, "ssn": 0.3}
+START = {"email": 0.8, "ip": 0.6, "card": 0.7, "phone": 0.6, "iban": 0.8, "ssn": 0.4}
 WORD = re.compile(r"[a-z]+")
 
 
@@ -77,6 +88,21 @@ def emails(text: str) -> Iterator[tuple[int, int]]:
             done = max(done, start)  # a run before this @ cannot reach across it
 
 
+def ibans(text: str) -> Iterator[tuple[int, int]]:
+    """Leftmost matches; each of its country's length if that ends a word and its checksum holds, else of full length."""
+    m = IBAN.search(text)
+    while m:
+        start, on = m.start(), m.start() + 1
+        places = [k for k in range(start, m.end()) if text[k] != " "]
+        cut = places[n - 1] + 1 if (n := IBAN_LENGTH.get(text[start : start + 2], 0)) and n <= len(places) else m.end()
+        for end in (cut, m.end()) if cut < m.end() and text[cut] == " " else (m.end(),):
+            if 15 <= len(s := text[start:end].replace(" ", "")) <= 34 and mod97(s):
+                yield start, end
+                on = end
+                break
+        m = IBAN.search(text, on)
+
+
 def digits_of(text: str) -> str:
     return "".join([c for c in text if "0" <= c <= "9"])
 
@@ -96,9 +122,8 @@ def proposals(text: str) -> Iterator[tuple[int, int, int]]:
         for m in PHONE.finditer(text):
             if 9 <= len(digits_of(m[0])) <= 15:
                 yield m.start(), 3, m.end()
-    for m in IBAN.finditer(text):
-        if 15 <= len(s := m[0].replace(" ", "")) <= 34 and mod97(s):
-            yield m.start(), 4, m.end()
+    for a, b in ibans(text):
+        yield a, 4, b
     if "-" in text:
         for m in SSN.finditer(text):
             if m[0][:3] not in ("000", "666") and m[0][0] != "9" and m[0][4:6] != "00" and m[0][7:] != "0000":

@@ -60,3 +60,15 @@ def test_table(spark):
         got = rows.pop(r.doc_id)
         assert [got.n_email, got.n_ip, got.n_card, got.n_phone] == counts and got.base_sha256 == sha
     assert not rows
+
+
+def test_one_context_word_and_words_after_an_iban():
+    kinds = lambda t: [(KINDS[k], t[a:b]) for a, k, b, _ in find_spans(t)]
+    assert kinds("SSN: 123-45-6789") == kinds("my ssn is 123-45-6789") == [("ssn", "123-45-6789")]
+    assert kinds("serial ssn 123-45-6789") == kinds("123-45-6789") == []
+    german, british = ("iban", "DE89 3704 0044 0532 0130 00"), ("iban", "GB82 WEST 1234 5698 7654 32")
+    added = lambda t: [x for x in kinds(t) if x[0] == "iban"]
+    assert added("DE89 3704 0044 0532 0130 00 BIC COBADEFFXXX") == [german]
+    assert added("GB82 WEST 1234 5698 7654 32 BY FRIDAY") == [british]
+    assert added("AB12 GB82 WEST 1234 5698 7654 32 DE89 3704 0044 0532 0130 00 OR") == [british, german]
+    find_spans("AB12 " * 50_000)
