@@ -231,6 +231,8 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS) -> LineC
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([p[0] for p in parts], pa.binary()), pa.array([p[1] for p in parts], pa.binary()), batch.column(2)], ["doc_id", "x", "length", "label"])
 
     picked = docs.select("doc_id", "text").join(F.broadcast(taught), F.col("doc_id") == F.col("id_"))  # at most max_docs ids
+    # of rows that share an id, the text of the least hash teaches
+    picked = picked.groupBy("doc_id", "label_").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
     rows = picked.select("doc_id", "text", "label_").mapInArrow(run, "doc_id long, x binary, length binary, label int").collect()
     rows = sorted(rows, key=lambda r: (r.doc_id, bytes(r.x)))
     xs = [np.frombuffer(r.x, np.float32).reshape(-1, OWN) for r in rows]

@@ -134,8 +134,8 @@ def train(docs: DataFrame, labels: DataFrame, prior: float | None = None, max_po
         prior = known.agg(F.avg((F.col("toxic") > 0).cast("double"))).first()[0] or 0.0
     by_hash = (F.xxhash64("id_"), F.col("id_"))
     positive = known.where("toxic > 0").select("id_", F.lit(1).alias("side_")).orderBy(*by_hash).limit(max_positive)
-    every = docs.where(in_train_folds()).select(F.col("doc_id").alias("id_")).orderBy(*by_hash).limit(max_unlabelled).select("id_", F.lit(0).alias("side_"))
-    picked = positive.unionByName(every.distinct()).groupBy("id_").agg(F.collect_set("side_").alias("sides_"))  # at most both limits
+    every = docs.where(in_train_folds()).select(F.col("doc_id").alias("id_")).distinct().orderBy(*by_hash).limit(max_unlabelled).select("id_", F.lit(0).alias("side_"))
+    picked = positive.unionByName(every).groupBy("id_").agg(F.collect_set("side_").alias("sides_"))  # at most both limits
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, 0):
@@ -144,7 +144,9 @@ def train(docs: DataFrame, labels: DataFrame, prior: float | None = None, max_po
             own = [np.unique(h[a:b]).tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(own, pa.binary()), batch.column(1)], ["words", "sides"])
 
-    taken = docs.select("doc_id", "text").join(F.broadcast(picked), F.col("doc_id") == F.col("id_")).select("text", "sides_")
+    taken = docs.select("doc_id", "text").join(F.broadcast(picked), F.col("doc_id") == F.col("id_"))
+    # of rows that share an id, the text of the least hash teaches
+    taken = taken.groupBy("id_").agg(F.min_by("text", F.xxhash64("text")).alias("text"), F.first("sides_").alias("sides_")).select("text", "sides_")
     rows = sorted((bytes(r.words), sorted(r.sides)) for r in taken.mapInArrow(run, "words binary, sides array<int>").collect())
     side = [[np.frombuffer(w, np.uint64) for w, s in rows if k in s] for k in (0, 1)]
     return fit(side[1], side[0], prior)

@@ -59,3 +59,11 @@ def test_held_out_accuracy(spark):
     held = [(r.predicted, labels[d]) for d, r in rows.items() if r.held_out and d in labels]
     assert len(held) > 50 and np.mean([p == q for p, q in held]) > 0.95
     assert np.mean([p for p, q in held if q == 1]) > 0.97
+
+
+def test_an_id_of_many_rows_is_one_of_the_sample(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(LineCRF, "fit", lambda self, x, length, row, label: seen.append(len(label)))
+    docs = spark.createDataFrame([(i % 8, f"line {i}") for i in range(200)], "doc_id long, text string")
+    train(docs, spark.createDataFrame([(i, i % 2) for i in range(8)], "doc_id long, quality int"))
+    assert seen == [sum(zlib.crc32(str(d).encode()) % 4 != 2 for d in range(8))]

@@ -54,3 +54,11 @@ def test_held_out_accuracy(spark):
     held = [(r.predicted, labels[d]) for d, r in rows.items() if r.held_out and d in labels]
     hits = sum(p and t for p, t in held)
     assert hits / sum(p for p, _ in held) > 0.9 and hits / sum(t for _, t in held) > 0.8
+
+
+def test_an_id_of_many_rows_is_one_of_the_sample(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr("halocline.llm.toxicity.fit", lambda positive, unlabelled, prior: seen.append((len(positive), len(unlabelled))))
+    docs = spark.createDataFrame([(i, f"word{i}") for i in range(40)] + [(i % 4, f"other{i}") for i in range(400)], "doc_id long, text string")
+    train(docs, spark.createDataFrame([(0, 1), (1, 1), (2, 1), (3, 1), (9, 0)], "doc_id long, toxic int"), max_unlabelled=20)
+    assert seen == [(sum(zlib.crc32(str(d).encode()) % 4 != 2 for d in range(4)), 20)]
