@@ -1,10 +1,14 @@
 """Benchmark decontamination by winnowing.
 
-A text's fingerprints are the smallest k-gram hashes of its sliding windows of w k-grams; two texts that share
-k + w - 1 words share the fingerprint of that window.  The fingerprints of the benchmark's windows are sent to
-all tasks, in blocks of bounded size; each task winnows its documents, looks its own fingerprints up, and
-extends every hit to the windows that have it, comparing their words.  With k = 5 and w = 6 every shared span
-of 10 words is found.  An item of fewer words is one k-gram of all of them (k its length, w = 1).
+Of every window of w consecutive k-gram hashes the smallest is selected (the last of equal ones), in the benchmark and
+in the documents alike, so two texts that share k + w - 1 words share a selected k-gram there.  Only selected k-grams
+are kept and looked up.  A hit, a pair of places with equal hashes, is extended word by word to both sides, as far as a
+window reaches; the windows that it covers are then compared byte by byte.  With k = 5 and w = 6 every shared span of
+10 words is found.  An item of fewer words is one k-gram of all of them (k its length, w = 1).
+
+The benchmark's selected places are sent to all tasks in blocks of bounded text, one block after the other: a block is
+built, sent, used over all documents and given back before the next one.  With one block nothing is shuffled or
+written.
 
 Edge cases: a null or empty text has no words; repeated document rows give a row each; repeated or null item
 ids count once each (a null id is left out); items without words have no windows; further columns are ignored;
@@ -13,131 +17,232 @@ empty tables give no rows, or rows without hits.
 
 from __future__ import annotations
 
-import hashlib
-from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from halocline.llm.common import LOWER, local_text, mix, read_table, small_batches, word_hashes, word_spans
+from halocline.llm.common import LOWER, local_text, materialize, mix, read_table, small_batches, word_hashes, word_spans
 
 WINDOW = 10
 KGRAM = 5
-#: Bytes of benchmark text sent to the tasks at once; a larger benchmark takes several passes.
-BLOCK_BYTES = 16_000_000
+#: Bytes of benchmark text sent to the tasks at once (one longer item is a block of its own); a larger benchmark takes
+#: several passes over the documents.
+BLOCK_BYTES = 8_000_000
+#: Pairs of places that are extended at once inside a task.
+PAIRS_AT_ONCE = 1_000_000
 
 GRAM_MULT = 0xD6E8FEB86659FD93
-NONE = np.uint64(2**64 - 1)
-PREFILTER_BITS = 20
 
 
-def grams(hashes: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
-    """Hash of the n words from each place on; NONE where the row ends before."""
+class Words:
+    """The words of a column of texts: lower-cased bytes, bounds, row and hash of each word."""
+
+    def __init__(self, column: pa.Array) -> None:
+        offsets, data = local_text(column)
+        self.data = LOWER[data]
+        self.start, self.end, self.row = word_spans(self.data, offsets)
+        self.hashes = word_hashes(self.data, self.start, self.end)
+
+    @classmethod
+    def of_items(cls, texts: list[str]) -> Words:
+        """Those of many texts, a bounded number of bytes at once."""
+        parts, bytes_before, rows_before = [], 0, 0
+        batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.large_string())], ["text"])
+        for small in small_batches([batch], 0):
+            part = cls(small.column(0))
+            parts.append((part.data, part.start + bytes_before, part.end + bytes_before, part.row + rows_before, part.hashes))
+            bytes_before, rows_before = bytes_before + len(part.data), rows_before + small.num_rows
+        out = cls.__new__(cls)
+        out.data, out.start, out.end, out.row, out.hashes = (np.concatenate(x) for x in zip(*parts, strict=True))
+        return out
+
+    def __len__(self) -> int:
+        return len(self.start)
+
+    def begins(self, n: int) -> np.ndarray:
+        """The places from which n words follow in the same row."""
+        if len(self) < n:
+            return np.zeros(0, np.int64)
+        return np.flatnonzero(self.row[: len(self) - n + 1] == self.row[n - 1 :])
+
+
+def gram_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
+    """Hash of the n words from each place on, rows left out of account."""
     m = len(hashes) - n + 1
-    if m <= 0:
-        return np.full(len(hashes), NONE)
     h = hashes[:m].copy()
     for j in range(1, n):
         h *= np.uint64(GRAM_MULT)
         h += hashes[j : j + m]
-    out = np.full(len(hashes), NONE)
-    out[:m] = np.where(row[:m] == row[n - 1 :], np.minimum(mix(h), NONE - np.uint64(1)), NONE)
-    return out
+    return mix(h)
 
 
-def winnow(gram: np.ndarray, row: np.ndarray, k: int, w: int) -> np.ndarray:
-    """The smallest of w k-gram hashes from each place on; NONE where the window leaves the row."""
+def winnow(words: Words, k: int, w: int) -> tuple[np.ndarray, np.ndarray]:
+    """(place, hash) of the selected k-grams: the least of each window of w, once each."""
+    whole = words.begins(k + w - 1)
+    if not len(whole):
+        return whole, np.zeros(0, np.uint64)
+    gram = gram_hashes(words.hashes, k)
     m = len(gram) - w + 1
-    span = k + w - 1
-    out = np.full(len(gram), NONE)
-    if m <= 0 or len(row) < span:
-        return out
-    least = gram[:m].copy()
+    least, at = gram[:m].copy(), np.arange(m)
     for j in range(1, w):
-        np.minimum(least, gram[j : j + m], out=least)
-    full = len(row) - span + 1
-    out[:full] = np.where(row[:full] == row[span - 1 :], least[:full], NONE)
+        later = gram[j : j + m]
+        lower = later <= least
+        np.copyto(least, later, where=lower)
+        np.copyto(at, np.arange(j, j + m), where=lower)
+    at = at[whole]
+    at = at[np.append(True, at[1:] != at[:-1])]  # places do not go back from one window to the next
+    return at, gram[at]
+
+
+def same_bytes(a: Words, i: np.ndarray, b: Words, j: np.ndarray) -> np.ndarray:
+    """Whether word i of ``a`` is word j of ``b``, byte by byte."""
+    size = a.end[i] - a.start[i]
+    same = size == b.end[j] - b.start[j]
+    some = np.flatnonzero(same)
+    if len(some):
+        lens = size[some]
+        first = np.cumsum(lens) - lens
+        inside = np.arange(lens.sum()) - np.repeat(first, lens)
+        equal = a.data[np.repeat(a.start[i[some]], lens) + inside] == b.data[np.repeat(b.start[j[some]], lens) + inside]
+        same[some] = np.logical_and.reduceat(equal, first)
+    return same
+
+
+def same_windows(a: Words, i: np.ndarray, b: Words, j: np.ndarray, n: int) -> np.ndarray:
+    """Whether the n words from i on in ``a`` are those from j on in ``b``; a bounded number is compared at once."""
+    same = np.ones(len(i), bool)
+    for at in range(0, len(i), PAIRS_AT_ONCE // 10):
+        part = slice(at, at + PAIRS_AT_ONCE // 10)
+        for k in range(n):
+            left = at + np.flatnonzero(same[part])
+            same[left] = same_bytes(a, i[left] + k, b, j[left] + k)
+    return same
+
+
+def window_classes(words: Words, begins: np.ndarray, n: int) -> np.ndarray:
+    """A number for each window, the same for equal windows only: windows of equal hash are compared byte by byte."""
+    out = np.full(len(begins), -1)
+    hashes = gram_hashes(words.hashes, n)[begins] if len(begins) else np.zeros(0, np.uint64)
+    left, used = np.arange(len(begins)), 0
+    while len(left):
+        _, first, inverse = np.unique(hashes[left], return_index=True, return_inverse=True)
+        same = np.ones(len(left), bool)
+        again = np.flatnonzero(first[inverse] != np.arange(len(left)))
+        same[again] = same_windows(words, begins[left[again]], words, begins[left[first[inverse[again]]]], n)
+        out[left[same]] = used + inverse[same]
+        used += len(first)
+        left = left[~same]
     return out
 
 
-class Fingerprints:
-    """Windows of one length: which items have them, and a prefilter over their fingerprints."""
-
-    def __init__(self, words: int) -> None:
-        self.words = words
-        self.k, self.w = (KGRAM, WINDOW - KGRAM + 1) if words == WINDOW else (words, 1)
-        self.windows: dict[bytes, tuple[str, ...]] = {}
-        self.prints = np.zeros(0, np.uint64)
-        self.filter = np.zeros(1 << PREFILTER_BITS, bool)
-
-    def of(self, hashes: np.ndarray, row: np.ndarray) -> np.ndarray:
-        gram = grams(hashes, row, self.k)
-        return winnow(gram, row, self.k, self.w) if self.w > 1 else gram
-
-    def places(self, prints: np.ndarray) -> np.ndarray:
-        """Where a window's fingerprint is one of the benchmark's; equal neighbours are looked up once."""
-        if not len(prints):
-            return np.zeros(0, np.int64)
-        first = np.concatenate(([0], np.flatnonzero(prints[1:] != prints[:-1]) + 1))
-        kept = prints[first]
-        maybe = np.flatnonzero(self.filter[kept & np.uint64((1 << PREFILTER_BITS) - 1)])
-        at = np.searchsorted(self.prints, kept[maybe])
-        hit = maybe[self.prints[np.minimum(at, len(self.prints) - 1)] == kept[maybe]]
-        lengths = np.diff(np.append(first, len(prints)))[hit]
-        return np.repeat(first[hit] - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
-
-
-def words_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    offsets, data = local_text(column)
-    data = LOWER[data]
-    start, end, row = word_spans(data, offsets)
-    return data, start, end, row, word_hashes(data, start, end)
-
-
-def window_key(raw: bytes, start: np.ndarray, end: np.ndarray, i: int, n: int) -> bytes:
-    """A window's words joined by spaces; the bytes between words in a text may differ."""
-    return b" ".join([raw[a:b] for a, b in zip(start[i : i + n].tolist(), end[i : i + n].tolist(), strict=True)])
-
-
-def benchmark_block(items: list[tuple[str, str]]) -> dict[int, Fingerprints]:
-    """Fingerprints of a block of items, by window length."""
-    out: dict[int, Fingerprints] = {}
-    prints, owners = defaultdict(list), defaultdict(lambda: defaultdict(set))
-    for item_id, text in items:
-        data, start, end, row, hashes = words_of(pa.array([text]))
-        if not len(start):
-            continue
-        n = min(WINDOW, len(start))
-        fp = out.setdefault(n, Fingerprints(n))
-        raw = data.tobytes()
-        prints[n].append(fp.of(hashes, row)[: len(start) - n + 1])
-        for i in range(len(start) - n + 1):
-            owners[n][window_key(raw, start, end, i, n)].add(item_id)
-    for n, fp in out.items():
-        fp.prints = np.unique(np.concatenate(prints[n]))
-        fp.filter[fp.prints & np.uint64((1 << PREFILTER_BITS) - 1)] = True
-        fp.windows = {k: tuple(sorted(v)) for k, v in owners[n].items()}
-    return out
-
-
-def find_spans(batch_text: pa.Array, block: dict[int, Fingerprints]) -> tuple[np.ndarray, list[list[tuple[int, int]]], list[list[str]]]:
+class Index:
+    """The windows of items that share a window length, and their selected places sorted by hash."""
+
+    def __init__(self, items: list[tuple[str, str]], n: int) -> None:
+        self.n = n
+        self.k, self.w = (KGRAM, WINDOW - KGRAM + 1) if n == WINDOW else (n, 1)
+        self.words = words = Words.of_items([t for _, t in items])
+        begins = words.begins(n)
+        classes = window_classes(words, begins, n)
+        self.classes = np.full(len(words), -1)
+        self.classes[begins] = classes
+        # a class's items, as a number of a list: the windows of a passage that items share have the same list
+        owned = np.unique(classes * len(items) + words.row[begins])
+        owner, cls = owned % len(items), owned // len(items)
+        first = np.flatnonzero(np.append(True, cls[1:] != cls[:-1]))
+        self.class_list = owner[first]  # list i is item i alone
+        lists: dict[tuple[int, ...], int] = {}
+        stops = np.append(first[1:], len(owner))
+        for c in np.flatnonzero(stops - first > 1).tolist():
+            self.class_list[c] = len(items) + lists.setdefault(tuple(owner[first[c] : stops[c]].tolist()), len(lists))
+        self.lists = [(i,) for i, _ in items] + [tuple(items[i][0] for i in own) for own in lists]
+        # of selected places whose windows are all equal one is enough; the first and the last window tell
+        at, prints = winnow(words, self.k, self.w)
+        ends = np.searchsorted(words.row, np.arange(len(items) + 1))
+        low, high = np.maximum(at - self.w + 1, ends[words.row[at]]), np.minimum(at, ends[words.row[at] + 1] - n)
+        around = (self.classes[low] * self.w + at - low) * self.w + high - low
+        order = np.lexsort((self.classes[high], around, prints))
+        same = (prints[order[1:]] == prints[order[:-1]]) & (around[order[1:]] == around[order[:-1]]) & (self.classes[high[order[1:]]] == self.classes[high[order[:-1]]])
+        order = order[np.append(True, ~same)]
+        self.at, self.prints = at[order], prints[order]
+        bits = max(20, int(8 * len(order)).bit_length())
+        self.mask = np.uint64((1 << bits) - 1)
+        self.filter = np.zeros(1 << bits, bool)
+        self.filter[self.prints & self.mask] = True
+
+    def hits(self, words: Words) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(place in ``words``, place in the items) with equal selected k-grams, a bounded number at once."""
+        at, prints = winnow(words, self.k, self.w)
+        maybe = np.flatnonzero(self.filter[prints & self.mask])
+        at, prints = at[maybe], prints[maybe]
+        low, high = np.searchsorted(self.prints, prints), np.searchsorted(self.prints, prints, side="right")
+        found = np.flatnonzero(high > low)
+        at, low, n = at[found], low[found], (high - low)[found]
+        step = np.cumsum(n) // PAIRS_AT_ONCE
+        for own in np.split(np.arange(len(n)), np.flatnonzero(np.diff(step)) + 1) if len(n) else ():
+            first = np.cumsum(n[own]) - n[own]
+            yield np.repeat(at[own], n[own]), self.at[np.repeat(low[own] - first, n[own]) + np.arange(n[own].sum())]
+
+    def extended(self, words: Words, d: np.ndarray, b: np.ndarray, side: int) -> np.ndarray:
+        """How many words to one side (-1 or 1) of each pair of k-grams are equal, up to a window's reach."""
+        mine, theirs = words, self.words
+        if side == 1:
+            d, b = d + self.k - 1, b + self.k - 1
+        same, n = np.ones(len(d), bool), np.zeros(len(d), np.int64)
+        for j in range(side, side * self.w, side):
+            x, y = np.clip(d + j, 0, len(mine) - 1), np.clip(b + j, 0, len(theirs) - 1)
+            same &= (x == d + j) & (y == b + j) & (mine.row[x] == mine.row[d]) & (theirs.row[y] == theirs.row[b]) & (mine.hashes[x] == theirs.hashes[y])
+            n += same
+        return n
+
+    def shared(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
+        """(place, class) of the windows that ``words`` shares with the items, once each, by place."""
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        for d, b in self.hits(words):
+            left, right = self.extended(words, d, b, -1), self.extended(words, d, b, 1)
+            n = np.maximum(left + right + self.k - self.n + 1, 0)
+            first = np.cumsum(n) - n
+            inside = np.arange(n.sum()) - np.repeat(first, n)
+            place, other = np.repeat(d - left, n) + inside, np.repeat(b - left, n) + inside
+            _, once = np.unique(np.stack((place, self.classes[other])), axis=1, return_index=True)
+            place, other = place[once], other[once]
+            same = same_windows(words, place, self.words, other, self.n)
+            found.append((place[same], self.classes[other[same]]))
+        pairs = np.unique(np.concatenate(found, axis=1), axis=1)
+        return pairs[0], pairs[1]
+
+
+def build_indexes(items: list[tuple[str, str]]) -> list[Index]:
+    """The indexes of a block of (item_id, text), one for each window length."""
+    if not items:
+        return []
+    n_words = np.bincount(Words.of_items([t for _, t in items]).row, minlength=len(items))
+    lengths = np.minimum(n_words, WINDOW)
+    return [Index([items[i] for i in np.flatnonzero(lengths == n)], n) for n in np.unique(lengths[lengths > 0]).tolist()]
+
+
+def find_spans(texts: pa.Array, block: list[Index]) -> tuple[np.ndarray, list[list[tuple[int, int]]], list[list[str]]]:
     """Per row: its number of words, the word spans [start, end) it shares with items, and those items."""
-    data, start, end, row, hashes = words_of(batch_text)
-    rows = len(batch_text)
-    n_words = np.bincount(row, minlength=rows)
+    words = Words(texts)
+    n_words = np.bincount(words.row, minlength=len(texts))
     first = np.cumsum(n_words) - n_words
-    raw = data.tobytes()
-    spans: list[list[tuple[int, int]]] = [[] for _ in range(rows)]
-    items: list[set[str]] = [set() for _ in range(rows)]
-    for n, fp in sorted(block.items()):
-        for i in fp.places(fp.of(hashes, row)).tolist():
-            if own := fp.windows.get(window_key(raw, start, end, i, n)):
-                r = int(row[i])
-                items[r].update(own)
-                spans[r].append((i - int(first[r]), i - int(first[r]) + n))
+    spans: list[list[tuple[int, int]]] = [[] for _ in range(len(texts))]
+    items: list[set[str]] = [set() for _ in range(len(texts))]
+    for index in block:
+        place, cls = index.shared(words)
+        if not len(place):
+            continue
+        row = words.row[place]
+        fresh = np.flatnonzero(np.append(True, (place[1:] > place[:-1] + index.n) | (row[1:] != row[:-1])))
+        stop = place[np.append(fresh[1:], len(place)) - 1] + index.n
+        for r, a, b in zip(row[fresh].tolist(), place[fresh].tolist(), stop.tolist(), strict=True):
+            spans[r].append((a - int(first[r]), b - int(first[r])))
+        for key in np.unique(row * len(index.lists) + index.class_list[cls]).tolist():
+            items[key // len(index.lists)].update(index.lists[key % len(index.lists)])
     return n_words, [merged(s) for s in spans], [sorted(x) for x in items]
 
 
@@ -155,42 +260,42 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 SCHEMA = "doc_id long, text_sha256 string, n_words long, spans array<array<long>>, items array<string>"
 
 
-def sent_blocks(spark: SparkSession, benchmark: DataFrame, block_bytes: int) -> list:
-    """The benchmark's fingerprints as broadcast variables of about ``block_bytes`` of text each."""
-    items = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("string").alias("item_id"), "text")
+def sent_blocks(spark: SparkSession, benchmark: DataFrame, block_bytes: int) -> Iterator[tuple]:
+    """(broadcast of a block's indexes, whether it is the last), built as they are asked for."""
+    items = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("string").alias("item_id"), "text").distinct()
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = -(-total // block_bytes) or 1
-    sent = []
     for k in range(blocks):
-        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).collect()
-        sent.append(spark.sparkContext.broadcast(benchmark_block([(r.item_id, r.text) for r in part])))
-    return sent
+        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).collect()  # about block_bytes of text
+        yield spark.sparkContext.broadcast(build_indexes([(r.item_id, r.text) for r in part])), k == blocks - 1
 
 
 def contaminated_spans(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """A row per document: doc_id, n_words, spans (of words shared with items) and items (ids as strings)."""
-    passes = [search(docs, sent) for sent in sent_blocks(docs.sparkSession, benchmark, block_bytes)]
-    blocks = len(passes)
-    if blocks == 1:
-        return passes[0].drop("text_sha256")
-    # equal rows of documents have equal results in each pass, so a group's rows differ by pass only
-    found = passes[0]
-    for p in passes[1:]:
-        found = found.unionByName(p)
-    flat = found.groupBy("doc_id", "text_sha256", "n_words").agg(
-        (F.count("*") / blocks).cast("int").alias("copies"),
-        F.flatten(F.collect_set("spans")).alias("spans"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
-    )
-    joined = F.aggregate(
-        F.array_sort("spans"),
+    rows, found = None, []
+    for sent, last in sent_blocks(docs.sparkSession, benchmark, block_bytes):
+        if rows is None and last:
+            return search(docs, sent).drop("text_sha256")
+        if rows is None:  # the first of several blocks: its pass also counts words
+            first = materialize(search(docs, sent))
+            rows, hits = first.select("doc_id", "text_sha256", "n_words"), first.where("size(spans) > 0")
+        else:
+            hits = search(docs, sent).where("size(spans) > 0")
+        found.append(materialize(hits.select("doc_id", "text_sha256", "spans", "items").distinct()))
+        sent.unpersist()
+    # rows of equal id and text have equal results
+    each = reduce(DataFrame.unionByName, found).groupBy("doc_id", "text_sha256").agg(F.array_sort(F.flatten(F.collect_set("spans"))).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
+    united = F.aggregate(
+        "spans",
         F.array().cast("array<array<bigint>>"),
         lambda acc, s: F.when(
             (F.size(acc) > 0) & (F.get(F.element_at(acc, -1), F.lit(1)) >= s[0]),
             F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(F.array(F.element_at(acc, -1)[0], F.greatest(F.element_at(acc, -1)[1], s[1])))),
         ).otherwise(F.concat(acc, F.array(s))),
     )
-    return flat.withColumn("spans", joined).withColumn("copy", F.explode(F.sequence(F.lit(1), "copies"))).select("doc_id", "n_words", "spans", "items")
+    each = materialize(each.select(F.col("doc_id").alias("id_"), F.col("text_sha256").alias("sha_"), united.alias("spans"), "items"))
+    joined = rows.join(each.hint("merge"), F.col("doc_id").eqNullSafe(F.col("id_")) & (F.col("text_sha256") == F.col("sha_")), "left")
+    return joined.select("doc_id", "n_words", F.coalesce("spans", F.array().cast("array<array<bigint>>")).alias("spans"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
 
 
 def search(docs: DataFrame, sent) -> DataFrame:
@@ -210,12 +315,12 @@ def search(docs: DataFrame, sent) -> DataFrame:
 def decontaminate(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The documents that share no window with the benchmark, all columns kept.
 
-    Map-only: each task judges its own rows, so repeated or null ids need no join; the filters of a benchmark's
-    blocks follow each other in one job.
+    Map-only: each task judges its own rows, so repeated or null ids need no join.  Between two blocks of a large
+    benchmark what is left of the documents is written to the shared folder.
     """
     at = docs.columns.index("text")
     schema = docs.schema
-    for sent in sent_blocks(docs.sparkSession, benchmark, block_bytes):
+    for sent, last in sent_blocks(docs.sparkSession, benchmark, block_bytes):
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             block = sent.value
@@ -224,6 +329,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOC
                 yield batch.filter(pa.array([not s for s in spans], pa.bool_()))
 
         docs = docs.mapInArrow(run, schema)
+        if not last:
+            docs = materialize(docs)
+            sent.unpersist()
     return docs
 
 
@@ -255,28 +363,3 @@ ORACLE_SQL = {
         SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
         FROM d LEFT JOIN places USING (doc_id) LEFT JOIN items USING (doc_id)"""
 }
-
-
-def brute_force(docs: list[tuple], items: list[tuple]) -> dict:
-    """The contract word by word, for tests: doc_id to (n_words, n_hit, n_items, sha256, contaminated)."""
-    import re
-
-    low = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
-    split = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate(low))
-    windows = defaultdict(set)
-    for item_id, text in items:
-        w = split(text)
-        n = min(WINDOW, len(w))
-        for i in range(len(w) - n + 1) if n else ():
-            windows[tuple(w[i : i + n])].add(str(item_id))
-    out = {}
-    for doc_id, text in docs:
-        w = split(text)
-        hit, own = set(), set()
-        for n in {len(x) for x in windows}:
-            for i in range(len(w) - n + 1):
-                if found := windows.get(tuple(w[i : i + n])):
-                    hit.update(range(i, i + n))
-                    own |= found
-        out[doc_id] = (len(w), len(hit), len(own), hashlib.sha256(",".join(sorted(own)).encode()).hexdigest(), bool(hit))
-    return out

@@ -1,12 +1,39 @@
+import hashlib
 import random
+import re
+from collections import defaultdict
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from halocline.llm.decontamination import brute_force, contaminated_spans, decontaminate, op3_decontamination
+from halocline.llm.decontamination import WINDOW, Index, Words, contaminated_spans, decontaminate, op3_decontamination, winnow
 
 SF = "/root/testdata/sf0.001"
 
 
+def brute_force(docs: list[tuple], items: list[tuple]) -> dict:
+    """The contract word by word: doc_id to (n_words, n_hit, n_items, sha256, contaminated)."""
+    low = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+    split = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate(low))
+    windows = defaultdict(set)
+    for item_id, text in items:
+        w = split(text)
+        n = min(WINDOW, len(w))
+        for i in range(len(w) - n + 1) if n else ():
+            windows[tuple(w[i : i + n])].add(str(item_id))
+    out = {}
+    for doc_id, text in docs:
+        w = split(text)
+        hit, own = set(), set()
+        for n in {len(x) for x in windows}:
+            for i in range(len(w) - n + 1):
+                if found := windows.get(tuple(w[i : i + n])):
+                    hit.update(range(i, i + n))
+                    own |= found
+        out[doc_id] = (len(w), len(hit), len(own), hashlib.sha256(",".join(sorted(own)).encode()).hexdigest(), bool(hit))
+    return out
+
+
 def as_dict(found):
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda acc, s: acc + s[1] - s[0])
     rows = found.select("doc_id", "n_words", hit.alias("h"), F.size("items").alias("k"), F.sha2(F.array_join("items", ","), 256).alias("s")).collect()
@@ -59,3 +86,32 @@ def test_table(spark):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     assert rows == brute_force(docs, items)
+
+
+def test_winnowing_selects_few_places_and_one_in_every_window():
+    rnd = random.Random(11)
+    texts = [" ".join(rnd.choice("abc") for _ in range(n)) for n in (0, 4, 9, 10, 300)] + [" ".join(f"w{rnd.randrange(10**6)}" for _ in range(5000))]
+    words = Words(pa.array(texts))
+    at, prints = winnow(words, 5, 6)
+    assert len(at) == len(set(at.tolist())) and len(at) < 0.45 * len(words)
+    chosen = set(at.tolist())
+    assert all(any(p in chosen for p in range(i, i + 6)) for i in words.begins(WINDOW).tolist())
+    assert len(set(zip((words.row[at] == 5).tolist(), prints.tolist(), strict=True))) > 1000
+
+
+def test_a_passage_of_many_items_is_looked_up_once():
+    passage = " ".join(f"licence{k}" for k in range(40))
+    items = [(str(i), f"own{i} {passage} end{i}") for i in range(500)]
+    index = Index(items, WINDOW)
+    assert len(index.at) < 0.5 * len(winnow(index.words, 5, 6)[0]) and len(index.lists) == 500 + 1
+    place, cls = index.shared(Words(pa.array([f"x {passage} y", "nothing of it"])))
+    assert place.tolist() == list(range(1, 32)) and {len(index.lists[index.class_list[c]]) for c in cls.tolist()} == {500}
+
+
+def test_words_of_equal_hash_do_not_count(monkeypatch):
+    monkeypatch.setattr("halocline.llm.decontamination.word_hashes", lambda data, start, end: (end - start).astype("uint64"))
+    items = [("1", "aa bbb c dd eee f gg hhh i jj kkk"), ("2", "ab bbc d de eef g gh hhi j jk kkl")]
+    index = Index(items, WINDOW)
+    words = Words(pa.array(["zz aa bbb c dd eee f gg hhh i jj q", "xx yyy z xx yyy z xx yyy z xx yyy"]))
+    place, cls = index.shared(words)
+    assert place.tolist() == [1] and index.lists[index.class_list[cls[0]]] == ("1",)

@@ -2,8 +2,8 @@ from collections import defaultdict
 
 import corpus_pipeline
 from halocline.llm.common import materialize
-from halocline.llm.decontamination import brute_force
 from halocline.llm.quality import score, train
+from tests.llm.test_decontamination import brute_force
 from tests.llm.test_packing import direct
 from tests.llm.test_simhash import group, plain
 
