@@ -1,12 +1,13 @@
 """Personal data: regular expressions propose spans, checksums confirm them, nearby words adjust their score.
 
-Base kinds are email, ip, card (Luhn) and phone; added kinds are iban (mod-97) and ssn, which needs one
-context word.  Every confirmed span has a score from its kind, its checksum and the words within CONTEXT_CHARS before
-it; base spans are always kept, added spans from ADDED_SCORE on.  Spans are code points, end exclusive; each
-base kind's matches are leftmost and non-overlapping, and a match that fails its test is dropped, its text not tried
-again; an iban is cut at its country's length, where the words after it
-look like a part of it, and one that fails is tried from later words.  Patterns use possessive repeats and look-behinds that do not change what they match, so that long runs
-of digits or letters take linear time.
+Base kinds are email, ip, card (Luhn) and phone; added kinds are iban (mod-97) and ssn, which needs one context word.
+Every confirmed span has a score from its kind, its checksum and the words within CONTEXT_CHARS before it, of the
+languages of the corpus; base spans are always kept, added spans from ADDED_SCORE on.
+
+Spans are code points, end exclusive; each base kind's matches are leftmost and non-overlapping, and a match that fails
+its test is dropped, its text not tried again.  An iban has its country's length, single spaces left out, and ends a
+word; one that fails is tried from later words.  Patterns use possessive repeats and look-behinds that do not change
+what they match, so that long runs of digits or letters take linear time.
 
 Edge cases: null is empty; repeated rows and null ids give a row each; further columns are ignored; an empty
 table gives no rows.
@@ -34,7 +35,9 @@ NOT_EMAIL_LOCAL = re.compile(r"[^A-Za-z0-9._%+-]")
 IP = re.compile(r"(?<![0-9])([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{1,4}){3,8}(?![A-Za-z0-9])")
+IBAN_HEAD = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=[ ]?[A-Z0-9])")
+CAPITALS_DIGITS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
+LETTERS_DIGITS = CAPITALS_DIGITS | frozenset("abcdefghijklmnopqrstuvwxyz")
 #: Characters of each country's numbers.
 IBAN_LENGTH = {
     x[:2]: int(x[2:])
@@ -47,16 +50,24 @@ IBAN_LENGTH = {
 }
 SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 FOR = {
-    "email": ("mail", "contact", "write", "reach"),
-    "ip": ("ip", "address", "host", "server", "login"),
-    "card": ("card", "visa", "credit", "payment", "debit"),
-    "phone": ("call", "phone", "tel", "mobile", "fax"),
-    "iban": ("iban", "bank", "account", "transfer", "konto"),
-    "ssn": ("ssn", "social", "security", "tax"),
+    "email": "mail email contact write reach kontakt schreiben contacto correo escribir courriel contacter",
+    "ip": "ip address host server login adresse rechner servidor dirección serveur hôte",
+    "card": "card visa mastercard credit payment debit karte kreditkarte zahlung tarjeta crédito pago carte crédit paiement",
+    "phone": "call phone tel mobile fax anruf telefon handy mobil llamar teléfono móvil appeler téléphone portable",
+    "iban": "iban bank account transfer konto überweisung banco cuenta transferencia banque compte virement",
+    "ssn": "ssn social security tax sozialversicherung steuer seguridad impuesto sécurité impôt",
+}
+AGAINST = {
+    "email": "example beispiel ejemplo exemple",
+    "ip": "version release versión",
+    "card": "order isbn invoice bestellung rechnung pedido factura commande facture",
+    "phone": "fraction bruch fracción",
+    "iban": "example beispiel ejemplo exemple",
+    "ssn": "part serial teil serie pieza pièce série",
 }
-AGAINST = {"email": ("example",), "ip": ("version", "release"), "card": ("order", "isbn", "invoice"), "phone": ("fraction",), "iban": (), "ssn": ("part", "serial")}
+FOR, AGAINST = ({kind: frozenset(words.split()) for kind, words in table.items()} for table in (FOR, AGAINST))
 START = {"email": 0.8, "ip": 0.6, "card": 0.7, "phone": 0.6, "iban": 0.8, "ssn": 0.4}
-WORD = re.compile(r"[a-z]+")
+WORD = re.compile(r"[^\W\d_]+")
 
 
 def luhn(digits: str) -> bool:
@@ -89,18 +100,22 @@ def emails(text: str) -> Iterator[tuple[int, int]]:
 
 
 def ibans(text: str) -> Iterator[tuple[int, int]]:
-    """Leftmost matches; each of its country's length if that ends a word and its checksum holds, else of full length."""
-    m = IBAN.search(text)
-    while m:
-        start, on = m.start(), m.start() + 1
-        places = [k for k in range(start, m.end()) if text[k] != " "]
-        cut = places[n - 1] + 1 if (n := IBAN_LENGTH.get(text[start : start + 2], 0)) and n <= len(places) else m.end()
-        for end in (cut, m.end()) if cut < m.end() and text[cut] == " " else (m.end(),):
-            if 15 <= len(s := text[start:end].replace(" ", "")) <= 34 and mod97(s):
-                yield start, end
-                on = end
+    """Leftmost matches: as many capitals and digits as the country's numbers have, single spaces between them."""
+    done = 0
+    for m in IBAN_HEAD.finditer(text):
+        length = IBAN_LENGTH.get(text[m.start() : m.start() + 2])
+        if m.start() < done or not length:
+            continue
+        at, found = m.end(), m[0]
+        while len(found) < length:
+            at += text[at : at + 1] == " "
+            if not (c := text[at : at + 1]) or c not in CAPITALS_DIGITS:
                 break
-        m = IBAN.search(text, on)
+            found += c
+            at += 1
+        if len(found) == length and text[at : at + 1] not in LETTERS_DIGITS and mod97(found):
+            yield m.start(), at
+            done = at
 
 
 def digits_of(text: str) -> str:
@@ -132,7 +147,7 @@ def proposals(text: str) -> Iterator[tuple[int, int, int]]:
 
 def score_of(text: str, start: int, kind: str) -> float:
     near = set(WORD.findall(text[max(0, start - CONTEXT_CHARS) : start].lower()))
-    up, down = sum(w in near for w in FOR[kind]), sum(w in near for w in AGAINST[kind])
+    up, down = len(near & FOR[kind]), len(near & AGAINST[kind])
     return round(min(1.0, max(0.0, START[kind] + 0.2 * min(up, 2) - 0.2 * min(down, 2))), 3)
 
 

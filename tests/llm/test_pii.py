@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 from halocline.llm.pii import KINDS, find_spans, luhn, mod97, op9_pii, personal_data
 
@@ -72,3 +73,50 @@ def test_one_context_word_and_words_after_an_iban():
     assert added("GB82 WEST 1234 5698 7654 32 BY FRIDAY") == [british]
     assert added("AB13 GB82 WEST 1234 5698 7654 32 DE89 3704 0044 0532 0130 00 OR") == [british, german]
     find_spans("AB12 " * 50_000)
+
+
+def test_ibans_by_country_and_in_linear_time():
+    found = lambda t: [t[a:b] for a, k, b, _ in find_spans(t) if KINDS[k] == "iban"]
+    assert found("DE89370400440532013000 EUR 50") == ["DE89370400440532013000"]
+    assert found("GB82 WEST 1234 5698 7654 32 AND more") == ["GB82 WEST 1234 5698 7654 32"]
+    assert found("DE893704004405320130001") == found("XDE89370400440532013000") == found("ZZ89370400440532013000") == []
+    assert found("DE89 DE89370400440532013000") == ["DE89370400440532013000"]
+    assert found("DE89  370400440532013000") == []
+    for t in ("AB12A1A1" * 25_000, "DE12 A1A1 " * 20_000, "DE89370400440532013000 " * 8_000):
+        began = time.perf_counter()
+        find_spans(t)
+        assert time.perf_counter() - began < 2
+
+
+def test_ibans_against_all_prefixes():
+    """Brute force: every start of a word, every end of a word, spaces dropped."""
+    rnd = random.Random(5)
+    parts = ["DE89370400440532013000", "DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32", "NO9386011117947", "NO93 8601 1117 947", "DE", "GB82", "AB12", " ", "  ", "X", "x", "1", ".", "EUR", "é"]
+    lengths = {"DE": 22, "GB": 22, "NO": 15}
+    for _ in range(3000):
+        t = "".join(rnd.choices(parts, k=rnd.randrange(8)))
+        out, at = [], 0
+        while at < len(t):
+            step = 1
+            if at == 0 or not (t[at - 1].isascii() and t[at - 1].isalnum()):
+                for end in range(at + 1, len(t) + 1):
+                    bare = t[at:end].replace(" ", "")
+                    if re.fullmatch(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9])+", t[at:end]) and len(bare) == lengths.get(bare[:2]) and mod97(bare) and not re.match(r"[A-Za-z0-9]", t[end:]):
+                        out.append((at, end))
+                        step = end - at
+                        break
+            at += step
+        assert [(a, b) for a, k, b, _ in find_spans(t) if KINDS[k] == "iban"] == out, t
+
+
+def test_context_decides_in_each_language():
+    kinds = lambda t: [KINDS[k] for _, k, _, _ in find_spans(t)]
+    for word in ("social", "Steuer", "seguridad", "SÉCURITÉ"):
+        assert kinds(f"{word} 123-45-6789") == ["ssn"]
+    for word in ("serial", "Teil", "pieza", "série", "and", "socials"):
+        assert kinds(f"{word} 123-45-6789") == []
+    assert kinds("iban DE89370400440532013000") == kinds("DE89370400440532013000") == ["iban"]
+    assert kinds("x" * 50 + " social " + "y" * 50 + " 123-45-6789") == []  # too far away
+    for up, down in (("Konto", "Beispiel"), ("cuenta", "ejemplo"), ("compte", "exemple")):
+        scores = [find_spans(f"{w} DE89370400440532013000")[0][3] for w in (up, "und")]
+        assert scores[0] > scores[1] and find_spans(f"{down} DE89370400440532013000")[0][3] < scores[1]
