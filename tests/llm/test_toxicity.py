@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from halocline.llm.toxicity import PUModel, fit, op7_toxicity, rows_words, score, train
 
@@ -62,3 +63,34 @@ def test_an_id_of_many_rows_is_one_of_the_sample(spark, monkeypatch):
     docs = spark.createDataFrame([(i, f"word{i}") for i in range(40)] + [(i % 4, f"other{i}") for i in range(400)], "doc_id long, text string")
     train(docs, spark.createDataFrame([(0, 1), (1, 1), (2, 1), (3, 1), (9, 0)], "doc_id long, toxic int"), max_unlabelled=20)
     assert seen == [(sum(zlib.crc32(str(d).encode()) % 4 != 2 for d in range(4)), 20)]
+
+
+def test_score_against_a_plain_version(spark):
+    """Every document of a table, word by word in Python; the model's words are told by their hash."""
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    model = train(docs, spark.read.parquet(f"{sf}/labels.parquet"))
+    rows = [(r.doc_id, r.text) for r in docs.collect()] + [(-1, None), (-2, ""), (-3, "?!"), (-4, "one " * 5), (-4, "one " * 5)]
+    low = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+    weight = dict(zip(model.words.tolist(), model.weights.tolist(), strict=True))
+
+    def plain(text):
+        words = sorted({w for w in re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(low))})
+        hashes = [int(rows_words(pa.array([w]))[1][0]) for w in words]
+        return 1 / (1 + np.exp(-(model.bias + sum(weight.get(h, 0.0) for h in hashes))))
+
+    got = sorted((r.doc_id, r.score) for r in score(spark.createDataFrame(rows, "doc_id long, text string"), model).collect())
+    expected = sorted((d, plain(t)) for d, t in rows)
+    assert len(weight) > 3 and [d for d, _ in got] == [d for d, _ in expected]
+    np.testing.assert_allclose([v for _, v in got], [v for _, v in expected], rtol=1e-9)
+
+
+def test_no_held_out_row_teaches(spark):
+    """Labels and texts of held-out rows may be anything: the model stays the same."""
+    sf = "/root/testdata/sf0.001"
+    docs, labels = (spark.read.parquet(f"{sf}/{n}.parquet") for n in ("documents", "labels"))
+    held = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
+    other_docs = docs.withColumn("text", F.when(held, F.lit("other words")).otherwise(F.col("text")))
+    other_labels = labels.withColumn("toxic", F.when(held, 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    a, b = train(docs, labels), train(other_docs, other_labels)
+    assert a.bias == b.bias and (a.words == b.words).all() and (a.weights == b.weights).all()
