@@ -24,11 +24,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A fresh folder under ``spark.checkpoint.dir``; sets that only where the session has none (tests)."""
+    """A fresh folder under ``spark.checkpoint.dir``; a session in one process that has none gets a local one."""
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="halocline-")
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
@@ -43,6 +45,26 @@ def materialize(df: DataFrame, path: str | None = None, sort_by: str | None = No
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Tables of an operator in one folder under the shared one, which goes when its result needs them no more."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.path, self.tables = spark, shared_dir(spark), 0
+
+    def write(self, df: DataFrame) -> DataFrame:
+        self.tables += 1
+        return materialize(df, f"{self.path}/{self.tables:04d}")
+
+    def clear(self) -> None:
+        remove(self.spark, self.path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared store, wherever that is."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def one_row(df: DataFrame, keys: list[str], row: str, counted: DataFrame | None = None) -> DataFrame:
     """``df`` with one row of each key (no nulls): of repeated keys the struct ``row`` of the least hash stays.
 

@@ -37,21 +37,30 @@ SHARD_LIMIT = 2_000
 PAIRS = [(a, b) for a in range(4) for b in range(a + 1, 4)]
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
-    """The SimHash of one text, unsigned."""
+def shingle_hashes(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> np.ndarray:
+    """XXH64 of each word shingle of a text, repeats included; of fewer words, that of the whole sequence."""
     words = text.encode().lower().split() if text else []
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     line = b" ".join(words)
     stops = (np.cumsum(np.fromiter(map(len, words), np.int64, len(words))) + np.arange(len(words))).tolist()
     n = max(1, len(words) - shingle + 1)
     starts = [0, *(s + 1 for s in stops[: n - 1])]
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(line[a:b], seed) for a, b in zip(starts, stops[min(shingle, len(words)) - 1 :], strict=True)], np.uint64)
+    return np.array([digest(line[a:b], seed) for a, b in zip(starts, stops[min(shingle, len(words)) - 1 :], strict=True)], np.uint64)
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that are set in over half of the hashes."""
     ones = np.zeros(64, np.int64)
-    for k in range(0, n, 1 << 16):  # bounds the unpacked bits of a very long text
+    for k in range(0, len(hashes), 1 << 16):  # bounds the unpacked bits of a very long text
         ones += np.unpackbits(hashes[k : k + (1 << 16)].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big")
+    return int.from_bytes(np.packbits(2 * ones > len(hashes)).tobytes(), "big")
+
+
+def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
+    """The SimHash of one text, unsigned."""
+    return majority(shingle_hashes(text, shingle, seed))
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -154,20 +163,20 @@ def keyed(fps: DataFrame, kinds: list) -> DataFrame:
     return fps.withColumn("shard", F.explode(F.array(*[F.struct(k.cast("long").alias("kind"), v.cast("long").alias("key")) for k, v in kinds]))).select("shard.kind", "shard.key", "fp")
 
 
-def crowded(shards: DataFrame) -> DataFrame:
+def crowded(shards: DataFrame, write=materialize) -> DataFrame:
     """Shards of more than one fingerprint, with their size; a hot shard is one row per task before the shuffle.
 
     The sizes are written first, so that Spark may split a hot shard's rows in the join.
     """
-    sizes = materialize(shards.groupBy("kind", "key").agg(F.count("*").alias("size")).where("size > 1"))
+    sizes = write(shards.groupBy("kind", "key").agg(F.count("*").alias("size")).where("size > 1"))
     return shards.join(sizes.hint("merge"), ["kind", "key"])
 
 
-def links(fps: DataFrame, radius: int = RADIUS, shard_limit: int = SHARD_LIMIT) -> DataFrame:
+def links(fps: DataFrame, radius: int = RADIUS, shard_limit: int = SHARD_LIMIT, write=materialize) -> DataFrame:
     """Spanning links between distinct fingerprints (column ``fp``) of which at most ``radius`` (up to 2) bits differ."""
     assert 0 < radius <= 2, "four blocks of which two are shared find two differing bits at most"
     fp = F.col("fp")
-    first = materialize(crowded(keyed(fps, [(F.lit(k), F.shiftleft(block(fp, a, 16), 16).bitwiseOR(block(fp, b, 16))) for k, (a, b) in enumerate(PAIRS)])))
+    first = write(crowded(keyed(fps, [(F.lit(k), F.shiftleft(block(fp, a, 16), 16).bitwiseOR(block(fp, b, 16))) for k, (a, b) in enumerate(PAIRS)]), write))
     small = tree_links(first.where(F.col("size") <= shard_limit), radius)
     # the other two blocks of a shard of kind k, as one 32-bit number
     others = [tuple(x for x in range(4) if x not in p) for p in PAIRS]
@@ -176,13 +185,13 @@ def links(fps: DataFrame, radius: int = RADIUS, shard_limit: int = SHARD_LIMIT)
     if large.isEmpty():
         return small
     finer = [(F.col("kind") * 6 + k + 6, F.shiftleft(F.col("key"), 16).bitwiseOR(F.shiftleft(block(F.col("rest"), a, 8), 8).bitwiseOR(block(F.col("rest"), b, 8)))) for k, (a, b) in enumerate(PAIRS)]
-    return small.unionByName(tree_links(crowded(keyed(large, finer)).drop("size"), radius))
+    return small.unionByName(tree_links(crowded(keyed(large, finer), write).drop("size"), radius))
 
 
 # ---------------------------------------------------------------- components
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, write=materialize) -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b): the least node of its component.
 
     Each round points every node, and the roots it has met, at the least node seen next to them, until nothing
@@ -190,16 +199,16 @@ def components(edges: DataFrame) -> DataFrame:
     first, so that Spark may split the rows of a node with very many neighbours.
     """
     pairs = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    pairs = materialize(pairs)
+    pairs = write(pairs)
     while True:
         # large star: larger neighbours point at the least of the node and its neighbours
         both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = materialize(both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m")))
-        large = materialize(both.where("b > a").join(least.hint("merge"), "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct())
+        least = write(both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m")))
+        large = write(both.where("b > a").join(least.hint("merge"), "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct())
         # small star: the node and its smaller neighbours point at the least of them
-        low = materialize(large.groupBy("a").agg(F.min("b").alias("m")))
+        low = write(large.groupBy("a").agg(F.min("b").alias("m")))
         small = large.join(low.hint("merge"), "a").select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b")).distinct()
-        after = materialize(small)
+        after = write(small)
         done = after.groupBy("a").agg(F.count("*").alias("n")).where("n > 1").isEmpty() and after.select(F.col("b").alias("a")).join(after, "a", "left_semi").isEmpty()
         pairs = after
         if done:

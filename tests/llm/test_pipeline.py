@@ -4,12 +4,31 @@ import corpus_pipeline
 from halocline.llm.common import materialize
 from halocline.llm.quality import score, train
 from tests.llm.test_decontamination import brute_force
+from tests.llm.test_near_copies import plain_set
 from tests.llm.test_packing import direct
-from tests.llm.test_simhash import group, plain
 
 SF = "/root/testdata/sf0.001"
 
 
+def least_of_groups(texts):
+    """The smallest id of each group that links of similarity 0.8 or more join, from all pairs."""
+    sets = {d: plain_set(t) for d, t in texts.items()}
+    up = {d: d for d in sets}
+
+    def top(d):
+        while up[d] != d:
+            d = up[d]
+        return d
+
+    ids = sorted(sets)
+    for i, a in enumerate(ids):
+        for b in ids[i + 1 :]:
+            if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
+                x, y = sorted((top(a), top(b)))
+                up[y] = x
+    return {top(d) for d in ids}
+
+
 def test_stages_against_plain_versions(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     labels = spark.read.parquet(f"{SF}/labels.parquet")
@@ -31,12 +50,7 @@ def test_stages_against_plain_versions(spark):
     kept = {d: t for t, d in best.items()}
     assert {r.doc_id for r in outs[1].collect()} == set(kept)
 
-    part = group(plain(t) for t in kept.values())
-    least = {}
-    for d, t in kept.items():
-        c = part[plain(t)]
-        least[c] = min(d, least.get(c, d))
-    kept = {d: kept[d] for d in least.values()}
+    kept = {d: kept[d] for d in least_of_groups(kept)}
     assert {r.doc_id for r in outs[2].collect()} == set(kept)
 
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
