@@ -177,32 +177,59 @@ def line_outline(points: str, margin: float = 2.0) -> Column:
     return F.when(geo.line_crosses_dateline(points), box).otherwise(hull(F.col(points)))
 
 
-def distance_to_shore(points: DataFrame, shore: DataFrame, keys: list[str], radii_km: tuple[float, ...] = (100.0, 500.0, 1000.0), snap_km: float = 1.852) -> DataFrame:
+def densify(lines: DataFrame, line: str, step_km: float) -> DataFrame:
+    """Points (lat, lon) on coast lines, arrays of (lon, lat): all vertices, and between them one every ``step_km`` at most.
+
+    Longitudes take the shorter way, so that a line may cross the date line.
+    """
+    ends = lines.select(F.posexplode(F.arrays_zip(F.slice(line, 1, F.greatest(F.size(line) - 1, F.lit(1))).alias("a"), F.slice(line, 2, F.greatest(F.size(line) - 1, F.lit(1))).alias("b"))).alias("at", "s"))
+    ends = ends.select(F.col("s.a.lat").alias("y"), F.col("s.a.lon").alias("x"), F.coalesce("s.b.lat", "s.a.lat").alias("y2"), F.coalesce("s.b.lon", "s.a.lon").alias("x2"))
+    parts = F.greatest(F.ceil(geo.haversine_km("y", "x", "y2", "x2") / step_km), F.lit(1))
+    ends = ends.withColumn("parts", parts).withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts"))))
+    share = F.col("i") / F.col("parts")
+    across = geo.normalize_longitude(F.col("x2") - F.col("x"))
+    lat = F.when(F.col("i") == F.col("parts"), F.col("y2")).otherwise(F.col("y") + share * (F.col("y2") - F.col("y")))
+    lon = F.when(F.col("i") == F.col("parts"), F.col("x2")).when(F.col("i") == 0, F.col("x")).otherwise(geo.normalize_longitude(F.col("x") + share * across))
+    return ends.select(lat.alias("lat"), lon.alias("lon")).distinct()
+
+
+def distance_to_shore(points: DataFrame, shore: DataFrame, keys: list[str], radii_km: tuple[float, ...] = (4.0, 16.0, 64.0, 256.0, 1000.0), snap_km: float = 1.852) -> DataFrame:
     """Nearest shore point within the first radius that has one; distances under one nautical mile are 0.
 
-    Each radius is an equi-join on cells as wide as the radius: a point meets the shore points of the 3 x 3 cells
-    around its own.  Only points without a hit go on to the next radius.  A point beyond all radii has nulls.
+    Each radius is an equi-join on cells at least as high as the radius, with as many columns around the globe as fit: a
+    point meets the shore points of three rows of cells and of the columns that its circle reaches, over the date line,
+    and of all columns where the circle holds a pole.  Only points without a hit go on to the next radius, so that few
+    pairs are formed where the coast is near.  A point beyond all radii has nulls.
     """
-    slim = shore.select(F.col("lat").alias("shore_lat"), F.col("lon").alias("shore_lon"))
-    left, hits = points.select(*keys, "lat", "lon"), None
+    shore_at = F.struct("km", "shore_lat", "shore_lon")
+    state = points.select(*keys, F.col("lat"), F.col("lon"), F.lit(None).cast("struct<km: double, shore_lat: double, shore_lon: double>").alias("hit"))
     for radius in radii_km:
-        size = radius / 60.0  # degrees; a degree of longitude is over 60 km below 57 degrees, the join widens beyond
-        cells = bounded_cells(slim, "shore_lat", "shore_lon", size)
-        reach = F.greatest(F.lit(1), F.ceil(0.57 / F.cos(F.radians(F.least(F.abs("lat"), F.lit(88.0)))))).cast("int")
-        around = bounded_cells(left, "lat", "lon", size).withColumn("cell_y", F.explode(F.sequence(F.col("cell_y") - 1, F.col("cell_y") + 1)))
-        around = around.withColumn("cell_x", F.explode(F.sequence(F.col("cell_x") - reach, F.col("cell_x") + reach)))
-        pairs = around.join(cells, ["cell_y", "cell_x"]).withColumn("km", geo.haversine_km("lat", "lon", "shore_lat", "shore_lon")).where(F.col("km") <= radius)
-        best = pairs.groupBy(*keys).agg(F.min_by(F.struct("km", "shore_lat", "shore_lon"), F.struct("km", "shore_lat", "shore_lon")).alias("hit"))
-        hits = best if hits is None else hits.unionByName(best)
-        left = left.join(best.select(*keys), keys, "left_anti")
-    out = points.join(hits, keys, "left")
+        columns = max(1, int(360 * 111 // radius))
+        size = 360.0 / columns  # degrees; a degree of latitude is over 111 km
+        row = lambda lat: F.floor(F.col(lat) / size).cast("int")
+        column = lambda lon: F.pmod(F.floor((F.col(lon) + 180) / size).cast("int"), F.lit(columns))
+        cells = shore.select(F.col("lat").alias("shore_lat"), F.col("lon").alias("shore_lon")).withColumn("cell_y", row("shore_lat")).withColumn("cell_x", column("shore_lon"))
+        # the circle's reach in longitude; none where it holds a pole
+        swing = F.try_divide(F.lit(math.sin(radius / geo.RADIUS_KM)), F.cos(F.radians("lat")))
+        reach = F.when(F.abs(swing) < 1, F.ceil(F.degrees(F.asin(swing)) / size).cast("int"))
+        whole = F.coalesce(2 * reach + 1 >= columns, F.lit(True))
+        around = F.when(whole, F.sequence(F.lit(0), F.lit(columns - 1))).otherwise(F.transform(F.sequence(column("lon") - F.coalesce(reach, F.lit(0)), column("lon") + F.coalesce(reach, F.lit(0))), lambda x: F.pmod(x, F.lit(columns))))
+        found = F.col("hit").isNotNull()
+        # points with a hit take no part: one row each, in rows of cells that no shore has
+        idle = F.array(F.lit(-1_000_000) - F.pmod(F.xxhash64(*keys), F.lit(1000)).cast("int"))
+        asked = state.withColumn("cell_y", F.explode(F.when(found, idle).otherwise(F.sequence(row("lat") - 1, row("lat") + 1))))
+        asked = asked.withColumn("cell_x", F.explode(F.when(found, F.array(F.lit(0))).otherwise(around)))
+        pairs = asked.join(cells, ["cell_y", "cell_x"], "left").withColumn("km", geo.haversine_km("lat", "lon", "shore_lat", "shore_lon"))
+        best = F.min(F.when(F.col("km") <= radius, shore_at))
+        state = pairs.groupBy(*keys, "lat", "lon").agg(F.coalesce(F.first("hit"), best).alias("hit"))
     near = F.col("hit.km") < snap_km
-    return (
-        out.withColumn("distance_to_shore_nm", F.when(near, 0.0).otherwise(F.col("hit.km") / 1.852))
-        .withColumn("closest_shore_lat", F.when(near, F.col("lat")).otherwise(F.col("hit.shore_lat")))
-        .withColumn("closest_shore_lon", F.when(near, F.col("lon")).otherwise(F.col("hit.shore_lon")))
-        .drop("hit")
+    found = state.select(
+        *keys,
+        F.when(near, 0.0).otherwise(F.col("hit.km") / 1.852).alias("distance_to_shore_nm"),
+        F.when(near, F.col("lat")).otherwise(F.col("hit.shore_lat")).alias("closest_shore_lat"),
+        F.when(near, F.col("lon")).otherwise(F.col("hit.shore_lon")).alias("closest_shore_lon"),
     )
+    return points.join(found, keys, "left")
 
 
 # ---------------------------------------------------------------- mesh

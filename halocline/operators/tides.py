@@ -34,14 +34,28 @@ def local_maxima(x: np.ndarray) -> np.ndarray:
 
 
 def prominences(x: np.ndarray, peaks: np.ndarray) -> np.ndarray:
-    """Height of each peak over the higher of the two lowest points between it and higher ground (or the ends)."""
-    out = np.empty(len(peaks))
-    for k, p in enumerate(peaks):
-        left = np.flatnonzero(x[:p] > x[p])
-        right = np.flatnonzero(x[p + 1 :] > x[p])
-        low_left = x[(left[-1] + 1 if len(left) else 0) : p + 1].min()
-        low_right = x[p : (p + 1 + right[0] if len(right) else len(x))].min()
-        out[k] = x[p] - max(low_left, low_right)
+    """Height of each peak over the higher of the two lowest points between it and higher ground (or the ends).
+
+    Between two peaks the lowest point is all that matters, so a stack of the higher peaks so far gives each peak's side
+    in one pass.
+    """
+    if not len(peaks):
+        return np.zeros(0)
+    lows = np.minimum.reduceat(x, np.append(0, peaks))  # before the first peak, between peaks, after the last
+    height = x[peaks].tolist()
+    left, right = sides(height, lows[:-1].tolist()), sides(height[::-1], lows[:0:-1].tolist())[::-1]
+    return x[peaks] - np.maximum(left, right)
+
+
+def sides(height: list[float], low: list[float]) -> list[float]:
+    """For each peak the lowest point back to higher ground; ``low`` is that between it and the peak before."""
+    out, higher = [], []
+    for h, least in zip(height, low, strict=True):
+        least = min(least, h)
+        while higher and higher[-1][0] <= h:
+            least = min(least, higher.pop()[1])
+        higher.append((h, least))
+        out.append(least)
     return out
 
 
@@ -50,22 +64,25 @@ def find_peaks(x: np.ndarray, prominence: float = PROMINENCE_M) -> np.ndarray:
     return peaks[prominences(x, peaks) >= prominence]
 
 
-def levels(x: np.ndarray, prominence: float = PROMINENCE_M) -> dict[str, float]:
-    """Levels about the series' mean; without peaks the top and bottom fifth of the values stand in."""
+def levels(x: np.ndarray, prominence: float = PROMINENCE_M, peaks: np.ndarray | None = None) -> dict[str, float]:
+    """Levels about the series' mean; without peaks the top and bottom fifth of the values stand in.
+
+    ``peaks`` are those of ``x`` where they are known, and ``x`` then has no gaps.
+    """
     x = x[~np.isnan(x)]
     if not len(x):
         return dict.fromkeys(LEVELS, float("nan"))
     x = x - x.mean()
-    high, low = x[find_peaks(x, prominence)], x[find_peaks(-x, prominence)]
+    high, low = x[find_peaks(x, prominence) if peaks is None else peaks], x[find_peaks(-x, prominence)]
     k = max(int(len(x) * FALLBACK_SHARE), 1)
     ordered = np.sort(x)
     high, low = high if len(high) else ordered[-k:], low if len(low) else ordered[:k]
     return {"high_max": high.max(), "high_mean": high.mean(), "low_mean": low.mean(), "low_min": low.min(), "tidal_range": high.mean() - low.mean()}
 
 
-def periods(x: np.ndarray, seconds: np.ndarray, prominence: float = PROMINENCE_M) -> dict[str, float | str]:
+def periods(x: np.ndarray, seconds: np.ndarray, prominence: float = PROMINENCE_M, peaks: np.ndarray | None = None) -> dict[str, float | str]:
     """Mean, least and largest accepted time between high waters; zeros and "Unknown" when there is none."""
-    gaps = np.diff(seconds[find_peaks(x, prominence)]) / 3600
+    gaps = np.diff(seconds[find_peaks(x, prominence) if peaks is None else peaks]) / 3600
     half = gaps[(gaps > SEMIDIURNAL_H[0]) & (gaps < SEMIDIURNAL_H[1])]
     day = gaps[(gaps > DIURNAL_H[0]) & (gaps < DIURNAL_H[1])]
     kept = np.concatenate((half, day)) * 3600
@@ -85,7 +102,8 @@ def tidal_summary(df: DataFrame, keys: list[str], elevation: str = "zeta_center"
         pdf = pdf.sort_values(["s_", "x_"]).dropna(subset=["x_"])
         x, s = pdf["x_"].to_numpy(), pdf["s_"].to_numpy()
         mean = x.mean() if len(x) else float("nan")
-        return pd.DataFrame([{**dict(zip(keys, key, strict=True)), "mean_level": mean, **levels(x, prominence), **periods(x, s, prominence)}])
+        peaks = find_peaks(x, prominence)
+        return pd.DataFrame([{**dict(zip(keys, key, strict=True)), "mean_level": mean, **levels(x, prominence, peaks), **periods(x, s, prominence, peaks)}])
 
     return slim.groupBy(*keys).applyInPandas(one, schema)
 

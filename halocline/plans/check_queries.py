@@ -23,9 +23,9 @@ def coordinate_equality(spark, sf):
     return checks.differs_from_first(t, ["face_id"], "source", ["q"])
 
 
-@REG.add("constant_check", "SELECT l_suppkey AS face_id FROM lineitem WHERE l_linenumber = 7 GROUP BY l_suppkey HAVING min(l_returnflag) <> max(l_returnflag)")
+@REG.add("constant_check", "SELECT l_orderkey AS face_id FROM lineitem GROUP BY l_orderkey HAVING min(l_returnflag) <> max(l_returnflag)")
 def constant_check(spark, sf):
-    return checks.not_constant(table(spark, sf, "lineitem").where("l_linenumber = 7").select(F.col("l_suppkey").alias("face_id"), "l_returnflag"), ["face_id"], ["l_returnflag"])
+    return checks.not_constant(table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("face_id"), "l_returnflag"), ["face_id"], ["l_returnflag"])
 
 
 @REG.add("attribute_changes", "SELECT event_id, 'k' AS attribute, json_extract_string(props, '$.k') AS old, (CAST(json_extract_string(props, '$.k') AS BIGINT) % 50)::VARCHAR AS new FROM events WHERE CAST(json_extract_string(props, '$.k') AS BIGINT) >= 50")
@@ -54,9 +54,9 @@ def vertical_extent(spark, sf):
     return checks.vertical_extent(table(spark, sf, "part"), "p_retailprice", "p_size")
 
 
-@REG.add("point_series", f"WITH {SERIES_SQL}, {POINTS_SQL} SELECT event_id, time, zeta FROM series WHERE face_id = (SELECT face_id FROM points WHERE face_id <= 100 ORDER BY sqrt(pow(lat + 20, 2) + pow(lon - 10, 2)), face_id LIMIT 1) AND time BETWEEN TIMESTAMP '2024-01-03' AND TIMESTAMP '2024-01-20'")
+@REG.add("point_series", f"WITH {SERIES_SQL}, {POINTS_SQL} SELECT event_id, time, zeta FROM series WHERE face_id = (SELECT face_id FROM points WHERE face_id IN (SELECT face_id FROM series) ORDER BY sqrt(pow(lat + 20, 2) + pow(lon - 10, 2)), face_id LIMIT 1) AND time BETWEEN TIMESTAMP '2024-01-03' AND TIMESTAMP '2024-01-20'")
 def point_series(spark, sf):
-    return profiles.point_series(points(spark, sf).where("face_id <= 100"), series(spark, sf), -20.0, 10.0, "2024-01-03 00:00:00", "2024-01-20 00:00:00").select("event_id", "time", "zeta")
+    return profiles.point_series(points(spark, sf).join(series(spark, sf).select("face_id").distinct(), "face_id", "left_semi"), series(spark, sf), -20.0, 10.0, "2024-01-03 00:00:00", "2024-01-20 00:00:00").select("event_id", "time", "zeta")
 
 
 @REG.add("rank_within", f"WITH {POINTS_SQL} SELECT * FROM (SELECT nation, face_id, value, CAST(row_number() OVER (PARTITION BY nation ORDER BY value DESC, face_id) AS INTEGER) AS rank FROM points) WHERE rank <= 3")

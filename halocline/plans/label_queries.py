@@ -42,11 +42,11 @@ def jurisdiction_labels(spark, sf):
     return spatial.jurisdiction(p.select("face_id").join(found, "face_id", "left"), ["face_id"])
 
 
-@REG.add("line_outlines", f"""WITH {POINTS_SQL}, s AS (SELECT face_id // 20 AS line, lat, lon, abs(lon - lag(lon) OVER (PARTITION BY face_id // 20 ORDER BY face_id)) > 180 AS jump FROM points WHERE face_id // 20 % 2 = 0 OR lon > 0),
+@REG.add("line_outlines", f"""WITH {POINTS_SQL}, s AS (SELECT face_id // 20 AS line, lat, lon, abs(lon - lag(lon) OVER (PARTITION BY face_id // 20 ORDER BY face_id)) > 180 AS jump FROM points),
     g AS (SELECT line, coalesce(bool_or(jump), false) AS crosses, min(lon) AS x1, max(lon) AS x2, min(lat) AS y1, max(lat) AS y2 FROM s GROUP BY line)
     SELECT line, round(CASE WHEN crosses THEN -180 ELSE x1 END, 6) + 0.0 AS lon_min, round(CASE WHEN crosses THEN 180 ELSE x2 END, 6) + 0.0 AS lon_max, round(CASE WHEN crosses THEN y1 - 2 ELSE y1 END, 6) + 0.0 AS lat_min, round(CASE WHEN crosses THEN y2 + 2 ELSE y2 END, 6) + 0.0 AS lat_max FROM g""")
 def line_outlines(spark, sf):
-    p = points(spark, sf).withColumn("line", F.floor(F.col("face_id") / 20)).where("line % 2 = 0 or lon > 0")
+    p = points(spark, sf).withColumn("line", F.floor(F.col("face_id") / 20))
     lines = p.groupBy("line").agg(F.array_sort(F.collect_list(F.struct("face_id", "lon", "lat"))).alias("p"))  # 20 points a line
     lines = lines.select("line", F.transform("p", lambda x: F.struct(x["lon"].alias("lon"), x["lat"].alias("lat"))).alias("p"))
     ring = lines.select("line", spatial.line_outline("p").alias("ring"))

@@ -75,17 +75,18 @@ def dateline_flag(spark, sf):
     return points(spark, sf).select("face_id", geo.crosses_dateline(lons).alias("crosses"))
 
 
-@REG.add("point_in_triangle", f"""WITH {POINTS_SQL}, t AS (SELECT face_id, lat AS y, lon AS x, lat - 1 AS y1, lon - 1 AS x1, lat + (face_id % 5) - 2 AS y2, lon + 2 AS x2, lat + 1.5 AS y3, lon - 1 AS x3 FROM points WHERE lon BETWEEN -170 AND 170),
+@REG.add("point_in_triangle", f"""WITH {POINTS_SQL}, t AS (SELECT face_id, lat AS y, lon AS x, lat - 1 AS y1, lon - 1 AS x1, lat + (face_id % 5) - 2 AS y2, lon + 2 AS x2, lat + 1.5 AS y3, lon - 1 AS x3 FROM points),
     b AS (SELECT *, (y2-y3)*(x1-x3) + (x3-x2)*(y1-y3) AS d FROM t), c AS (SELECT *, ((y2-y3)*(x-x3) + (x3-x2)*(y-y3)) / d AS p, ((y3-y1)*(x-x3) + (x1-x3)*(y-y3)) / d AS q FROM b)
     SELECT face_id, p >= -1e-10 AND q >= -1e-10 AND 1 - p - q >= -1e-10 AS inside FROM c""")
 def point_in_triangle(spark, sf):
     lat, lon = F.col("lat"), F.col("lon")
     corners = [(lat - 1, lon - 1), (lat + (F.col("face_id") % 5) - 2, lon + 2), (lat + 1.5, lon - 1)]
-    return points(spark, sf).where("lon between -170 and 170").select("face_id", geo.point_in_triangle("lat", "lon", corners).alias("inside"))
+    return points(spark, sf).select("face_id", geo.point_in_triangle("lat", "lon", corners).alias("inside"))
 
 
 @REG.add("web_mercator", f"WITH {POINTS_SQL} SELECT face_id, round(radians(lon) * 6378137.0, 3) + 0.0 AS x, round(ln(tan(pi() / 4 + radians(lat) / 2)) * 6378137.0, 3) + 0.0 AS y FROM points WHERE abs(lat) < 85")
 def web_mercator(spark, sf):
+    """The projection has no value at the poles; 85 degrees is its customary domain."""
     x, y = geo.web_mercator("lat", "lon")
     return points(spark, sf).where("abs(lat) < 85").select("face_id", (F.round(x, 3) + 0.0).alias("x"), (F.round(y, 3) + 0.0).alias("y"))
 
@@ -199,11 +200,10 @@ SHORE_D = HAVERSINE.format(a="p.lat", b="s.lat", c="p.lon", d="s.lon")
 
 
 @REG.add("shore_distance", f"""WITH {POINTS_SQL}, s AS (SELECT ((s_suppkey * 53) % 14000) / 100.0 - 70 AS lat, ((s_suppkey * 113) % 36000) / 100.0 - 180 AS lon FROM supplier),
-    d AS (SELECT p.face_id, min({SHORE_D}) AS km FROM points p, s WHERE abs(p.lat) < 60 AND p.lon BETWEEN -160 AND 160 GROUP BY p.face_id)
+    d AS (SELECT p.face_id, min({SHORE_D}) AS km FROM points p, s GROUP BY p.face_id)
     SELECT face_id, CASE WHEN km <= 1000 THEN CASE WHEN km < 1.852 THEN 0 ELSE round(km / 1.852, 6) END END AS distance_to_shore_nm FROM d""")
 def shore_distance(spark, sf):
-    p = points(spark, sf).where("abs(lat) < 60 and lon between -160 and 160")
-    return spatial.distance_to_shore(p, shore(spark, sf), ["face_id"]).select("face_id", F.round("distance_to_shore_nm", 6).alias("distance_to_shore_nm"))
+    return spatial.distance_to_shore(points(spark, sf), shore(spark, sf), ["face_id"]).select("face_id", F.round("distance_to_shore_nm", 6).alias("distance_to_shore_nm"))
 
 
 @REG.add("transect", f"""WITH {POINTS_SQL}, t AS (SELECT face_id, lat * 111.0::DOUBLE AS y, lon * 111.0::DOUBLE AS x FROM points),

@@ -153,10 +153,10 @@ def skip_existing(spark, sf):
     return table(spark, sf, "orders").select(F.col("o_orderkey").alias("file_index")).join(done, "file_index", "left_anti")
 
 
-@REG.add("timestamp_membership", f"WITH {SERIES_SQL} SELECT event_id FROM series WHERE date_trunc('day', time) IN (SELECT date_trunc('day', ts) FROM events WHERE event_id % 97 = 0)")
+@REG.add("timestamp_membership", f"WITH {SERIES_SQL} SELECT event_id FROM series WHERE date_trunc('day', time) IN (SELECT date_trunc('day', o_orderdate) + INTERVAL 27 YEAR FROM orders)")
 def timestamp_membership(spark, sf):
     s = series(spark, sf).withColumn("day", F.date_trunc("day", "time"))
-    wanted = s.where("event_id % 97 = 0").select("day")
+    wanted = table(spark, sf, "orders").select(F.date_trunc("day", F.col("o_orderdate") + F.expr("INTERVAL 27 YEAR")).alias("day"))
     return s.join(wanted, "day", "left_semi").select("event_id")
 
 

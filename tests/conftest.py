@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -18,6 +19,7 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "4g")
         .config("spark.driver.host", "127.0.0.1")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="halocline-"))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -197,3 +197,36 @@ def test_hindcast_end_to_end(spark):
     wide = hindcast.atlas({"piscataqua_river": out}, face.withColumn("location", F.lit("NH_piscataqua_river")))
     assert wide.first().location == "NH_piscataqua_river" and wide.where("full_year_data_uri is not null").count() == 2
     assert hindcast.summarize(layers, hindcast.derive_columns(layers), hindcast.derive_surface(zeta, face_node, face), loc, "month").count() == 2
+
+
+def test_shore_distance_across_the_date_line_and_at_the_pole(spark):
+    """Against every pair by haversine."""
+    import math
+    import random
+
+    from halocline.operators.spatial import densify, distance_to_shore
+
+    rnd = random.Random(3)
+    shore = [(0.0, -179.999), (51.0, 179.95), (-60.0, 10.0), (89.0, 120.0), (10.0, 10.0), (10.0, 10.0)] + [(rnd.uniform(-80, 80), rnd.uniform(-180, 180)) for _ in range(40)]
+    faces = [(0.0, 180.0), (0.0, 179.99), (51.0, -179.9), (90.0, 0.0), (89.5, -60.0), (-90.0, 0.0), (10.001, 10.0), (-70.0, -180.0)] + [(rnd.uniform(-90, 90), rnd.uniform(-180, 180)) for _ in range(80)]
+
+    def km(a, b, c, d):
+        h = math.sin(math.radians(c - a) / 2) ** 2 + math.cos(math.radians(a)) * math.cos(math.radians(c)) * math.sin(math.radians(d - b) / 2) ** 2
+        return 2 * 6371 * math.asin(min(1, math.sqrt(h)))
+
+    p = spark.createDataFrame([(i, *x, "k") for i, x in enumerate(faces)], "face_id long, lat double, lon double, km string")
+    rows = distance_to_shore(p, spark.createDataFrame(shore, "lat double, lon double"), ["face_id"]).collect()
+    assert len(rows) == len(faces)
+    for r in rows:
+        least = min(km(*faces[r.face_id], *s) for s in shore)
+        if least > 1000:
+            assert r.distance_to_shore_nm is None
+        else:
+            assert abs(r.distance_to_shore_nm - (0 if least < 1.852 else least / 1.852)) < 1e-6
+            if least >= 1.852:
+                assert abs(km(*faces[r.face_id], r.closest_shore_lat, r.closest_shore_lon) - least) < 1e-6
+
+    line = spark.createDataFrame([([(179.9, 50.0), (-179.9, 50.1)],), ([(5.0, 5.0)],)], "line array<struct<lon: double, lat: double>>")
+    dots = sorted((round(r.lat, 6), round(r.lon, 6)) for r in densify(line, "line", 5.0).collect())
+    assert (50.0, 179.9) in dots and (50.1, -179.9) in dots and (5.0, 5.0) in dots and len(dots) == 6
+    assert all(abs(abs(lon) - 180) <= 0.1 for lat, lon in dots if lat > 10)
