@@ -65,6 +65,13 @@ def remove(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def committed(spark: SparkSession, path: str) -> list[str]:
+    """Names of the tables in a folder that were written to their end, in order."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/*/_SUCCESS")
+    found = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(at)
+    return sorted(f.getPath().getParent().getName() for f in found or [])
+
+
 def one_row(df: DataFrame, keys: list[str], row: str, counted: DataFrame | None = None) -> DataFrame:
     """``df`` with one row of each key (no nulls): of repeated keys the struct ``row`` of the least hash stays.
 

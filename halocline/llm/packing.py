@@ -4,7 +4,8 @@ Documents are routed by length to context-size tiers.  Windows of each tier are
 tier, their gaps are filled from shorter tiers (whole documents while they fit, then one cut), and finished
 sequences are dealt to step groups of equal token counts.  Every task packs the rows of its own partition as a
 stream, so there is no shuffle and memory does not depend on the partition's size; what is left at a
-partition's end, less than one longest window, is cut into powers of two, so no sequence needs padding.
+partition's end, less than one longest window, is cut into powers of two, so no sequence needs padding; these last
+sequences of a partition may be shorter than the shortest tier, down to one token.
 
 Edge cases: a null or empty text is one document holding only the end token; a null ``doc_id`` is kept as
 null; repeated rows are packed once each; other columns are ignored; an empty table gives no rows.
@@ -13,6 +14,7 @@ null; repeated rows are packed once each; other columns are ignored; an empty ta
 from __future__ import annotations
 
 import heapq
+import json
 from collections import deque
 from collections.abc import Iterator
 
@@ -152,6 +154,45 @@ class WordIds:
         return [ids[a:b] for a, b in zip([0, *stops], stops, strict=False)]
 
 
+class PlainIds:
+    """ids of whole texts by the tokenizer alone, for any vocabulary."""
+
+    def __init__(self, path: str) -> None:
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+
+    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+
+
+# The steps of the vocabulary for which WordIds has been shown to give the ids of whole texts.
+PROVEN = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+    "post_processor": None,
+}
+PROVEN_MODEL = {"type": "BPE", "end_of_word_suffix": "</w>", "dropout": None, "continuing_subword_prefix": None, "byte_fallback": False}
+
+
+def word_by_word(path: str) -> bool:
+    """Whether a tokenizer file has exactly the steps that WordIds relies on, and no added token with white space."""
+    with open(path, encoding="utf-8") as f:
+        file = json.load(f)
+    steps = all(file.get(k) == v for k, v in PROVEN.items()) and all(file["model"].get(k) == v for k, v in PROVEN_MODEL.items())
+    return steps and not any(len(t["content"].split()) != 1 for t in file.get("added_tokens") or [])
+
+
+def ids_of(path: str) -> WordIds | PlainIds:
+    return WordIds(path) if word_by_word(path) else PlainIds(path)
+
+
 class TierPacker:
     """Packs pieces (key, start, length) into sequences whose lengths are tiers, or powers of two at the end."""
 
@@ -218,7 +259,7 @@ def pack(docs: DataFrame, tokenizer_path: str, tiers: tuple[int, ...] = TIERS, e
     """Pieces of all documents with their ids (little-endian unsigned 32-bit), sequence and step group."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, packer = WordIds(tokenizer_path), TierPacker(tiers)
+        words, packer = ids_of(tokenizer_path), TierPacker(tiers)
         base = TaskContext.get().partitionId() << 33
         held: dict[int, list] = {}  # key: doc_id, ids, tokens not yet emitted
         keys = sequences = steps = 0

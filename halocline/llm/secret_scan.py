@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from halocline.llm.common import materialize, read_table, shared_dir, text_or_empty
+from halocline.llm.common import committed, materialize, read_table, shared_dir, text_or_empty
 
 
 @dataclass(frozen=True)
@@ -110,20 +110,26 @@ def join_back(versions: DataFrame, findings: DataFrame) -> DataFrame:
 
 
 class BlobLedger:
-    """A ledger kept as Parquet; each scan appends what it found."""
+    """A ledger kept as Parquet in a folder; each scan appends what it found.
+
+    The folder is all its state: a ledger opened on it later goes on where the last scan ended.  A scan counts once its
+    part is written to the end, so one that died is done again over what it left.
+    """
 
     def __init__(self, spark: SparkSession, path: str, rules: tuple[Rule, ...] = RULES) -> None:
         self.spark, self.path, self.rules = spark, path, rules
-        self.parts: list[str] = []
+
+    @property
+    def parts(self) -> list[str]:
+        return [f"{self.path}/{name}" for name in committed(self.spark, self.path)]
 
     def read(self) -> DataFrame | None:
-        return self.spark.read.schema(LEDGER).parquet(*self.parts) if self.parts else None
+        parts = self.parts
+        return self.spark.read.schema(LEDGER).parquet(*parts) if parts else None
 
     def scan(self, versions: DataFrame) -> DataFrame:
         """Scan what is new in ``versions`` and return all of their rows with findings."""
-        at = f"{self.path}/scan-{len(self.parts):05d}"
-        update_ledger(versions, self.read(), self.rules).write.parquet(at)
-        self.parts.append(at)
+        update_ledger(versions, self.read(), self.rules).write.mode("overwrite").parquet(f"{self.path}/scan-{len(self.parts):05d}")
         return join_back(versions, materialize(findings_of(self.read(), self.rules)))  # written, so that Spark may split a hot blob's paths
 
 

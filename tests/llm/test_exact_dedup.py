@@ -81,3 +81,31 @@ def test_stage_keeps_one_row_of_each_text(spark):
     assert kept.columns == df.columns
     rows = [(r.doc_id or -1, r.text or "") for r in kept.collect()]
     assert sorted(rows) == [(-1, "alone"), (2, "a"), (4, ""), (5, "b"), (7, "é" * 9000), (8, "a "), (9, "c")]
+
+
+def test_index_is_opened_again_and_compacted_by_tiers(spark, monkeypatch):
+    import random
+
+    rnd = random.Random(6)
+    path = shared_dir(spark)
+    flushed = [[(rnd.randrange(1000), f"t{rnd.randrange(60)}") for _ in range(40)] for _ in range(9)]
+    digests = lambda rows: spark.createDataFrame(rows, "doc_id long, text string").select("doc_id", sha256(F.col("text")).alias("digest"))
+    for k, rows in enumerate(flushed):
+        index = DigestIndex(spark, path, filter_bits=4096)  # a new process each time
+        index.flush(digests(rows))
+        while index.compact_tier():
+            pass
+        assert len(index.spans()) == [1, 2, 3, 1, 2, 3, 4, 2, 3][k]
+    expected = defaultdict(list)
+    for d, t in sum(flushed, []):
+        expected[t].append(d)
+    os.makedirs(f"{index.path.removeprefix('file:')}/runs/00009-00009-0")  # a flush that died
+    asked = spark.createDataFrame([(f"t{k}",) for k in range(80)], "text string").select("text", sha256(F.col("text")).alias("digest"))
+    index = DigestIndex(spark, path, filter_bits=4096)
+    found = index.lookup(asked.select("digest")).join(asked, "digest").collect()
+    assert {r.text: (r.best, r.n) for r in found} == {t: (max(d), len(d)) for t, d in expected.items()}
+    index.flush(digests([(5000, "t0")]))
+    assert index.spans()[-1] == (9, 9, 0)
+    assert {r.text: r.best for r in index.lookup(asked.select("digest")).join(asked, "digest").collect()}["t0"] == 5000
+    assert {r.n for r in index.compact().join(asked.where("text = 't0'"), "digest").collect()} == {len(expected["t0"]) + 1}
+    assert DigestIndex(spark, shared_dir(spark)).lookup(asked).count() == 0

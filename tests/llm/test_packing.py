@@ -3,16 +3,16 @@ from collections import defaultdict
 
 import pytest
 
-from halocline.llm.packing import TierPacker, deal_steps, op5_packing, pack, tokenizer_file
+from halocline.llm.packing import PlainIds, TierPacker, WordIds, deal_steps, ids_of, op5_packing, pack, tokenizer_file
 
 SF = "/root/testdata/sf0.001"
 ODD = ["", None, " ", "a  b", "Don't STOP ÉÀ ß İx Σς", "x\x1cy\ta b", "1234 a1b2 ½ §", "<|endoftext|> <|x", "ño ́a", "..,, word,.: |a|", "w" * 3000, "ab " * 9000, "été\nNaïve\r\nend", "İstanbul ΑΣ. ªº µ"]
 
 
-def direct(texts):
+def direct(texts, name="word_bpe_49k.json"):
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(tokenizer_file())
+    t = Tokenizer.from_file(tokenizer_file(name))
     return [[*t.encode(x or "", add_special_tokens=False).ids, 2] for x in texts]
 
 
@@ -68,3 +68,17 @@ def test_steps_are_even():
     for n, g in zip(lengths, groups, strict=True):
         sums[g] += n
     assert max(sums.values()) - min(sums.values()) <= 4096
+
+
+def test_other_vocabularies_are_encoded_whole(spark, tmp_path):
+    import json
+
+    other = tokenizer_file("byte_bpe_50k.json")
+    assert isinstance(ids_of(tokenizer_file()), WordIds) and isinstance(ids_of(other), PlainIds)
+    df = spark.createDataFrame(list(enumerate(ODD)), "doc_id long, text string").coalesce(1)
+    check(pack(df, other, buffer_tokens=5000).collect(), dict(enumerate(direct(ODD, "byte_bpe_50k.json"))))
+    file = json.load(open(tokenizer_file(), encoding="utf-8"))
+    file["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] = "\\\\S+"
+    changed = tmp_path / "changed.json"
+    changed.write_text(json.dumps(file), encoding="utf-8")
+    assert isinstance(ids_of(str(changed)), PlainIds)

@@ -1,4 +1,5 @@
 import hashlib
+import os
 import random
 import re
 
@@ -66,3 +67,15 @@ def test_empty(spark):
 def test_table(spark):
     got = {r.doc_id: (r.n_assign, r.n_access, r.n_hex, r.base_sha256, r.spans) for r in op1_secret_scan(spark, SF).collect()}
     assert got == {r.doc_id: plain(r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+
+
+def test_ledger_is_opened_again_and_a_scan_is_done_again(spark):
+    df = spark.createDataFrame([(1, "token = abcdef"), (2, "secret:qwertyu")], "doc_id long, text string")
+    path = shared_dir(spark)
+    BlobLedger(spark, path, BASE).scan(df.where("doc_id = 1"))
+    os.makedirs(f"{path.removeprefix('file:')}/scan-00001")  # a scan that died before its end
+    again = BlobLedger(spark, path, BASE)
+    assert rows_of(again.scan(df)) == {1: "assign:0:14", 2: "assign:0:14"}
+    assert [spark.read.parquet(p).count() for p in again.parts] == [1, 1]
+    assert rows_of(BlobLedger(spark, path, BASE).scan(df)) == {1: "assign:0:14", 2: "assign:0:14"}
+    assert [spark.read.parquet(p).count() for p in again.parts] == [1, 1, 0]
