@@ -1,6 +1,7 @@
 import datetime as dt
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from halocline.sources import readers, writers
@@ -63,3 +64,26 @@ def test_stream_equals_batch(spark, tmp_path):
     shifted = rollups.tumbling(events, ["user_id"], "value", "5 days", "3 days").agg(F.min("window_start")).first()[0]
     assert (shifted - dt.datetime(1970, 1, 4)).days % 5 == 0
     assert rollups.monthly(events, ["user_id"], "value").agg(F.sum("n")).first()[0] == events.count()
+
+
+def test_manifest_is_written_and_read(spark, tmp_path):
+    from halocline.operators import spatial
+    from halocline.sources import manifest
+
+    points = spark.createDataFrame([("cook", 7, 61.4657288, -149.6356201), ("cook", 8, 61.4650000, -149.6350000), ("bay", 9, 10.5, 20.25)], "location string, face_id long, lat double, lon double")
+    cells = spatial.grid_points(points)
+    spec = spark.createDataFrame([("2.0.0", "1.0.0", "b1", 2, 8, "{location}/{data_version}/{data_level}/lat_deg={lat_deg}/lon_deg={lon_deg}/lat_dec={lat_dec}/lon_dec={lon_dec}/{face_id}.{lat}.{lon}-{temporal}.{date}.{time}", "s3://b/t/", None)], manifest.SPEC)
+    locations = spark.createDataFrame([("cook", "1.2.0", "1h", "20050101", "000000")], manifest.LOCATIONS)
+    manifest.write(spec, locations, spatial.grid_index(cells), spatial.grid_point_lists(cells), str(tmp_path))
+    m = manifest.load(spark, str(tmp_path))
+    cell = m.cell("61_-149_46_63")
+    assert sorted((r.face_id, r.lat) for r in cell.collect()) == [("00000007", "61.4657288"), ("00000008", "61.4650000")]
+    got = {r.face_id: r.path for r in m.paths(cell).collect()}
+    assert got["00000007"] == "cook/1.2.0/b1/lat_deg=61/lon_deg=-149/lat_dec=46/lon_dec=63/00000007.61.4657288.-149.6356201-1h.20050101.000000"
+    assert {r.path.split("/")[1] for r in m.paths(cell, "9.0.0").collect()} == {"9.0.0"}
+    assert [r.path for r in m.paths(m.cell("10_20_50_25")).collect()] == [None]
+    row = m.paths(cell).select(m.full_path("path", F.lit(False)).alias("a"), m.full_path("path", F.lit(True)).alias("b")).first()
+    assert row.a.startswith("s3://b/t/cook/") and row.b is None
+    manifest.write(spec.withColumn("spec_version", F.lit("1.9.0")), locations, spatial.grid_index(cells), spatial.grid_point_lists(cells), f"{tmp_path}/old")
+    with pytest.raises(ValueError, match="1.9.0"):
+        manifest.load(spark, f"{tmp_path}/old")
