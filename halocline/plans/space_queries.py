@@ -215,7 +215,13 @@ def transect(spark, sf):
     return rounded(spatial.transect(p, (0.0, 0.0), 60.0, 5000.0, [("lat", "lon"), ("la2", "lo2"), ("lat", "lo3")]).select("face_id", "distance_km"), "distance_km")
 
 
-@REG.add("hotspots_greedy")
+@REG.add("hotspots_greedy", f"""WITH RECURSIVE {POINTS_SQL}, pick AS (
+    SELECT 1 AS rank, best.*, [best.lat] AS ys, [best.lon] AS xs FROM (SELECT arg_max(struct_pack(face_id, lat, lon, value), (value, -face_id)) AS best FROM points)
+    UNION ALL
+    SELECT rank + 1, best.*, list_append(ys, best.lat), list_append(xs, best.lon) FROM (
+        SELECT k.rank, k.ys, k.xs, arg_max(struct_pack(face_id := q.face_id, lat := q.lat, lon := q.lon, value := q.value), (q.value, -q.face_id)) AS best FROM pick k, points q
+        WHERE k.rank < 10 AND list_bool_and(list_transform(generate_series(1, len(k.ys)), lambda i: sqrt(pow((q.lat - k.ys[i]) * 111000, 2) + pow((q.lon - k.xs[i]) * 111000 * cos(radians(q.lat)), 2)) >= 500000)) GROUP BY ALL))
+    SELECT CAST(rank AS INTEGER) AS rank, face_id, lat, lon, value, 500000.0::DOUBLE AS spacing_m FROM pick""")
 def hotspots_greedy(spark, sf):
     return spatial.hotspots(points(spark, sf), "value", 10, 500_000.0)
 
@@ -226,11 +232,21 @@ def geodesic_edges(spark, sf):
     return p.select("face_id", geo.grid_resolution([("lat", "lon"), ("la2", "lon"), ("lat", "lo2")]).alias("grid_resolution_m"))
 
 
-@REG.add("utm_inverse")
+# The Krueger series written out: with xi and eta the scaled northing and easting, chi the conformal latitude.
+UTM_SQL = f"""WITH {POINTS_SQL}, k AS (SELECT 1 / (2 * 298.257223563::DOUBLE - 1) AS n),
+    s AS (SELECT face_id, n, abs(lat) * 110000 / r AS xi, (500000 + lon * 1000 - 500000) / r AS eta FROM points, (SELECT n, 0.9996::DOUBLE * 6378137 / (1 + n) * (1 + pow(n, 2) / 4 + pow(n, 4) / 64) AS r FROM k)),
+    c AS (SELECT *, n / 2 - 2 * pow(n, 2) / 3 + 37 * pow(n, 3) / 96 AS b1, pow(n, 2) / 48 + pow(n, 3) / 15 AS b2, 17 * pow(n, 3) / 480 AS b3 FROM s),
+    d AS (SELECT *, xi - b1 * sin(2 * xi) * cosh(2 * eta) - b2 * sin(4 * xi) * cosh(4 * eta) - b3 * sin(6 * xi) * cosh(6 * eta) AS x, eta - b1 * cos(2 * xi) * sinh(2 * eta) - b2 * cos(4 * xi) * sinh(4 * eta) - b3 * cos(6 * xi) * sinh(6 * eta) AS e FROM c),
+    f AS (SELECT *, asin(sin(x) / cosh(e)) AS chi FROM d)
+    SELECT face_id, round(degrees(chi + (2 * n - 2 * pow(n, 2) / 3 - 2 * pow(n, 3)) * sin(2 * chi) + (7 * pow(n, 2) / 3 - 8 * pow(n, 3) / 5) * sin(4 * chi) + 56 * pow(n, 3) / 15 * sin(6 * chi)), 8) + 0.0 AS lat,
+           round(degrees(atan2(sinh(e), cos(x))) - 69, 8) + 0.0 AS lon FROM f"""
+
+
+@REG.add("utm_inverse", UTM_SQL)
 def utm_inverse(spark, sf):
     p = points(spark, sf)
     lat, lon = geo.utm_inverse(F.lit(500_000.0) + F.col("lon") * 1000, F.abs("lat") * 110_000, 19)
-    return p.select("face_id", lat.alias("lat"), lon.alias("lon"))
+    return rounded(p.select("face_id", lat.alias("lat"), lon.alias("lon")), "lat", "lon", digits=8)
 
 
 @REG.add("dateline_split")
