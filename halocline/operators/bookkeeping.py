@@ -12,9 +12,13 @@ PENDING, COMPLETED, FAILED, SKIPPED = "pending", "completed", "failed", "skipped
 
 
 def build_manifest(files: DataFrame, order: str = "relative_path") -> DataFrame:
-    """Files numbered in path order, all pending.  Numbers come from range-sorted partitions, not from one task."""
+    """Files numbered in path order, all pending.  Numbers come from range-sorted partitions, not from one task.
+
+    The sorted partitions are checkpointed to the folder in ``spark.checkpoint.dir``, as a partition computed again after
+    a lost executor need not be cut where it was.
+    """
     ranged = files.repartitionByRange(order).sortWithinPartitions(order).withColumn("part_", F.spark_partition_id()).withColumn("row_", F.monotonically_increasing_id() % (1 << 33))
-    ranged = ranged.cache()
+    ranged = ranged.checkpoint()
     sizes = ranged.groupBy("part_").agg(F.count("*").alias("n_"))  # a row per partition
     starts = sizes.withColumn("start_", F.sum("n_").over(Window.orderBy("part_")) - F.col("n_")).drop("n_")
     out = ranged.join(F.broadcast(starts), "part_").withColumn("file_index", F.col("start_") + F.col("row_")).withColumn("upload_status", F.lit(PENDING))
