@@ -67,3 +67,33 @@ def test_an_id_of_many_rows_is_one_of_the_sample(spark, monkeypatch):
     docs = spark.createDataFrame([(i % 8, f"line {i}") for i in range(200)], "doc_id long, text string")
     train(docs, spark.createDataFrame([(i, i % 2) for i in range(8)], "doc_id long, quality int"))
     assert seen == [sum(zlib.crc32(str(d).encode()) % 4 != 2 for d in range(8))]
+
+
+def test_whole_document_scores_against_all_labellings(spark):
+    """Every document of few lines: its score from the sum over all ways to call its lines good or bad."""
+    import itertools
+    import math
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    model = train(docs, spark.read.parquet("/root/testdata/sf0.001/labels.parquet"))
+    assert model.fitted
+    checked = 0
+    for r in score(docs, model).join(docs, "doc_id").collect():
+        x, length, row = line_features(pa.array([r.text]))
+        if len(x) > 9:
+            continue
+        if not len(x):
+            assert r.score == 0
+            continue
+        pad = np.zeros((1, OWN))
+        near = np.concatenate((x, np.concatenate((pad, x[:-1])), np.concatenate((x[1:], pad))), axis=1)
+        own = np.clip(near @ model.w, -30, 30)
+        total, good = 0.0, np.zeros(len(x))
+        for states in itertools.product((0, 1), repeat=len(x)):
+            e = sum(s / 2 if k else -s / 2 for s, k in zip(own, states, strict=True)) + sum(model.trans[a, b] for a, b in zip(states, states[1:], strict=False))
+            total += math.exp(e)
+            good += math.exp(e) * np.array(states)
+        mean = float((good / total * length).sum() / length.sum())
+        assert abs(r.score - 1 / (1 + math.exp(-(model.scale[0] * (mean - 0.5) + model.scale[1])))) < 1e-6
+        checked += 1
+    assert checked > 50
