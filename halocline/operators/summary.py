@@ -92,12 +92,15 @@ def gradient(value: str, keys: list[str], order: list[str]) -> Column:
     return F.when(before.isNull(), after - here).when(after.isNull(), here - before).otherwise((after - before) / 2)
 
 
-def flood_ebb(df: DataFrame, keys: list[str], order: list[str], direction: str, speed: str, elevation: str, width: float = 2.0, threshold: float = 0.5, hours_per_step: float = 0.5) -> DataFrame:
+def flood_ebb(df: DataFrame, keys: list[str], order: list[str], direction: str, speed: str, elevation: str | None, width: float = 2.0, threshold: float = 0.5, hours_per_step: float = 0.5, slope: str | None = None) -> DataFrame:
     """Per series and for rising (flood) and falling (ebb) water: modal direction, mean speed in its bin, and hours
     at or above ``threshold`` speed.  A flat gradient is neither; a phase without rows gives zeros.
+
+    ``slope`` is the column of the gradient where it is known; else it is taken from ``elevation``.
     """
-    phased = df.withColumn("slope_", gradient(elevation, keys, order)).withColumn("phase_", F.when(F.col("slope_") > 0, "flood").when(F.col("slope_") < 0, "ebb"))
-    bins = phased.where(F.col("phase_").isNotNull()).groupBy(*keys, "phase_", direction_bin(direction, width).alias("bin_")).agg(
+    phased = df.withColumn("slope_", F.col(slope) if slope else gradient(elevation, keys, order)).withColumn("phase_", F.when(F.col("slope_") > 0, "flood").when(F.col("slope_") < 0, "ebb"))
+    # rows of neither phase stay, so that a series without any has its row
+    bins = phased.groupBy(*keys, "phase_", direction_bin(direction, width).alias("bin_")).agg(
         F.count(direction).alias("n_"),
         F.avg(F.when(F.col(direction) < 360, F.col(speed))).alias("speed_"),
         (F.count_if(F.col(speed) >= threshold) * hours_per_step).alias("hours_"),
@@ -109,7 +112,7 @@ def flood_ebb(df: DataFrame, keys: list[str], order: list[str], direction: str,
         aggs.append(F.coalesce(F.max_by("bin_", own) * width, F.lit(0.0)).alias(f"{phase}_direction"))
         aggs.append(F.coalesce(F.max_by("speed_", own), F.lit(0.0)).alias(f"{phase}_mean_speed"))
         aggs.append(F.coalesce(F.sum(F.when(F.col("phase_") == phase, F.col("hours_"))), F.lit(0.0)).alias(f"{phase}_hours"))
-    return df.select(*keys).distinct().join(bins.groupBy(*keys).agg(*aggs), keys, "left").fillna(0.0, [f"{p}_{c}" for p in ("flood", "ebb") for c in ("direction", "mean_speed", "hours")])
+    return bins.groupBy(*keys).agg(*aggs)
 
 
 def depth_average(df: DataFrame, keys: list[str], columns: list[str], circular: bool = False) -> DataFrame:

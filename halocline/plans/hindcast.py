@@ -94,8 +94,9 @@ def summarize(layers: DataFrame, columns: DataFrame, surface: DataFrame, loc: Lo
     wide = reshape.pivot_layers(per_layer, keys, ["u", "v", "speed", "to_direction", "power_density"])
     tide = tides.tidal_summary(surface, keys)
     top = summary.surface_layer(layers, keys, "speed")
-    with_level = layers.join(surface.select(*keys, "time", F.col("surface_elevation").alias("elevation")), [*keys, "time"])
-    phases = summary.flood_ebb(with_level, [*keys, "sigma_layer"], ["time"], "to_direction", "speed", "elevation", hours_per_step=hours)
+    # the slope of the water is one value per face and time, taken before its layers multiply the rows
+    slopes = surface.select(*keys, "time", summary.gradient("surface_elevation", keys, ["time"]).alias("slope"))
+    phases = summary.flood_ebb(layers.join(slopes, [*keys, "time"]), [*keys, "sigma_layer"], ["time"], "to_direction", "speed", None, hours_per_step=hours, slope="slope")
     phase = phases.groupBy(*keys).agg(*[F.avg(f"{p}_{c}").alias(f"{p}_{c}_depth_avg") for p in ("flood", "ebb") for c in ("direction", "mean_speed")])
     height = summary.column_height(surface, keys)
     out = column

@@ -116,12 +116,10 @@ def etag_mismatches(spark, sf):
     return bookkeeping.etag_mismatches(manifest(spark, sf), listed(spark, sf)).select("file_index", "seen_etag")
 
 
-@REG.add("multipart_etag", """WITH d AS (SELECT doc_id, encode(text) AS b FROM documents),
-    p AS (SELECT doc_id, octet_length(b) AS n, b FROM d)
-    SELECT doc_id, CASE WHEN n <= 4096 THEN 1 ELSE CAST(ceil(n / 4096.0) AS BIGINT) END AS n_parts FROM p""")
+@REG.add("multipart_etag", """WITH d AS (SELECT doc_id, hex(encode(text)) AS h, octet_length(encode(text)) AS n FROM documents), p AS (SELECT *, CAST(ceil(n / 4096.0) AS BIGINT) AS k FROM d)
+    SELECT doc_id, CASE WHEN n <= 4096 THEN md5(unhex(h)) ELSE md5(unhex(array_to_string(list_transform(generate_series(0, k - 1), lambda i: md5(unhex(substr(h, i * 8192 + 1, 8192)))), ''))) || '-' || k END AS etag FROM p""")
 def multipart_etag(spark, sf):
-    etag = names.multipart_etag(F.col("text").cast("binary"), 4096)
-    return table(spark, sf, "documents").select("doc_id", F.when(etag.contains("-"), F.substring_index(etag, "-", -1).cast("long")).otherwise(1).alias("n_parts"))
+    return table(spark, sf, "documents").select("doc_id", names.multipart_etag(F.col("text").cast("binary"), 4096).alias("etag"))
 
 
 @REG.add("jobs_needed", "SELECT n_nationkey AS nation, CAST(ceil((n_nationkey * 37 + 1) / 10.0) AS BIGINT) AS jobs FROM nation")
