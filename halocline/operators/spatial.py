@@ -331,17 +331,18 @@ def split_dateline(df: DataFrame, corners: list[tuple[str, str]]) -> DataFrame:
 # ---------------------------------------------------------------- transects and hotspots
 
 
-def transect(faces: DataFrame, start: tuple[float, float], bearing_deg: float, length_km: float, corners: list[tuple[str, str]]) -> DataFrame:
+def transect(faces: DataFrame, start: tuple[float, float], bearing_deg: float, length_km: float, corners: list[tuple[str, str]], back_km: float = 0.0) -> DataFrame:
     """Faces that a line from ``start`` on a bearing cuts, in order of their distance along it (km, planar).
 
-    A face is cut when its corners lie on both sides of the line and it reaches into the line's span.
+    A face is cut when its corners lie on both sides of the line and it reaches into the line's span, which goes on for
+    ``back_km`` in the opposite direction, where distances are negative.
     """
     km_lat, km_lon = geo.KM_PER_DEGREE, geo.KM_PER_DEGREE * math.cos(math.radians(start[0]))
     uy, ux = math.cos(math.radians(bearing_deg)), math.sin(math.radians(bearing_deg))
     rel = [((F.col(lat) - start[0]) * km_lat, (F.col(lon) - start[1]) * km_lon) for lat, lon in corners]
     side = [x * uy - y * ux for y, x in rel]
     along = [y * uy + x * ux for y, x in rel]
-    cut = (F.least(*side) <= 0) & (F.greatest(*side) >= 0) & (F.greatest(*along) >= 0) & (F.least(*along) <= length_km)
+    cut = (F.least(*side) <= 0) & (F.greatest(*side) >= 0) & (F.greatest(*along) >= -back_km) & (F.least(*along) <= length_km)
     return faces.where(cut).withColumn("distance_km", (along[0] + along[1] + along[2]) / 3).orderBy("distance_km", "face_id")
 
 
@@ -398,5 +399,24 @@ def choose_spaced(ranked: DataFrame, top_n: int, spacing_m: float, pool: int) ->
     return chosen
 
 
+#: Rows of a hotspot report that are sent to all tasks.
+MOST_SPOTS = 10_000
+
+
+def neighbourhoods(faces: DataFrame, spots: DataFrame, value: str, side_m: float) -> DataFrame:
+    """Per hotspot (rank, lat, lon): faces in the square of ``side_m`` around it, their mean, maximum and bounds.
+
+    Hotspots are a report's rows (a top-n), so they go to the faces; more than MOST_SPOTS are refused.
+    """
+    if spots.limit(MOST_SPOTS + 1).count() > MOST_SPOTS:
+        raise ValueError(f"more than {MOST_SPOTS} hotspots")
+    half = side_m / 2 / 111_000.0
+    at = spots.select("rank", F.col("lat").alias("y_"), F.col("lon").alias("x_"))
+    near = (F.abs(F.col("lat") - F.col("y_")) <= half) & (F.abs(F.col("lon") - F.col("x_")) * F.cos(F.radians("y_")) <= half)
+    joined = faces.join(F.broadcast(at), near)
+    bounds = [f(c).alias(f"{c}_{f.__name__}") for c in ("lat", "lon") for f in (F.min, F.max)]
+    return joined.groupBy("rank").agg(F.count("*").alias("n_faces"), F.avg(value).alias("mean_value"), F.max(value).alias("max_value"), *bounds)
+
+
 def planar_metres(lat1: float, lon1: float, lat2: float, lon2: float) -> float:
     return math.hypot((lat1 - lat2) * 111_000, (lon1 - lon2) * 111_000 * math.cos(math.radians(lat1)))

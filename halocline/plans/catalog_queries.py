@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from halocline.operators import derive, standard, summary, timeline
+from halocline.operators import derive, spatial, standard, summary, timeline
 from halocline.plans.flow_queries import FLOOD_SQL
 from halocline.plans.tables import POINTS_SQL, SERIES_SQL, VELOCITY_SQL, Registry, points, rounded, series, table, velocity
-from halocline.sources import manifest
+from halocline.sources import manifest, readers
 
 REG = Registry()
 TEMPLATE = "{location}/{data_version}/{data_level}/lat_deg={lat_deg}/lon_deg={lon_deg}/lat_dec={lat_dec}/lon_dec={lon_dec}/{location}.face={face_id}.lat={lat}.lon={lon}-{temporal}.b4.{date}.{time}.parquet"
@@ -156,3 +156,28 @@ def phase_depth_average(spark, sf):
 @REG.add("declared_limits", f"WITH {POINTS_SQL} SELECT face_id FROM points WHERE NOT (lat BETWEEN -60 AND 70) OR NOT (value BETWEEN 0 AND 9000)")
 def declared_limits(spark, sf):
     return standard.out_of_declared(points(spark, sf), {"lat": (-60.0, 70.0), "value": (0.0, 9000.0)}).select("face_id")
+
+
+@REG.add("fact_sizes", f"WITH {SERIES_SQL} SELECT count(DISTINCT face_id) AS n_faces, count(DISTINCT time) AS n_times, count(*) AS n_rows FROM series")
+def fact_sizes(spark, sf):
+    return readers.fact_sizes(series(spark, sf))
+
+
+@REG.add("transect_both_ways", f"""WITH {POINTS_SQL}, t AS (SELECT face_id, lat * 111.0::DOUBLE AS y, lon * 111.0::DOUBLE AS x FROM points),
+    c AS (SELECT face_id, [y, y + 111, y] AS ys, [x, x + 55.5::DOUBLE, x + 111] AS xs FROM t),
+    s AS (SELECT face_id, list_transform([1, 2, 3], lambda i: xs[i] * cos(radians(60)) - ys[i] * sin(radians(60))) AS side, list_transform([1, 2, 3], lambda i: ys[i] * cos(radians(60)) + xs[i] * sin(radians(60))) AS along FROM c)
+    SELECT face_id, round(list_sum(along) / 3, 6) + 0.0 AS distance_km FROM s WHERE list_min(side) <= 0 AND list_max(side) >= 0 AND list_max(along) >= -3000 AND list_min(along) <= 5000""")
+def transect_both_ways(spark, sf):
+    p = points(spark, sf).withColumns({"la2": F.col("lat") + 1, "lo2": F.col("lon") + 0.5, "lo3": F.col("lon") + 1})
+    cut = spatial.transect(p, (0.0, 0.0), 60.0, 5000.0, [("lat", "lon"), ("la2", "lo2"), ("lat", "lo3")], back_km=3000.0)
+    return rounded(cut.select("face_id", "distance_km"), "distance_km")
+
+
+@REG.add("hotspot_neighbourhoods", f"""WITH {POINTS_SQL}, spots AS (SELECT n_nationkey + 1 AS rank, n_nationkey * 6 - 75 AS y, n_nationkey * 13 - 155 AS x FROM nation)
+    SELECT CAST(rank AS INTEGER) AS rank, count(*) AS n_faces, round(avg(value), 6) AS mean_value, max(value) AS max_value, round(min(lat), 6) AS lat_min, round(max(lat), 6) AS lat_max, round(min(lon), 6) AS lon_min, round(max(lon), 6) AS lon_max
+    FROM points, spots WHERE abs(lat - y) <= 2000000 / 2 / 111000.0::DOUBLE AND abs(lon - x) * cos(radians(y)) <= 2000000 / 2 / 111000.0::DOUBLE GROUP BY rank""")
+def hotspot_neighbourhoods(spark, sf):
+    key = F.col("n_nationkey")
+    spots = table(spark, sf, "nation").select((key + 1).cast("int").alias("rank"), (key * 6 - 75).cast("double").alias("lat"), (key * 13 - 155).cast("double").alias("lon"))
+    out = spatial.neighbourhoods(points(spark, sf), spots, "value", 2_000_000.0)
+    return rounded(out, "mean_value", "lat_min", "lat_max", "lon_min", "lon_max")

@@ -75,3 +75,14 @@ def schema_problems(df: DataFrame, required: T.StructType) -> list[tuple[str, st
         elif have[f.name] not in wide.get(f.dataType, (f.dataType,)):
             out.append((f.name, f"{have[f.name].simpleString()} for {f.dataType.simpleString()}"))
     return out
+
+
+def read_hotspots(spark: SparkSession, path: str) -> DataFrame:
+    from halocline.sources.writers import HOTSPOTS
+
+    return spark.read.schema(HOTSPOTS).option("header", True).csv(path)
+
+
+def fact_sizes(fact: DataFrame, face: str = "face_id", time: str = "time") -> DataFrame:
+    """(n_faces, n_times, n_rows) of a fact, in one aggregation."""
+    return fact.agg(F.count_distinct(face).alias("n_faces"), F.count_distinct(time).alias("n_times"), F.count("*").alias("n_rows"))

@@ -40,6 +40,26 @@ def write_manifest(index: DataFrame, points: DataFrame, path: str) -> None:
     points.write.mode("overwrite").json(f"{path}/grid_points")
 
 
+def write_daily(df: DataFrame, path: str, time: str = "time", skip_existing: bool = True) -> None:
+    """One folder a day, compressed for the archive; days that are there already are left as they are."""
+    spark = df.sparkSession
+    dated = df.withColumn("day", F.to_date(time))
+    if skip_existing:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        if folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+            done = spark.read.parquet(path).select("day").distinct()
+            dated = dated.join(done, "day", "left_anti")
+    dated.repartitionByRange("day", time).sortWithinPartitions("day", time).write.mode("append").option("compression", COMPRESSION["archival"]).partitionBy("day").parquet(path)
+
+
+HOTSPOTS = "rank int, face_id long, lat double, lon double, value double, spacing_m double"
+
+
+def write_hotspots(spots: DataFrame, path: str) -> None:
+    """A report's few rows as one CSV file with a header."""
+    spots.orderBy("rank").coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+
+
 def geojson_features(df: DataFrame, ring: str, properties: list[str]) -> DataFrame:
     """One GeoJSON feature per row as text; ``ring`` is a closed array of (lon, lat)."""
     geometry = F.struct(F.lit("Polygon").alias("type"), F.array(F.transform(ring, lambda p: F.array(p["lon"], p["lat"]))).alias("coordinates"))

@@ -87,3 +87,21 @@ def test_manifest_is_written_and_read(spark, tmp_path):
     manifest.write(spec.withColumn("spec_version", F.lit("1.9.0")), locations, spatial.grid_index(cells), spatial.grid_point_lists(cells), f"{tmp_path}/old")
     with pytest.raises(ValueError, match="1.9.0"):
         manifest.load(spark, f"{tmp_path}/old")
+
+
+def test_daily_archive_skips_days_that_are_there(spark, tmp_path):
+    rows = [(1, dt.datetime(2007, 1, d, h), float(h)) for d in (1, 2) for h in range(4)]
+    df = spark.createDataFrame(rows, "face_id long, time timestamp, speed double")
+    at = f"{tmp_path}/daily"
+    writers.write_daily(df.where("day(time) = 1"), at)
+    writers.write_daily(df.withColumn("speed", F.col("speed") + 100), at)
+    got = spark.read.parquet(at)
+    assert got.count() == 8 and got.where("speed >= 100").select("day").distinct().count() == 1
+    writers.write_daily(df.where("day(time) = 2"), at, skip_existing=False)
+    assert spark.read.parquet(at).count() == 12
+
+
+def test_hotspots_as_csv(spark, tmp_path):
+    rows = [(2, 8, 1.25, -3.5, 0.5, 100.0), (1, 7, 1.0, 2.0, None, 100.0)]
+    writers.write_hotspots(spark.createDataFrame(rows, writers.HOTSPOTS), f"{tmp_path}/spots")
+    assert [tuple(r) for r in readers.read_hotspots(spark, f"{tmp_path}/spots").orderBy("rank").collect()] == sorted(rows)
