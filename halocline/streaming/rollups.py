@@ -5,7 +5,7 @@ State is bounded by a watermark; a late or repeated row within it is counted onc
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -51,3 +51,21 @@ def latest_updates(df: DataFrame, keys: list[str]) -> DataFrame:
     """Of a folder written by upsert: each key's row of its last batch."""
     others = [c for c in df.columns if c not in (*keys, "batch")]
     return df.groupBy(*keys).agg(F.max_by(F.struct(*others), "batch").alias("r")).select(*keys, "r.*")
+
+
+def compact(spark: SparkSession, path: str, keys: list[str], into: str) -> DataFrame:
+    """What latest_updates gives for the batches written so far, as one table at ``into``, marked with the last batch.
+
+    Later reads take that table and the batches after it (since), so they do not read every batch ever written.
+    """
+    batches = spark.read.parquet(path)
+    last = batches.agg(F.max("batch")).first()[0]
+    latest_updates(batches, keys).withColumn("batch", F.lit(last)).write.mode("overwrite").parquet(into)
+    return spark.read.parquet(into)
+
+
+def since(spark: SparkSession, path: str, compacted: DataFrame, keys: list[str]) -> DataFrame:
+    """Each key's last row over a compacted table and the batches that came after it; older folders are pruned."""
+    done = compacted.agg(F.max("batch")).first()[0]
+    newer = spark.read.parquet(path).where(F.col("batch") > done)
+    return latest_updates(compacted.unionByName(newer), keys)

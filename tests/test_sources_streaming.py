@@ -105,3 +105,32 @@ def test_hotspots_as_csv(spark, tmp_path):
     rows = [(2, 8, 1.25, -3.5, 0.5, 100.0), (1, 7, 1.0, 2.0, None, 100.0)]
     writers.write_hotspots(spark.createDataFrame(rows, writers.HOTSPOTS), f"{tmp_path}/spots")
     assert [tuple(r) for r in readers.read_hotspots(spark, f"{tmp_path}/spots").orderBy("rank").collect()] == sorted(rows)
+
+
+def test_updates_are_compacted_and_a_restart_goes_on(spark, tmp_path):
+    source, out, state = (f"{tmp_path}/{n}" for n in ("source", "out", "state"))
+    schema = "face_id long, time timestamp, zeta double"
+    seen = []
+    for day in (1, 2, 3):
+        rows = [(f, dt.datetime(2007, 1, day, h), float(day + f + h)) for f in (1, 2) for h in range(3)]
+        seen += rows
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(source)
+        stream = rollups.monthly(spark.readStream.schema(schema).parquet(source), ["face_id"], "zeta", lateness="30 days")
+        rollups.upsert(stream, out, state).awaitTermination()  # a new query each time, from the same checkpoint
+        if day == 2:
+            compacted = rollups.compact(spark, out, ["face_id", "month"], f"{tmp_path}/compacted")
+    batch = rollups.monthly(spark.createDataFrame(seen, schema), ["face_id"], "zeta")
+    got = rollups.since(spark, out, compacted, ["face_id", "month"])
+    key = lambda df: sorted((r.face_id, r.month, r.n, r.min, r.max, round(r["mean"], 9)) for r in df.collect())
+    assert key(got) == key(batch) == key(rollups.latest_updates(spark.read.parquet(out), ["face_id", "month"]))
+
+
+def test_rows_later_than_the_watermark_are_left_out(spark, tmp_path):
+    source, out, state = (f"{tmp_path}/{n}" for n in ("source", "out", "state"))
+    schema = "face_id long, time timestamp, zeta double"
+    for rows in ([(1, dt.datetime(2007, 1, 1, 0), 1.0), (1, dt.datetime(2007, 1, 20, 0), 2.0)], [(1, dt.datetime(2007, 1, 1, 1), 9.0), (1, dt.datetime(2007, 1, 25, 0), 3.0)], [(1, dt.datetime(2007, 2, 20, 0), 4.0)]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+        daily = rollups.tumbling(spark.readStream.schema(schema).parquet(source), ["face_id"], "zeta", lateness="2 days")
+        rollups.write(daily, out, state).awaitTermination()
+    days = {r.window_start.day: r.n for r in spark.read.schema("face_id long, window_start timestamp, n long").parquet(out).collect() if r.window_start.month == 1}
+    assert days[1] == 1 and days[20] == 1 and days[25] == 1
