@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from halocline.llm import decontamination, exact_dedup, secret_scan, url_filter
+from halocline.llm import chat_format, decontamination, divergence, exact_dedup, secret_scan, url_filter
+from halocline.llm.chat_format import op11_chat_format
 from halocline.llm.decontamination import op3_decontamination
+from halocline.llm.divergence import op13_divergence
 from halocline.llm.html_text import op2_html_text
 from halocline.llm.packing import op5_packing
 from halocline.llm.pii import op9_pii
 from halocline.llm.quality import op10_quality
+from halocline.llm.resampling import op12_resampling
 from halocline.llm.secret_scan import op1_secret_scan
 from halocline.llm.simhash import op8_simhash
 from halocline.llm.toxicity import op7_toxicity
@@ -23,6 +26,9 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_pii": op9_pii,
     "op10_quality": op10_quality,
+    "op11_chat_format": op11_chat_format,
+    "op12_resampling": op12_resampling,
+    "op13_divergence": op13_divergence,
 }
 
-ORACLE_SQL: dict[str, str] = secret_scan.ORACLE_SQL | decontamination.ORACLE_SQL | url_filter.ORACLE_SQL | exact_dedup.ORACLE_SQL
+ORACLE_SQL: dict[str, str] = secret_scan.ORACLE_SQL | decontamination.ORACLE_SQL | url_filter.ORACLE_SQL | exact_dedup.ORACLE_SQL | chat_format.ORACLE_SQL | divergence.ORACLE_SQL
