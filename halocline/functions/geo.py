@@ -54,9 +54,13 @@ def one_hemisphere(lons: ColumnOrName) -> Column:
     return F.when(west, F.transform(x, lambda v: F.when(v > 0, v - 360.0).otherwise(v))).otherwise(F.transform(x, lambda v: F.when(v < 0, v + 360.0).otherwise(v)))
 
 
-def utc_offset_hours(zone: ColumnOrName) -> Column:
-    """A time zone's offset at noon of 2023-01-15, in whole hours towards zero."""
-    noon = F.lit("2023-01-15 12:00:00").cast("timestamp_ntz")
+#: A winter's day, so that offsets are those of standard time in the north.
+OFFSET_DAY = "2023-01-15"
+
+
+def utc_offset_hours(zone: ColumnOrName, day: str = OFFSET_DAY) -> Column:
+    """A time zone's offset at noon (UTC) of a day, in whole hours towards zero."""
+    noon = F.lit(f"{day} 12:00:00").cast("timestamp_ntz")
     return (F.timestamp_diff("MINUTE", noon, F.convert_timezone(F.lit("UTC"), as_col(zone), noon)) / 60).cast("int")
 
 

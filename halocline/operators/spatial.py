@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from halocline.functions import geo, names
+from halocline.operators.coast import jurisdiction as jurisdiction
 
 # ---------------------------------------------------------------- manifest
 
@@ -88,61 +89,13 @@ def along_line(index: DataFrame, start: tuple[float, float], end: tuple[float, f
     out = index.withColumn("along", along).withColumn("across", across)
     out = out.where((F.col("across") <= max_degrees) & F.col("along").between(-max_degrees, length + max_degrees))
     if max_points is not None:
-        out = out.orderBy("across", "grid_id").limit(max_points)
+        out = out.orderBy(F.round("across", 9), "grid_id").limit(max_points)  # cells equally far but for rounding go by id
     return out.orderBy("along", "grid_id")
 
 
 # ---------------------------------------------------------------- polygons and shores
 
 
-def bounded_cells(df: DataFrame, lat: str, lon: str, size: float) -> DataFrame:
-    return df.withColumn("cell_y", F.floor(F.col(lat) / size).cast("int")).withColumn("cell_x", F.floor(F.col(lon) / size).cast("int"))
-
-
-def ring_cells(polygons: DataFrame, ring: str, size: float) -> DataFrame:
-    """Polygons exploded to the cells of their bounding box, for an equi-join with points."""
-    lats, lons = F.transform(ring, lambda p: p["lat"]), F.transform(ring, lambda p: p["lon"])
-    cell = lambda v: F.floor(v / size).cast("int")
-    out = polygons.withColumn("cell_y", F.explode(F.sequence(cell(F.array_min(lats)), cell(F.array_max(lats)))))
-    return out.withColumn("cell_x", F.explode(F.sequence(cell(F.array_min(lons)), cell(F.array_max(lons)))))
-
-
-def points_in_polygons(points: DataFrame, polygons: DataFrame, ring: str = "ring", size: float = 1.0) -> DataFrame:
-    """(point, polygon) pairs where the point lies inside: an equi-join on grid cells, then the exact test."""
-    joined = bounded_cells(points, "lat", "lon", size).join(ring_cells(polygons, ring, size), ["cell_y", "cell_x"])
-    return joined.where(geo.point_in_ring("lat", "lon", ring)).drop("cell_y", "cell_x", ring)
-
-
-def jurisdiction(found: DataFrame, keys: list[str]) -> DataFrame:
-    """One label per point from all boundaries that contain it; a point in none has one row of nulls.
-
-    In this order: state waters; the territorial sea, unless its region is an Atlantic or Pacific coast, where
-    claims away from a state's waters are left out; the exclusive economic zone; management areas of federal
-    consistency (of several areas one must be named just so, other areas give "not found"); Alaska; outside.
-    """
-    text = lambda c: F.col(c) if c in found.columns else F.lit(None).cast("string")
-    flag = lambda c: F.coalesce(F.max(F.col(c) > 0), F.lit(False))
-    flags = found.groupBy(*keys).agg(
-        F.array_join(F.array_sort(F.collect_set(F.when(F.col("source") == "state", F.col("stateName")))), "/").alias("states"),
-        flag("TS").alias("in_ts"),
-        flag("EEZ").alias("in_eez"),
-        F.collect_set(text("REGION")).alias("regions"),
-        F.collect_list(F.when(F.col("source") == "czma", text("CZMADomain"))).alias("domains"),
-    )
-    eez, outside, rule = "exclusive economic zone", "outside", "federal consistency"
-    coast = F.exists("regions", lambda r: r.contains("Atlantic Coast") | r.contains("Pacific Coast"))
-    consistent = F.array_contains("domains", rule) | ((F.size("domains") == 1) & F.get("domains", F.lit(0)).contains(rule))
-    label = (
-        F.when(F.col("states") != "", F.concat(F.col("states"), F.lit(" state waters")))
-        .when(F.col("in_ts"), F.when(coast, outside).otherwise("territorial sea"))
-        .when(F.col("in_eez"), eez)
-        .when(F.size("domains") > 0, F.when(consistent, eez).otherwise("not found"))
-        .when(F.array_contains("regions", "Alaska"), eez)
-        .otherwise(outside)
-    )
-    return flags.select(*keys, label.alias("jurisdiction"))
-
-
 def convex_hull(points: list[tuple[float, float]]) -> list[tuple[float, float]]:
     """The closed hull of points, anticlockwise."""
     left = sorted(set(points))

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from halocline.operators import derive, spatial, standard, summary, timeline
 from halocline.plans.flow_queries import FLOOD_SQL
-from halocline.plans.tables import POINTS_SQL, SERIES_SQL, VELOCITY_SQL, Registry, points, rounded, series, table, velocity
+from halocline.plans.space_queries import transect_start
+from halocline.plans.tables import POINTS_SQL, SERIES_SQL, TOP_SQL, VELOCITY_SQL, Registry, points, rounded, series, table, velocity
 from halocline.sources import manifest, readers
 
 REG = Registry()
@@ -163,13 +164,13 @@ def fact_sizes(spark, sf):
     return readers.fact_sizes(series(spark, sf))
 
 
-@REG.add("transect_both_ways", f"""WITH {POINTS_SQL}, t AS (SELECT face_id, lat * 111.0::DOUBLE AS y, lon * 111.0::DOUBLE AS x FROM points),
-    c AS (SELECT face_id, [y, y + 111, y] AS ys, [x, x + 55.5::DOUBLE, x + 111] AS xs FROM t),
+@REG.add("transect_both_ways", f"""WITH {POINTS_SQL}, {TOP_SQL}, o AS (SELECT lat0 + 0.25::DOUBLE AS oy, lon0 + 0.4::DOUBLE AS ox FROM top), t AS (SELECT face_id, (lat - oy) * 111 AS y, (lon - ox) * 111 * cos(radians(oy)) AS x, 55.5::DOUBLE * cos(radians(oy)) AS half FROM points, o),
+    c AS (SELECT face_id, [y, y + 111, y] AS ys, [x, x + half, x + 2 * half] AS xs FROM t),
     s AS (SELECT face_id, list_transform([1, 2, 3], lambda i: xs[i] * cos(radians(60)) - ys[i] * sin(radians(60))) AS side, list_transform([1, 2, 3], lambda i: ys[i] * cos(radians(60)) + xs[i] * sin(radians(60))) AS along FROM c)
     SELECT face_id, round(list_sum(along) / 3, 6) + 0.0 AS distance_km FROM s WHERE list_min(side) <= 0 AND list_max(side) >= 0 AND list_max(along) >= -3000 AND list_min(along) <= 5000""")
 def transect_both_ways(spark, sf):
     p = points(spark, sf).withColumns({"la2": F.col("lat") + 1, "lo2": F.col("lon") + 0.5, "lo3": F.col("lon") + 1})
-    cut = spatial.transect(p, (0.0, 0.0), 60.0, 5000.0, [("lat", "lon"), ("la2", "lo2"), ("lat", "lo3")], back_km=3000.0)
+    cut = spatial.transect(p, transect_start(spark, sf), 60.0, 5000.0, [("lat", "lon"), ("la2", "lo2"), ("lat", "lo3")], back_km=3000.0)
     return rounded(cut.select("face_id", "distance_km"), "distance_km")
 
 

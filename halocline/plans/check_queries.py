@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from halocline.functions import text
 from halocline.operators import checks, profiles
-from halocline.plans.tables import POINTS_SQL, SERIES_SQL, Registry, points, rounded, series, table
+from halocline.plans.tables import POINTS_SQL, SERIES_SQL, TOP_SQL, Registry, points, rounded, series, table, top_point
 
 REG = Registry()
 
@@ -36,10 +36,10 @@ def attribute_changes(spark, sf):
     return checks.attribute_changes(before, after, ["event_id"], "attrs", ["history"])
 
 
-@REG.add("missing_required", "SELECT p_partkey AS face_id FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_shipdate >= TIMESTAMP '1998-06-01')")
+@REG.add("missing_required", "SELECT p_partkey AS face_id FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_quantity >= 50)")
 def missing_required(spark, sf):
     required = table(spark, sf, "part").select(F.col("p_partkey").alias("face_id"))
-    found = table(spark, sf, "lineitem").where(F.col("l_shipdate") >= F.lit("1998-06-01").cast("timestamp_ntz")).select(F.col("l_partkey").alias("face_id"))
+    found = table(spark, sf, "lineitem").where("l_quantity >= 50").select(F.col("l_partkey").alias("face_id"))
     return checks.missing_required(found, required, ["face_id"])
 
 
@@ -71,19 +71,20 @@ def vertical_rows(spark, sf):
     return profiles.vertical_rows(t, ["face_id"], "d", "v")
 
 
-PROFILE_SQL = f"""WITH {POINTS_SQL}, w AS (SELECT i AS position, -30 + i / 199::DOUBLE * 60 AS lat, -60 + i / 199::DOUBLE * 120 AS lon FROM generate_series(0, 199) AS g(i)),
+PROFILE_SQL = f"""WITH {POINTS_SQL}, {TOP_SQL}, w AS (SELECT i AS position, lat0, lon0, lat0 + 1 + i / 199::DOUBLE * 30 AS lat, lon0 + 1 + i / 199::DOUBLE * 60 AS lon FROM generate_series(0, 199) AS g(i), top),
     t AS (SELECT face_id, lat AS y0, lon AS x0, value AS z0, lat + 8 AS y1, lon AS x1, value + 1 AS z1, lat AS y2, lon + 8 AS x2, value + 2 AS z2 FROM points),
     b AS (SELECT w.position, t.*, ((y1 - y2) * (w.lon - x2) + (x2 - x1) * (w.lat - y2)) / ((y1 - y2) * (x0 - x2) + (x2 - x1) * (y0 - y2)) AS p, ((y2 - y0) * (w.lon - x2) + (x0 - x2) * (w.lat - y2)) / ((y1 - y2) * (x0 - x2) + (x2 - x1) * (y0 - y2)) AS q
         FROM w JOIN t ON w.lat BETWEEN y0 AND y1 AND w.lon BETWEEN x0 AND x2),
     h AS (SELECT position, min(face_id) AS face_id, arg_min(p * z0 + q * z1 + (1 - p - q) * z2, face_id) AS value FROM b WHERE p >= -1e-10 AND q >= -1e-10 AND 1 - p - q >= -1e-10 GROUP BY position)
-    SELECT position, round(lat, 6) + 0.0 AS lat, round(lon, 6) + 0.0 AS lon, round(2 * 6371.0 * asin(least(1, sqrt(pow(sin(radians(lat + 30) / 2), 2) + cos(radians(-30)) * cos(radians(lat)) * pow(sin(radians(lon + 60) / 2), 2)))), 6) + 0.0 AS distance_km,
+    SELECT position, round(lat, 6) + 0.0 AS lat, round(lon, 6) + 0.0 AS lon, round(2 * 6371.0 * asin(least(1, sqrt(pow(sin(radians(lat - lat0 - 1) / 2), 2) + cos(radians(lat0 + 1)) * cos(radians(lat)) * pow(sin(radians(lon - lon0 - 1) / 2), 2)))), 6) + 0.0 AS distance_km,
            face_id, round(value, 6) + 0.0 AS value FROM w LEFT JOIN h USING (position)"""
 
 
 @REG.add("elevation_profile", PROFILE_SQL)
 def elevation_profile(spark, sf):
+    lat, lon = top_point(spark, sf)
     p = points(spark, sf).withColumns({"la2": F.col("lat") + 8, "lo2": F.col("lon"), "la3": F.col("lat"), "lo3": F.col("lon") + 8, "v2": F.col("value") + 1, "v3": F.col("value") + 2})
-    return rounded(profiles.elevation_profile(p, (-30.0, -60.0), (30.0, 60.0), 200, "value", [("lat", "lon", "value"), ("la2", "lo2", "v2"), ("la3", "lo3", "v3")]), "lat", "lon", "distance_km", "value")
+    return rounded(profiles.elevation_profile(p, (lat + 1, lon + 1), (lat + 31, lon + 61), 200, "value", [("lat", "lon", "value"), ("la2", "lo2", "v2"), ("la3", "lo3", "v3")]), "lat", "lon", "distance_km", "value")
 
 
 @REG.add("history_date", "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%dT00:00:00') AS iso FROM orders")

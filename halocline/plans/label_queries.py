@@ -12,36 +12,6 @@ from halocline.sources import writers
 
 REG = Registry()
 
-HITS_SQL = """r AS (SELECT n_name AS boundary, n_nationkey * 14 - 175 AS x, (n_nationkey * 7) % 140 - 70 AS y FROM nation),
-    v AS (SELECT boundary, unnest([x, x + 13, x + 6, x + 11, x - 1]) AS x1, unnest([y, y + 2, y + 5, y + 17, y + 12]) AS y1, unnest([x + 13, x + 6, x + 11, x - 1, x]) AS x2, unnest([y + 2, y + 5, y + 17, y + 12, y]) AS y2 FROM r),
-    hits AS (SELECT face_id, boundary FROM points, v WHERE (y1 > lat) <> (y2 > lat) AND lon < (x2 - x1) * (lat - y1) / (y2 - y1)::DOUBLE + x1 GROUP BY ALL HAVING count(*) % 2 = 1)"""
-
-
-@REG.add("jurisdiction_labels", f"""WITH {POINTS_SQL}, {HITS_SQL},
-    a AS (SELECT n_name AS boundary, n_nationkey % 3 AS s, n_nationkey % 2 AS ts, n_nationkey % 4 // 2 AS eez, ['Alaska', 'Atlantic Coast', 'Gulf'][n_nationkey % 5 % 3 + 1] AS region, n_nationkey % 2 = 0 AS consistent FROM nation),
-    g AS (SELECT p.face_id, array_to_string(list_sort(list(a.boundary) FILTER (s = 0)), '/') AS states, coalesce(bool_or(s = 1 AND ts > 0), false) AS in_ts, coalesce(bool_or(s = 1 AND eez > 0), false) AS in_eez,
-                 coalesce(bool_or(s = 1 AND region = 'Atlantic Coast'), false) AS coast, coalesce(bool_or(s = 1 AND region = 'Alaska'), false) AS alaska, count(*) FILTER (s = 2) AS n, coalesce(bool_or(s = 2 AND consistent), false) AS consistent
-          FROM points p LEFT JOIN hits h ON p.face_id = h.face_id LEFT JOIN a ON a.boundary = h.boundary GROUP BY p.face_id)
-    SELECT face_id, CASE WHEN coalesce(states, '') <> '' THEN states || ' state waters' WHEN in_ts THEN CASE WHEN coast THEN 'outside' ELSE 'territorial sea' END WHEN in_eez THEN 'exclusive economic zone'
-        WHEN n > 0 THEN CASE WHEN n = 1 AND consistent THEN 'exclusive economic zone' ELSE 'not found' END WHEN alaska THEN 'exclusive economic zone' ELSE 'outside' END AS jurisdiction FROM g""")
-def jurisdiction_labels(spark, sf):
-    k = F.col("n_nationkey")
-    source = F.element_at(F.array(*map(F.lit, ("state", "sea", "czma"))), (k % 3 + 1).cast("int"))
-    sea = k % 3 == 1
-    kinds = table(spark, sf, "nation").select(
-        F.col("n_name").alias("boundary"),
-        source.alias("source"),
-        F.col("n_name").alias("stateName"),
-        F.when(sea, k % 2).alias("TS"),
-        F.when(sea, F.floor(k % 4 / 2)).alias("EEZ"),
-        F.when(sea, F.element_at(F.array(*map(F.lit, ("Alaska", "Atlantic Coast", "Gulf"))), (k % 5 % 3 + 1).cast("int"))).alias("REGION"),
-        F.when(k % 2 == 0, "federal consistency area").otherwise("other").alias("CZMADomain"),
-    )
-    p = points(spark, sf)
-    found = spatial.points_in_polygons(p, rings(spark, sf), size=5.0).select("face_id", "boundary").join(kinds, "boundary")
-    return spatial.jurisdiction(p.select("face_id").join(found, "face_id", "left"), ["face_id"])
-
-
 @REG.add("line_outlines", f"""WITH {POINTS_SQL}, s AS (SELECT face_id // 20 AS line, lat, lon, abs(lon - lag(lon) OVER (PARTITION BY face_id // 20 ORDER BY face_id)) > 180 AS jump FROM points),
     g AS (SELECT line, coalesce(bool_or(jump), false) AS crosses, min(lon) AS x1, max(lon) AS x2, min(lat) AS y1, max(lat) AS y2 FROM s GROUP BY line)
     SELECT line, round(CASE WHEN crosses THEN -180 ELSE x1 END, 6) + 0.0 AS lon_min, round(CASE WHEN crosses THEN 180 ELSE x2 END, 6) + 0.0 AS lon_max, round(CASE WHEN crosses THEN y1 - 2 ELSE y1 END, 6) + 0.0 AS lat_min, round(CASE WHEN crosses THEN y2 + 2 ELSE y2 END, 6) + 0.0 AS lat_max FROM g""")

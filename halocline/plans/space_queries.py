@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from halocline.functions import geo, names, styling
 from halocline.operators import reshape, spatial
-from halocline.plans.tables import POINTS_SQL, Registry, points, rounded, table
+from halocline.plans.tables import ENDS_SQL, POINTS_SQL, TOP_SQL, Registry, end_points, points, rounded, table, top_point
 
 REG = Registry()
 
@@ -75,13 +75,13 @@ def dateline_flag(spark, sf):
     return points(spark, sf).select("face_id", geo.crosses_dateline(lons).alias("crosses"))
 
 
-@REG.add("point_in_triangle", f"""WITH {POINTS_SQL}, t AS (SELECT face_id, lat AS y, lon AS x, lat - 1 AS y1, lon - 1 AS x1, lat + (face_id % 5) - 2 AS y2, lon + 2 AS x2, lat + 1.5 AS y3, lon - 1 AS x3 FROM points),
+@REG.add("point_in_triangle", f"""WITH {POINTS_SQL}, t AS (SELECT face_id, lat AS y, lon + face_id % 7 * 0.6 AS x, lat - 1 AS y1, lon - 1 AS x1, lat + (face_id % 5) - 2 AS y2, lon + 2 AS x2, lat + 1.5 AS y3, lon - 1 AS x3 FROM points),
     b AS (SELECT *, (y2-y3)*(x1-x3) + (x3-x2)*(y1-y3) AS d FROM t), c AS (SELECT *, ((y2-y3)*(x-x3) + (x3-x2)*(y-y3)) / d AS p, ((y3-y1)*(x-x3) + (x1-x3)*(y-y3)) / d AS q FROM b)
     SELECT face_id, p >= -1e-10 AND q >= -1e-10 AND 1 - p - q >= -1e-10 AS inside FROM c""")
 def point_in_triangle(spark, sf):
     lat, lon = F.col("lat"), F.col("lon")
     corners = [(lat - 1, lon - 1), (lat + (F.col("face_id") % 5) - 2, lon + 2), (lat + 1.5, lon - 1)]
-    return points(spark, sf).select("face_id", geo.point_in_triangle("lat", "lon", corners).alias("inside"))
+    return points(spark, sf).select("face_id", geo.point_in_triangle("lat", lon + F.col("face_id") % 7 * 0.6, corners).alias("inside"))
 
 
 @REG.add("web_mercator", f"WITH {POINTS_SQL} SELECT face_id, round(radians(lon) * 6378137.0, 3) + 0.0 AS x, round(ln(tan(pi() / 4 + radians(lat) / 2)) * 6378137.0, 3) + 0.0 AS y FROM points WHERE abs(lat) < 85")
@@ -140,25 +140,34 @@ def grid_boxes(spark, sf):
     return out.withColumns({c: F.col(c).cast("double") + 0.0 for c in ("box_lat", "box_lon")})
 
 
-AREA_SQL = "sqrt(pow(greatest(-20 - centroid_lat, centroid_lat - 30, 0), 2) + pow(greatest(-60 - centroid_lon, centroid_lon - 80, 0), 2))"
+#: A box around the point with the greatest value.
+BOX_SQL = f"{TOP_SQL}, box AS (SELECT lat0 - 20 AS a, lat0 + 10 AS b, lon0 - 60 AS c, lon0 + 45 AS d FROM top)"
+AREA_SQL = "sqrt(pow(greatest(a - centroid_lat, centroid_lat - b, 0), 2) + pow(greatest(c - centroid_lon, centroid_lon - d, 0), 2))"
 
 
-@REG.add("area_query", f"WITH {CELLS_SQL} SELECT grid_id, n FROM ix WHERE {AREA_SQL} <= 2.345")
+def box(spark, sf):
+    lat, lon = top_point(spark, sf)
+    return lat - 20, lat + 10, lon - 60, lon + 45
+
+
+@REG.add("area_query", f"WITH {CELLS_SQL}, {BOX_SQL} SELECT grid_id, n FROM ix, box WHERE {AREA_SQL} <= 2.345")
 def area_query(spark, sf):
-    return spatial.within_area(index(spark, sf), -20, 30, -60, 80, 2.345).select("grid_id", "n")
+    return spatial.within_area(index(spark, sf), *box(spark, sf), 2.345).select("grid_id", "n")
 
 
-@REG.add("area_edge_query", f"WITH {CELLS_SQL} SELECT grid_id, n FROM ix WHERE CASE WHEN centroid_lat BETWEEN -20 AND 30 AND centroid_lon BETWEEN -60 AND 80 THEN least(centroid_lat + 20, 30 - centroid_lat, centroid_lon + 60, 80 - centroid_lon) <= 2.345 ELSE {AREA_SQL} <= 2.345 END")
+@REG.add("area_edge_query", f"WITH {CELLS_SQL}, {BOX_SQL} SELECT grid_id, n FROM ix, box WHERE CASE WHEN centroid_lat BETWEEN a AND b AND centroid_lon BETWEEN c AND d THEN least(centroid_lat - a, b - centroid_lat, centroid_lon - c, d - centroid_lon) <= 2.345 ELSE {AREA_SQL} <= 2.345 END")
 def area_edge_query(spark, sf):
-    return spatial.within_area(index(spark, sf), -20, 30, -60, 80, 2.345, edges_only=True).select("grid_id", "n")
+    return spatial.within_area(index(spark, sf), *box(spark, sf), 2.345, edges_only=True).select("grid_id", "n")
 
 
-LINE_SQL = """line AS (SELECT *, ((centroid_lon + 50) * 100 + (centroid_lat + 10) * 40) / sqrt(11600.0::DOUBLE) AS along, abs((centroid_lon + 50) * 40 - (centroid_lat + 10) * 100) / sqrt(11600.0::DOUBLE) AS across FROM ix)"""
+#: From the face with the least id to that with the greatest.
+LINE_SQL = f"""{ENDS_SQL}, u AS (SELECT *, lat2 - lat1 AS dy, lon2 - lon1 AS dx, sqrt(pow(lat2 - lat1, 2) + pow(lon2 - lon1, 2)) AS far FROM ends),
+    line AS (SELECT ix.*, far, ((centroid_lon - lon1) * dx + (centroid_lat - lat1) * dy) / far AS along, abs((centroid_lon - lon1) * dy - (centroid_lat - lat1) * dx) / far AS across FROM ix, u)"""
 
 
-@REG.add("line_query", f"WITH {CELLS_SQL}, {LINE_SQL} SELECT grid_id, round(along, 6) + 0.0 AS along, round(across, 6) + 0.0 AS across FROM line WHERE across <= 3.21 AND along BETWEEN -3.21 AND sqrt(11600.0::DOUBLE) + 3.21 ORDER BY line.across, grid_id LIMIT 10")
+@REG.add("line_query", f"WITH {CELLS_SQL}, {LINE_SQL} SELECT grid_id, round(along, 6) + 0.0 AS along, round(across, 6) + 0.0 AS across FROM line WHERE across <= 3.21 AND along BETWEEN -3.21 AND far + 3.21 ORDER BY round(line.across, 9), grid_id LIMIT 10")
 def line_query(spark, sf):
-    return rounded(spatial.along_line(index(spark, sf), (-10, -50), (30, 50), 3.21, 10).select("grid_id", "along", "across"), "along", "across")
+    return rounded(spatial.along_line(index(spark, sf), *end_points(spark, sf), 3.21, 10).select("grid_id", "along", "across"), "along", "across")
 
 
 @REG.add("boundary_edges", """WITH n AS (SELECT l_orderkey AS face_id, l_linenumber AS corner, l_partkey % 50 AS node FROM lineitem WHERE l_linenumber <= 3),
@@ -178,41 +187,25 @@ def rings(spark, sf):
     return table(spark, sf, "nation").select(F.col("n_name").alias("boundary"), F.array(point(0, 0), point(13, 2), point(6, 5), point(11, 17), point(-1, 12)).alias("ring"))
 
 
-@REG.add("points_in_polygons", f"""WITH {POINTS_SQL}, r AS (SELECT n_name AS boundary, n_nationkey * 14 - 175 AS x, (n_nationkey * 7) % 140 - 70 AS y FROM nation),
-    v AS (SELECT boundary, unnest([x, x + 13, x + 6, x + 11, x - 1]) AS x1, unnest([y, y + 2, y + 5, y + 17, y + 12]) AS y1, unnest([x + 13, x + 6, x + 11, x - 1, x]) AS x2, unnest([y + 2, y + 5, y + 17, y + 12, y]) AS y2 FROM r)
-    SELECT face_id, boundary FROM points, v WHERE (y1 > lat) <> (y2 > lat) AND lon < (x2 - x1) * (lat - y1) / (y2 - y1)::DOUBLE + x1 GROUP BY ALL HAVING count(*) % 2 = 1""")
-def points_in_polygons(spark, sf):
-    return spatial.points_in_polygons(points(spark, sf), rings(spark, sf), size=5.0).select("face_id", "boundary")
-
-
 @REG.add("path_distance", f"""WITH {POINTS_SQL}, s AS (SELECT *, lag(lat) OVER w AS a, lag(lon) OVER w AS o FROM points WINDOW w AS (PARTITION BY nation ORDER BY face_id))
     SELECT face_id, round(sum(coalesce({HAVERSINE.format(a="a", b="lat", c="o", d="lon")}, 0)) OVER (PARTITION BY nation ORDER BY face_id ROWS UNBOUNDED PRECEDING), 4) AS distance_km FROM s""")
 def path_distance(spark, sf):
     return spatial.path_distance(points(spark, sf), ["nation"], "face_id").select("face_id", F.round("distance_km", 4).alias("distance_km"))
 
 
-def shore(spark, sf):
-    key = F.col("s_suppkey")
-    return table(spark, sf, "supplier").select((((key * 53) % 14000) / 100.0 - 70).alias("lat"), (((key * 113) % 36000) / 100.0 - 180).alias("lon"))
-
-
-SHORE_D = HAVERSINE.format(a="p.lat", b="s.lat", c="p.lon", d="s.lon")
-
-
-@REG.add("shore_distance", f"""WITH {POINTS_SQL}, s AS (SELECT ((s_suppkey * 53) % 14000) / 100.0 - 70 AS lat, ((s_suppkey * 113) % 36000) / 100.0 - 180 AS lon FROM supplier),
-    d AS (SELECT p.face_id, min({SHORE_D}) AS km FROM points p, s GROUP BY p.face_id)
-    SELECT face_id, CASE WHEN km <= 1000 THEN CASE WHEN km < 1.852 THEN 0 ELSE round(km / 1.852, 6) END END AS distance_to_shore_nm FROM d""")
-def shore_distance(spark, sf):
-    return spatial.distance_to_shore(points(spark, sf), shore(spark, sf), ["face_id"]).select("face_id", F.round("distance_to_shore_nm", 6).alias("distance_to_shore_nm"))
+def transect_start(spark, sf):
+    lat, lon = top_point(spark, sf)
+    return lat + 0.25, lon + 0.4
 
 
-@REG.add("transect", f"""WITH {POINTS_SQL}, t AS (SELECT face_id, lat * 111.0::DOUBLE AS y, lon * 111.0::DOUBLE AS x FROM points),
-    c AS (SELECT face_id, [y, y + 111, y] AS ys, [x, x + 55.5::DOUBLE, x + 111] AS xs FROM t),
+@REG.add("transect", f"""WITH {POINTS_SQL}, {TOP_SQL}, o AS (SELECT lat0 + 0.25::DOUBLE AS oy, lon0 + 0.4::DOUBLE AS ox FROM top), t AS (SELECT face_id, (lat - oy) * 111 AS y, (lon - ox) * 111 * cos(radians(oy)) AS x, 55.5::DOUBLE * cos(radians(oy)) AS half FROM points, o),
+    c AS (SELECT face_id, [y, y + 111, y] AS ys, [x, x + half, x + 2 * half] AS xs FROM t),
     s AS (SELECT face_id, list_transform([1, 2, 3], lambda i: xs[i] * cos(radians(60)) - ys[i] * sin(radians(60))) AS side, list_transform([1, 2, 3], lambda i: ys[i] * cos(radians(60)) + xs[i] * sin(radians(60))) AS along FROM c)
     SELECT face_id, round(list_sum(along) / 3, 6) + 0.0 AS distance_km FROM s WHERE list_min(side) <= 0 AND list_max(side) >= 0 AND list_max(along) >= 0 AND list_min(along) <= 5000""")
 def transect(spark, sf):
+    """From within the face with the greatest value."""
     p = points(spark, sf).withColumns({"la2": F.col("lat") + 1, "lo2": F.col("lon") + 0.5, "lo3": F.col("lon") + 1})
-    return rounded(spatial.transect(p, (0.0, 0.0), 60.0, 5000.0, [("lat", "lon"), ("la2", "lo2"), ("lat", "lo3")]).select("face_id", "distance_km"), "distance_km")
+    return rounded(spatial.transect(p, transect_start(spark, sf), 60.0, 5000.0, [("lat", "lon"), ("la2", "lo2"), ("lat", "lo3")]).select("face_id", "distance_km"), "distance_km")
 
 
 @REG.add("hotspots_greedy", f"""WITH RECURSIVE {POINTS_SQL}, pick AS (

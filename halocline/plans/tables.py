@@ -78,6 +78,25 @@ POINTS_SQL = """points AS (
            ((c_custkey * 91) % 36000) / 100.0 - 180 AS lon, c_acctbal AS value FROM customer)"""
 
 
+def top_point(spark: SparkSession, sf: str) -> tuple[float, float]:
+    """(lat, lon) of the point with the greatest value: where searches and lines begin that should meet something."""
+    row = points(spark, sf).orderBy(F.desc("value"), "face_id").select("lat", "lon").first()
+    return row.lat, row.lon
+
+
+TOP_SQL = "top AS (SELECT arg_max(lat, (value, -face_id)) AS lat0, arg_max(lon, (value, -face_id)) AS lon0 FROM points)"
+
+
+def end_points(spark: SparkSession, sf: str) -> tuple[tuple[float, float], tuple[float, float]]:
+    """(lat, lon) of the faces with the least and the greatest id."""
+    p = points(spark, sf)
+    first, last = (p.orderBy(o).select("lat", "lon").first() for o in (F.asc("face_id"), F.desc("face_id")))
+    return (first.lat, first.lon), (last.lat, last.lon)
+
+
+ENDS_SQL = "ends AS (SELECT arg_min(lat, face_id) AS lat1, arg_min(lon, face_id) AS lon1, arg_max(lat, face_id) AS lat2, arg_max(lon, face_id) AS lon2 FROM points)"
+
+
 def layers(spark: SparkSession, sf: str) -> DataFrame:
     """The first ten elements of each embedding as the sigma layers of a face."""
     return table(spark, sf, "embeddings").select(F.col("vec_id").alias("face_id"), F.col("label").alias("region"), F.posexplode(F.transform(F.slice("embedding", 1, 10), lambda x: x.cast("double"))).alias("sigma_layer", "value"))

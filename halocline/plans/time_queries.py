@@ -24,10 +24,12 @@ def gap_pairs(spark, sf):
     return rounded(timeline.bad_pairs(series(spark, sf), ["face_id"], 3600, 86400, order=["event_id"]), "delta_s")
 
 
-@REG.add("monotonic_check", f"""WITH {SERIES_SQL}, d AS (SELECT *, lag(time) OVER (PARTITION BY face_id ORDER BY event_id) AS prev_time FROM series)
+@REG.add("monotonic_check", f"""WITH {SERIES_SQL}, d AS (SELECT *, lag(time) OVER (PARTITION BY face_id ORDER BY event_id * 1103515245 % 2147483647) AS prev_time FROM series)
     SELECT face_id, event_id, time, prev_time FROM d WHERE time < prev_time""")
 def monotonic_check(spark, sf):
-    return timeline.order_violations(series(spark, sf), ["face_id"], "event_id").select("face_id", "event_id", "time", "prev_time")
+    """Rows as they lie in files that were written in no order."""
+    shuffled = series(spark, sf).withColumn("row", F.col("event_id") * 1103515245 % 2147483647)
+    return timeline.order_violations(shuffled, ["face_id"], "row").select("face_id", "event_id", "time", "prev_time")
 
 
 @REG.add("coverage_check", f"WITH {SERIES_SQL} SELECT face_id, min(time) <= TIMESTAMP '2024-01-02' AND max(time) >= TIMESTAMP '2024-01-29' AS covers FROM series GROUP BY face_id")
@@ -113,9 +115,56 @@ def tidal_levels_topk_fallback(spark, sf):
     return rounded(tides.extreme_share(series(spark, sf), ["face_id"], "zeta", "event_id"), "high_mean", "low_mean")
 
 
-@REG.add("tidal_peaks_periods")
+#: High and low waters: runs of equal values above (below) both neighbours, from which the water falls (rises) by 5 cm on
+#: both sides before it goes beyond them; each value of a series is held against all others of it.
+WATERS_SQL = f"""{SERIES_SQL}, s AS (SELECT face_id, time, zeta, row_number() OVER (PARTITION BY face_id ORDER BY time, zeta) AS i FROM series),
+    p AS (SELECT *, lag(zeta) OVER (PARTITION BY face_id ORDER BY i) AS before FROM s),
+    r AS (SELECT *, sum(CASE WHEN zeta = before THEN 0 ELSE 1 END) OVER (PARTITION BY face_id ORDER BY i) AS run FROM p),
+    runs AS (SELECT face_id, run, (min(i) + max(i)) // 2 AS i, min(zeta) AS z FROM r GROUP BY ALL),
+    n AS (SELECT *, lag(z) OVER w AS zl, lead(z) OVER w AS zr FROM runs WINDOW w AS (PARTITION BY face_id ORDER BY run)),
+    c AS (SELECT face_id, i, z, 1 AS up FROM n WHERE z > zl AND z > zr UNION ALL SELECT face_id, i, z, -1 FROM n WHERE z < zl AND z < zr),
+    t AS (SELECT c.face_id, c.i, c.z, c.up, max(s.i) FILTER (s.i < c.i AND up * (c.z - s.zeta) >= 0.05::DOUBLE) AS fell_l, max(s.i) FILTER (s.i < c.i AND up * (s.zeta - c.z) > 0) AS rose_l,
+                 min(s.i) FILTER (s.i > c.i AND up * (c.z - s.zeta) >= 0.05::DOUBLE) AS fell_r, min(s.i) FILTER (s.i > c.i AND up * (s.zeta - c.z) > 0) AS rose_r FROM c JOIN s USING (face_id) GROUP BY ALL),
+    waters AS (SELECT t.face_id, t.i, t.z, up, s.time FROM t JOIN s USING (face_id, i) WHERE fell_l > coalesce(rose_l, 0) AND fell_r < coalesce(rose_r, 1e18)),
+    highs AS (SELECT *, row_number() OVER w AS cycle, lead(i) OVER w AS next, lead(time) OVER w AS next_time, lag(time) OVER w AS last_time FROM waters WHERE up = 1 WINDOW w AS (PARTITION BY face_id ORDER BY i))"""
+
+
+@REG.add("tidal_peaks_periods", f"""WITH {WATERS_SQL},
+    g AS (SELECT face_id, date_diff('microsecond', last_time, time) AS us, us / 3.6e9::DOUBLE AS h FROM highs),
+    k AS (SELECT face_id, us, h > 10 AND h < 14 AS half FROM g WHERE h > 10 AND h < 14 OR h > 20 AND h < 26),
+    d AS (SELECT face_id, avg(us) / 1e6::DOUBLE AS a, min(us) / 1e6::DOUBLE AS b, max(us) / 1e6::DOUBLE AS c, bool_or(half) AS half, bool_or(NOT half) AS day FROM k GROUP BY face_id),
+    m AS (SELECT face_id, avg(zeta) AS mean, count(*) AS n FROM series GROUP BY face_id),
+    f AS (SELECT face_id, row_number() OVER (PARTITION BY face_id ORDER BY zeta, time) AS lo, zeta, greatest(floor(n * 0.2), 1) AS k, n FROM series JOIN m USING (face_id)),
+    e AS (SELECT face_id, avg(zeta) FILTER (n - lo + 1 <= k) AS high_mean, avg(zeta) FILTER (lo <= k) AS low_mean, max(zeta) AS high_max, min(zeta) AS low_min FROM f GROUP BY face_id),
+    l AS (SELECT face_id, max(z) FILTER (up = 1) AS a, avg(z) FILTER (up = 1) AS b, avg(z) FILTER (up = -1) AS c, min(z) FILTER (up = -1) AS d FROM waters GROUP BY face_id)
+    SELECT face_id, round(mean, 10) + 0.0 AS mean_level, round(coalesce(l.a, high_max) - mean, 10) + 0.0 AS high_max, round(coalesce(l.b, high_mean) - mean, 10) + 0.0 AS high_mean, round(coalesce(l.c, low_mean) - mean, 10) + 0.0 AS low_mean,
+           round(coalesce(l.d, low_min) - mean, 10) + 0.0 AS low_min, round(coalesce(l.b, high_mean) - coalesce(l.c, low_mean), 10) + 0.0 AS tidal_range,
+           coalesce(d.a, 0) AS average_period_s, coalesce(d.b, 0) AS min_period_s, coalesce(d.c, 0) AS max_period_s,
+           CASE WHEN half AND day THEN 'Mixed' WHEN half THEN 'Semidiurnal' WHEN day THEN 'Diurnal' ELSE 'Unknown' END AS tide_type
+    FROM m JOIN e USING (face_id) LEFT JOIN l USING (face_id) LEFT JOIN d USING (face_id)""")
 def tidal_peaks_periods(spark, sf):
-    return tides.tidal_summary(series(spark, sf), ["face_id"], "zeta")
+    out = tides.tidal_summary(series(spark, sf), ["face_id"], "zeta")
+    return rounded(out, "mean_level", *tides.LEVELS, digits=10)  # periods come from whole microseconds
+
+
+CYCLES_SQL = f"""{WATERS_SQL},
+    lows AS (SELECT h.face_id, h.cycle, arg_min(w.time, (w.z, w.i)) AS low_time, min(w.z) AS low_level FROM highs h JOIN waters w ON w.face_id = h.face_id AND w.up = -1 AND w.i > h.i AND w.i < h.next GROUP BY ALL),
+    cycles AS (SELECT h.face_id, h.cycle, h.time AS high_time, h.z AS high_level, low_time, low_level, h.z - low_level AS tidal_range, date_diff('microsecond', h.time, next_time) / 1e6::DOUBLE AS period_s FROM highs h JOIN lows USING (face_id, cycle))"""
+
+
+@REG.add("tidal_cycles", f"WITH {CYCLES_SQL} SELECT face_id, cycle, high_time, high_level, low_time, low_level, round(tidal_range, 6) + 0.0 AS tidal_range, round(period_s, 6) + 0.0 AS period_s FROM cycles")
+def tidal_cycles(spark, sf):
+    """A month of events cut into ranges of six days."""
+    out = tides.tidal_cycles(series(spark, sf), ["face_id"], "zeta", range_days=6.0, overlap_days=3.0)
+    return rounded(out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("high_time", "low_time")}), "tidal_range", "period_s")
+
+
+@REG.add("tidal_cycle_ranges", f"""WITH {CYCLES_SQL} SELECT face_id, count(*) AS n_cycles, round(avg(tidal_range), 10) AS average_range, round(min(tidal_range), 10) AS min_range, round(max(tidal_range), 10) AS max_range,
+    arg_min(high_time, (tidal_range, cycle)) AS min_range_time, arg_max(high_time, (tidal_range, -cycle)) AS max_range_time FROM cycles GROUP BY face_id
+    HAVING bool_or(period_s > 36000 AND period_s < 50400 OR period_s > 72000 AND period_s < 93600)""")
+def tidal_cycle_ranges(spark, sf):
+    out = tides.cycle_ranges(tides.tidal_cycles(series(spark, sf), ["face_id"], "zeta"), ["face_id"])
+    return rounded(out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("min_range_time", "max_range_time")}), "average_range", "min_range", "max_range", digits=10)
 
 
 @REG.add("pivot_layers", f"""WITH {LAYERS_SQL} SELECT face_id, {", ".join(f"max(value) FILTER (sigma_layer = {k}) AS value_sigma_level_{k + 1}" for k in range(10))} FROM layers GROUP BY face_id""")
@@ -135,9 +184,9 @@ def union_locations(spark, sf):
     return reshape.union_all({"customer": a, "supplier": b})
 
 
-@REG.add("set_difference", "SELECT p_partkey AS face_id FROM part EXCEPT SELECT l_partkey FROM lineitem WHERE l_quantity > 25")
+@REG.add("set_difference", "SELECT p_partkey AS face_id FROM part EXCEPT SELECT l_partkey FROM lineitem WHERE l_quantity > 48")
 def set_difference(spark, sf):
-    return table(spark, sf, "part").select(F.col("p_partkey").alias("face_id")).subtract(table(spark, sf, "lineitem").where("l_quantity > 25").select("l_partkey"))
+    return table(spark, sf, "part").select(F.col("p_partkey").alias("face_id")).subtract(table(spark, sf, "lineitem").where("l_quantity > 48").select("l_partkey"))
 
 
 @REG.add("missing_batches", "SELECT i AS batch FROM (SELECT unnest(generate_series(0, (SELECT max(o_orderkey) FROM orders) // 4)) AS i) WHERE i NOT IN (SELECT o_orderkey // 4 FROM orders WHERE o_orderstatus = 'F')")
