@@ -5,17 +5,19 @@ renderer then sets blocks on lines of their own, paragraphs and headings apart b
 behind their marks and table cells in aligned columns.  All visible text is kept, in document order.
 
 A table's cells lie in a grid by their colspan and rowspan; every cell starts where its column does, and a column is as
-wide as its widest cell.  A table whose aligned form would be many times its text (MAX_GROWTH) is set without padding,
-its cells still apart by `` | ``.  Formulas (math) and labels (svg) are text within their line; the labels of a drawing
-stand apart by a space.
+wide as its widest cell.  Lines of a cell that are longer than WRAP go on below, in their own column, so that a column
+takes no more than that whatever it holds.  Formulas (math) and labels (svg) are text within their line; the labels of
+a drawing stand apart by a space.  List items count as ``start``, ``value`` and ``reversed`` say; buttons show their
+label.
 
 Not shown: comments, head, script, style, template, noscript, objects' fallbacks, annotations of formulas, titles,
 descriptions and definitions of drawings, closed dialogs, closed details but for their summary, and elements with
-``hidden`` or an inline ``display: none``, at any depth.  ``visibility`` is inherited, and a visible element within an
-invisible one is shown.
+``hidden`` or a ``display: none``, at any depth.  ``visibility`` is inherited, and a visible element within an invisible
+one is shown.  Both come from inline styles and from the page's own style sheets, as far as these name tags, classes and
+ids of the element itself, in their order of specificity.
 
 Edge cases: null and empty pages give empty text; markup may end or nest anyhow; elements nested deeper than
-MAX_DEPTH are laid out as siblings at that depth, what they show kept; repeated rows and null ids give a row each;
+MAX_DEPTH, where browsers stop nesting too, are laid out as siblings at that depth, what they show kept; repeated rows and null ids give a row each;
 further columns are ignored; an empty table gives no rows.
 """
 
@@ -23,8 +25,9 @@ from __future__ import annotations
 
 import html
 import re
-from bisect import bisect_left
-from collections import Counter
+import sys
+from bisect import bisect_left, bisect_right
+from collections import defaultdict
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -34,11 +37,13 @@ from pyspark.sql import functions as F
 
 from halocline.llm.common import read_table, small_batches
 
-MAX_DEPTH = 150
+#: Fixed value: the depth of nesting at which browsers' parsers stop; each level of lists is indented, so without an end the
+#: text would grow with the square of the depth.
+MAX_DEPTH = 512
 # The most columns and rows that a cell may span in HTML.
 MAX_COLSPAN, MAX_ROWSPAN = 1000, 65534
-#: A table is aligned if that takes at most so many times the characters of its text, SMALL_TABLE at least.
-MAX_GROWTH, SMALL_TABLE = 8, 20_000
+#: Characters of a line of a cell; longer ones are broken at a space, or within a word that is longer.
+WRAP = 160
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
@@ -69,8 +74,13 @@ HEAD_ONLY = frozenset("base link meta title script style noscript template".spli
 
 TAG = re.compile(r"<(?:!--(?:>|->|.*?(?:-->|--!>|\Z))|!\[CDATA\[.*?(?:\]\]>|\Z)|[!?][^>]*(?:>|\Z)|(/?)([A-Za-z][^\s/>\x00]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>?)", re.S)
 ATTRIBUTE = re.compile(r"([^\s=/\"'<>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]*)))?")
-HIDING = re.compile(r"(?:^|;)\s*display\s*:\s*none", re.I)
+DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*([a-z-]+)", re.I)
 VISIBILITY = re.compile(r"(?:^|;)\s*visibility\s*:\s*(hidden|collapse|visible|initial)", re.I)
+SHEET = re.compile(r"<!--.*?(?:-->|\Z)|<style([^>]*)>(.*?)(?:</style|\Z)", re.I | re.S)
+CSS_COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.S)
+CSS_PART = re.compile(r"[{}]|[^{}]+")
+COMPOUND = re.compile(r"(\*|[a-z][a-z0-9-]*)?((?:[.#][\w-]+)*)", re.I)
+DECLARATION = re.compile(r"(?:^|;)\s*(display|visibility)\s*:\s*([a-z-]+)\s*(!\s*important)?", re.I)
 SPACE = re.compile(r"[ \t\n\r\f]+")
 
 
@@ -90,17 +100,89 @@ class Open:
         self.name, self.sink, self.visible, self.space, self.depth = name, sink, visible, space, depth
 
 
-def shown(name: str, attrs: dict[str, str], space: str) -> bool:
+class Sheets:
+    """Display and visibility from a page's own style sheets, for selectors that name the element itself."""
+
+    def __init__(self, page: str) -> None:
+        self.rules: dict[str, list[tuple]] = defaultdict(list)  # by the id, class or tag that must be there
+        self.order, self.open = 0, ""  # rules so far; the selectors of the block that is open
+        for m in SHEET.finditer(page):
+            if m[2] is not None and self.on_screen(re.sub(r".*?\bmedia\s*=\s*[\"']?([^\"'>]*).*", r"\1", m[1], flags=re.S) if "media" in m[1].lower() else ""):
+                self.read(m[2])
+
+    @staticmethod
+    def on_screen(media: str) -> bool:
+        return not media.strip() or any(x.strip().lower() in ("all", "screen") for x in media.split(","))
+
+    def read(self, css: str) -> None:
+        """Rules at the top and in media blocks for screens; other blocks behind an @ are left out, with all in them."""
+        nested: list[bool] = []  # of each open block, whether what is in it counts
+        head = ""
+        for part in CSS_PART.findall(CSS_COMMENT.sub(" ", css)):
+            if part == "{":
+                head = head.rsplit(";", 1)[-1].strip()
+                counts = all(nested)
+                if head.startswith("@"):
+                    nested.append(counts and head[:6].lower() == "@media" and self.on_screen(head[6:]))
+                else:
+                    nested.append(False)  # declarations, no rules
+                    self.open = head if counts else ""
+                head = ""
+            elif part == "}":
+                if nested:
+                    nested.pop()
+                head, self.open = "", ""
+            elif nested and not nested[-1]:
+                if self.open:
+                    self.add(self.open, part)
+            else:
+                head += part
+
+    def add(self, selectors: str, body: str) -> None:
+        found = [(p.lower(), v.lower(), bool(i)) for p, v, i in DECLARATION.findall(body)]
+        for selector in selectors.split(",") if found else ():
+            m = COMPOUND.fullmatch(selector.strip())
+            if not m or not m[0]:
+                continue
+            names = re.findall(r"[.#][\w-]+", m[2])
+            tag = (m[1] or "*").lower()
+            ids = sum(n[0] == "#" for n in names)
+            weight = (ids, len(names) - ids, tag != "*")
+            self.order += 1
+            self.rules[names[0] if names else tag].append((weight, self.order, tag, frozenset(names), found))
+
+    def of(self, name: str, attrs: dict[str, str]) -> dict[str, tuple[str, bool]]:
+        """The winning (value, important) of each property for an element."""
+        if not self.rules:
+            return {}
+        own = {f".{c}" for c in attrs.get("class", "").split()} | ({f"#{attrs['id'].strip()}"} if "id" in attrs else set())
+        best: dict[str, tuple] = {}
+        for key in (*own, name, "*"):
+            for weight, order, tag, names, found in self.rules.get(key, ()):
+                if tag in ("*", name) and names <= own:
+                    for prop, value, important in found:
+                        best[prop] = max(best.get(prop, ()), ((important, weight, order), value))
+        return {p: (v, rank[0]) for p, (rank, v) in best.items()}
+
+
+def shown(name: str, attrs: dict[str, str], space: str, sheet: dict[str, tuple[str, bool]]) -> bool:
     if name in UNSEEN or "hidden" in attrs or (name == "dialog" and "open" not in attrs) or (name == "input" and attrs.get("type", "").lower() == "hidden"):
         return False
     if (space == "svg" and (name in UNSEEN_SVG or attrs.get("display") == "none")) or (space == "math" and name in UNSEEN_MATH):
         return False
-    return not ("style" in attrs and HIDING.search(attrs["style"]))
+    display, important = sheet.get("display", ("", False))
+    inline = DISPLAY.findall(attrs["style"]) if "style" in attrs else []
+    if inline and not important:
+        display = inline[-1].lower()
+    return display != "none"
 
 
-def visible(attrs: dict[str, str], space: str, inherited: bool) -> bool:
-    """The last visibility of the inline style, or of a drawing's attribute, else the parent's."""
+def visible(attrs: dict[str, str], space: str, inherited: bool, sheet: dict[str, tuple[str, bool]]) -> bool:
+    """The last visibility of the inline style, that of a style sheet or of a drawing's attribute, else the parent's."""
     found = VISIBILITY.findall(attrs["style"]) if "style" in attrs else []
+    value, important = sheet.get("visibility", ("", False))
+    if value in ("hidden", "collapse", "visible", "initial") and (important or not found):
+        found = [value]
     if space == "svg" and "visibility" in attrs and not found:
         found = [attrs["visibility"]]
     return found[-1].lower() in ("visible", "initial") if found else inherited
@@ -110,21 +192,27 @@ def parse(page: str) -> tuple[Node, str]:
     """The tree of what a page shows, and its title."""
     root, title = Node("html"), ""
     stack = [Open("html", root, True, "", 0)]
-    count: Counter[str] = Counter()  # open elements by name, so that none is looked for in vain
+    places: dict[str, list[int]] = defaultdict(list)  # where in the stack the open elements of a name are
+    blocks: list[int] = []  # and all blocks
+    sheets = Sheets(page) if "<style" in page.lower() else Sheets("")
     at = 0
 
     def cut(k: int) -> None:
-        count.subtract(e.name for e in stack[k:])
+        for e in stack[k:]:
+            places[e.name].pop()
+        while blocks and blocks[-1] >= k:
+            blocks.pop()
         del stack[k:]
 
+    def last(names: set[str] | frozenset[str]) -> int:
+        return max((places[n][-1] for n in names if places.get(n)), default=0)
+
     def close(names: set[str] | frozenset[str], stop: set[str]) -> None:
-        for k in range(len(stack) - 1, 0, -1):
-            if not any(count[n] for n in names):
-                return
-            if stack[k].name in names:
-                cut(k)
-            elif stack[k].name in stop:
-                return
+        """Close all open elements of the names above the last one of ``stop``, and what is in them."""
+        barrier = last(stop)
+        found = [p[k] for n in names if (p := places.get(n)) and (k := bisect_right(p, barrier)) < len(p)]
+        if found:
+            cut(min(found))
 
     def add(child: Node | str) -> None:
         if stack[-1].sink is not None and (stack[-1].visible or isinstance(child, Node)):
@@ -148,18 +236,15 @@ def parse(page: str) -> tuple[Node, str]:
             continue
         name = m[2].lower()
         if m[1]:
-            if name == "p" and not count["p"]:
+            if name == "p" and not places["p"]:
                 add(Node("p"))
             elif name == "br":
                 add(Node("br"))
-            elif name not in ("html", "body") and count[name]:
-                inside = {"table"} if name in BLOCK - {"table"} else BLOCK - {name} if name not in BLOCK else set()
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k].name == name:
-                        cut(k)
-                        break
-                    if stack[k].name in inside and name != "table":
-                        break
+            elif name not in ("html", "body") and places[name]:
+                # a table holds back the ends of blocks from within, a block those of what is no block
+                barrier = 0 if name == "table" else last({"table"}) if name in BLOCK else blocks[-1] if blocks else 0
+                if places[name][-1] > barrier:
+                    cut(places[name][-1])
             continue
         attrs = {a[0].lower(): html.unescape(a[1] or a[2] or a[3]) for a in ATTRIBUTE.findall(m[3])} if m[3] else {}
         if stack[-1].name == "head" and name not in HEAD_ONLY:
@@ -172,8 +257,11 @@ def parse(page: str) -> tuple[Node, str]:
             close({"p"}, {"table", "td", "th", "li", "div", "button", "object", "caption"})
         above = stack[-1]
         space = name if name in FOREIGN else "" if name == "foreignobject" else above.space
-        seen = above.sink is not None and shown(name, attrs, space)
-        node = Node(name, attrs, visible(attrs, space, above.visible))
+        sheet = sheets.of(name, attrs)
+        seen = above.sink is not None and shown(name, attrs, space, sheet)
+        node = Node(name, attrs, visible(attrs, space, above.visible, sheet))
+        if name == "input" and node.visible and attrs.get("type", "").lower() in ("submit", "button", "reset"):
+            node.children.append(attrs.get("value", ""))
         if seen:
             add(node)
         if (m[3] or "").endswith("/") and (name in FOREIGN or above.space in FOREIGN):
@@ -189,8 +277,10 @@ def parse(page: str) -> tuple[Node, str]:
             continue
         if name not in VOID:  # a slash does not close an HTML element
             sink = None if not seen else node if above.depth < MAX_DEPTH else above.sink
+            places[name].append(len(stack))
+            if name in BLOCK:
+                blocks.append(len(stack))
             stack.append(Open(name, sink, node.visible, space, above.depth + 1))
-            count[name] += 1
     text(page[at:])
     return root, title
 
@@ -319,8 +409,9 @@ def inner(node: Node, pre: bool = False) -> list[str]:
 def list_lines(node: Node) -> list[str]:
     """Items behind ``- `` or their number; whatever else stands in the list goes on lines of its own."""
     out = Lines()
-    start = node.attrs.get("start", "1")
-    number = int(start) if re.fullmatch(r"-?[0-9]{1,9}", start) else 1
+    step = -1 if node.name == "ol" and "reversed" in node.attrs else 1
+    first = 1 if step > 0 else sum(isinstance(c, Node) and c.name == "li" for c in node.children)
+    number = number_of(node.attrs.get("start"), first)
     loose = Node("div")
 
     def flush() -> None:
@@ -333,13 +424,18 @@ def list_lines(node: Node) -> list[str]:
             loose.children.append(child)
         else:
             flush()
+            number = number_of(child.attrs.get("value"), number)
             mark = "" if not child.visible else f"{number}. " if node.name == "ol" else "- "
-            number += 1
+            number += step
             out.block(inner(child) or ([""] if mark else []), mark, " " * len(mark))
     flush()
     return out.done
 
 
+def number_of(text: str | None, otherwise: int) -> int:
+    return int(text) if text is not None and re.fullmatch(r"\s*-?[0-9]{1,9}\s*", text) else otherwise
+
+
 def span_of(cell: Node, name: str, most: int) -> int:
     value = cell.attrs.get(name, "1").strip()
     return min(int(value), most) if re.fullmatch(r"[0-9]{1,9}", value) else 1
@@ -397,7 +493,7 @@ def table_grid(node: Node) -> list[list[str] | list[Cell]]:
                     at += 1
                 stop = at + max(span_of(cell, "colspan", MAX_COLSPAN), 1)
                 rows = span_of(cell, "rowspan", MAX_ROWSPAN) or MAX_ROWSPAN  # 0: to the end of the group
-                cells.append(Cell(at, stop, inner(cell)))
+                cells.append(Cell(at, stop, [part for line in inner(cell) for part in wrapped(line)]))
                 if rows > 1:
                     covered |= dict.fromkeys(range(at, stop), rows - 1)
                 at = stop
@@ -407,6 +503,23 @@ def table_grid(node: Node) -> list[list[str] | list[Cell]]:
     return [[Cell(bisect_left(starts, c.start), bisect_left(starts, c.stop), c.lines) if isinstance(c, Cell) else c for c in p] for p in parts]
 
 
+def wrapped(line: str, width: int = WRAP) -> list[str]:
+    """A line in parts of at most ``width``, broken at spaces where there are any; further lines keep its indent."""
+    if len(line) <= width:
+        return [line]
+    indent = line[: len(line) - len(line.lstrip(" "))]
+    indent = indent if len(indent) < width // 2 else ""
+    out, at = [], 0
+    lead = ""
+    while len(line) - at > width - len(lead):
+        stop = line.rfind(" ", at + len(indent) + 1 if not at else at + 1, at + width - len(lead) + 1)
+        stop = stop if stop > at else at + width - len(lead)
+        out.append(lead + line[at:stop].rstrip(" "))
+        at = stop + (line[stop : stop + 1] == " ")
+        lead = indent
+    return [*out, lead + line[at:]]
+
+
 def table_lines(node: Node) -> list[str]:
     """Rows of cells in columns of equal width; text outside cells comes on lines before its row."""
     grid = table_grid(node)
@@ -418,9 +531,6 @@ def table_lines(node: Node) -> list[str]:
     places = [0]
     for w in widths:
         places.append(places[-1] + w + 3)
-    text = sum(len(line) for c in cells for line in c.lines)
-    if sum(places[row[-1].start] * max(len(c.lines) for c in row) for row in rows) > max(MAX_GROWTH * text, SMALL_TABLE):
-        widths, places = [0] * len(widths), [3 * k for k in range(len(places))]
     lines: list[str] = []
     for part in grid:
         if isinstance(part[0], str):
@@ -440,6 +550,7 @@ def page_text(page: str | None) -> tuple[str, str]:
     """(title, visible text) of a page."""
     if not page:
         return "", ""
+    sys.setrecursionlimit(max(sys.getrecursionlimit(), 20 * MAX_DEPTH))  # a few frames for each level
     root, title = parse(page)
     return title, "\n".join(inner(root)).strip("\n")
 

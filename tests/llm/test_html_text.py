@@ -1,9 +1,10 @@
 import random
+import time
 from html.parser import HTMLParser
 
 import pytest
 
-from halocline.llm.html_text import extract, op2_html_text, page_text
+from halocline.llm.html_text import WRAP, extract, op2_html_text, page_text, wrapped
 
 SF = "/root/testdata/sf0.01"
 
@@ -71,10 +72,17 @@ def test_title_and_depth():
     assert text("<a " + "x='" * 50000).strip() in ("", "<a " + "x='" * 50000)
 
 
-def test_long_cell_does_not_pad_other_rows():
+def test_long_cell_goes_on_in_its_own_column():
+    """Columns stay aligned whatever a cell holds, and a cell takes no more than WRAP of each row."""
     page = "<table><tr><td>" + "x" * 5000 + "<td>b" + "<tr><td>short<td>c" * 2000 + "</table>"
-    assert len(text(page)) < 3 * len(page)
-    assert text(page).split("\n")[1] == "short | c"
+    lines = text(page).split("\n")
+    assert len(lines) == -(-5000 // WRAP) + 2000 and max(map(len, lines)) == WRAP + 4
+    assert lines[0] == "x" * WRAP + " | b" and lines[1] == "x" * WRAP + " |" and lines[-1] == "short".ljust(WRAP) + " | c"
+    words = text("<table><tr><td>" + "word " * 100 + "<td>b<tr><td>s<td>c</table>").split("\n")
+    assert all(set(line.split(" | ")[0].split()) <= {"word", "|"} for line in words[:-1]) and sum(line.count("word") for line in words) == 100
+    for n in (59, 150, 158):
+        rows = text("<table><tr><td>" + "y" * n + "<td>b" + "<tr><td>s<td>c" * 200 + "</table>").split("\n")
+        assert len(rows) == 201 and {r.index(c) for r, c in zip(rows, ["b"] + ["c"] * 200, strict=True)} == {n + 3}
 
 
 def test_table_keeps_every_visible_word(spark):
@@ -87,6 +95,8 @@ def test_table_keeps_every_visible_word(spark):
         plain.close()
         squeeze = lambda s: sorted("".join(s.split()).replace("|", "").replace("-", ""))
         assert squeeze("".join(plain.words)) == squeeze(r.text), r.page_id
+        if "<table" not in pages[r.page_id] and "<ol" not in pages[r.page_id]:  # and in the same order
+            assert "".join("".join(plain.words).split()).replace("-", "") == "".join(r.text.split()).replace("-", ""), r.page_id
 
 
 def test_rows(spark):
@@ -136,6 +146,48 @@ def test_many_open_elements_take_linear_time():
         text(page)
 
 
+def test_blocked_end_tags_take_linear_time():
+    """A million bytes of end tags that an inner table or block holds back, or that close nothing."""
+    n = 60_000
+    for page in ("<div><table>" + "<span>" * n + "</div>" * n, "<b><div>" + "<i>" * n + "</b>" * n, "<ul><li>" + "<span>" * n + "<td>" * n, "<table><tr><td><div>" * 300 + "</span></p>" * n):
+        began = time.perf_counter()
+        text(page)
+        assert time.perf_counter() - began < 2
+
+
+def test_nesting_goes_as_deep_as_in_browsers():
+    deep = text("<ul><li>" * 200 + "x")
+    assert deep.endswith("- x") and deep.count("- ") == 200
+    assert len(text("<ul><li>" * 100_000 + "x")) < 5000
+
+
+@pytest.mark.parametrize("line, width, expected", [("abc", 5, ["abc"]), ("ab cd ef", 5, ["ab cd", "ef"]), ("abcdefgh", 3, ["abc", "def", "gh"]), ("  ab cd ef", 6, ["  ab", "  cd", "  ef"]), ("a bcdefgh", 4, ["a", "bcde", "fgh"])])
+def test_wrapping(line, width, expected):
+    assert wrapped(line, width) == expected
+
+
+@pytest.mark.parametrize(
+    "page, expected",
+    [
+        ("<style>.x{display:none} #i { visibility : hidden }</style><p class='a x'>no<p id=i>no<b style='visibility:visible'>yes</b><p class=xx>seen", "yes\n\nseen"),
+        ("<p class=x>no</p>yes<style>p.x, q{color:red;DISPLAY:NONE}</style><div class=x>seen</div>", "yes\nseen"),
+        ("<style>.x{display:none} p{display:block}</style><p class=x>no<p>yes", "yes"),
+        ("<style>p.x{display:none} .x{display:block}</style><p class=x>no", ""),
+        ("<style>.x{display:none} .x{display:block}</style><p class=x>yes", "yes"),
+        ("<style>.x{display:none}</style><p class=x style='display:block'>yes", "yes"),
+        ("<style>.x{display:none !important}</style><p class=x style='display:block'>no", ""),
+        ("<style>@media print{.x{display:none}} @media screen{.y{display:none}} @font-face{display:none}</style><p class=x>yes<p class=y>no", "yes"),
+        ("<style media=print>.x{display:none}</style><style>/* .y{display:none} */ div .x{display:none} .y:hover{display:none}</style><p class='x y'>yes", "yes"),
+        ("<!-- <style>.x{display:none}</style> --><p class=x>yes<style>}{{.x{", "yes"),
+        ("<style>*{visibility:hidden} .s{visibility:visible}</style><div>no<p class=s>yes</div>", "yes"),
+        ("<ol><li>a<li value=7>b<li>c</ol><ol reversed><li>x<li>y<li>z</ol><ol reversed start=9><li>p<li>q</ol>", "1. a\n7. b\n8. c\n\n3. x\n2. y\n1. z\n\n9. p\n8. q"),
+        ("<form>name <input type=text value=no> <input type=submit value='Send it'><input type=BUTTON value=x></form>", "name Send itx"),
+    ],
+)
+def test_style_sheets_and_labels(page, expected):
+    assert text(page) == expected
+
+
 def table_by_hand(rows):
     """Rows of (text, colspan, rowspan), each cell put into every place it covers; only the first place shows its text."""
     grid = {}
@@ -172,5 +224,5 @@ def test_random_tables():
 
 def test_growth_of_a_table_is_bounded():
     page = "<table>" + "<tr><td>" + "x" * 3000 + "<td>b" + "<tr><td>s<td>c" * 3000 + "</table>"
-    assert len(text(page)) < 8 * len(page) and text(page).endswith("s | c")
+    assert len(text(page)) < (WRAP + 5) * 3100 and text(page).endswith("s".ljust(WRAP) + " | c")
     assert len(text("<table>" + "<tr>" + "<td colspan=1000>a" * 300 + ("<tr><td colspan=300000>b<td>c" * 1000) + "</table>")) < 200_000
