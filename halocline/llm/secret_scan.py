@@ -15,6 +15,7 @@ id keeps its row; further columns are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -46,7 +47,7 @@ BASE = (
     Rule("hex", r"[0-9a-f]+", 24),
 )
 ADDED = (
-    Rule("header", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"),
+    Rule("header", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
     Rule("bearer", r"(?i:bearer)\x20+[A-Za-z0-9._~+/=-]+", 24),
 )
 RULES = BASE + ADDED
@@ -100,7 +101,7 @@ def findings_of(ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame
     names = F.array(*[F.lit(r.name) for r in rules])
     current = F.filter("findings", lambda x: F.array_contains(F.array_intersect(F.col("scanned"), names), F.concat_ws(":", x["kind"], F.element_at(F.create_map(*[v for r in rules for v in (F.lit(r.kind), F.lit(r.version))]), x["kind"]))))
     rows = ledger.select("blob", current.alias("findings"))
-    return rows.groupBy("blob").agg(F.array_sort(F.flatten(F.collect_list("findings"))).alias("findings"))
+    return rows.groupBy("blob").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("findings")))).alias("findings"))
 
 
 def join_back(versions: DataFrame, findings: DataFrame) -> DataFrame:
@@ -129,8 +130,17 @@ class BlobLedger:
 
     def scan(self, versions: DataFrame) -> DataFrame:
         """Scan what is new in ``versions`` and return all of their rows with findings."""
-        update_ledger(versions, self.read(), self.rules).write.mode("overwrite").parquet(f"{self.path}/scan-{len(self.parts):05d}")
-        return join_back(versions, materialize(findings_of(self.read(), self.rules)))  # written, so that Spark may split a hot blob's paths
+        asked = materialize(versions.select(blob_id(text_or_empty()).alias("blob")).distinct())
+        earlier = self.of_blobs(asked)
+        # scans that run at one time write parts of their own; what both have scanned is the same
+        part = f"{self.path}/scan-{len(self.parts):05d}-{uuid.uuid4().hex[:12]}"
+        update_ledger(versions, earlier, self.rules).write.parquet(part)
+        return join_back(versions, materialize(findings_of(self.of_blobs(asked), self.rules)))  # written, so that Spark may split a hot blob's paths
+
+    def of_blobs(self, asked: DataFrame) -> DataFrame | None:
+        """The ledger's rows of some blobs: a scan's cost past its own texts is one pass over the ledger's addresses."""
+        ledger = self.read()
+        return None if ledger is None else ledger.join(asked.hint("merge"), "blob", "left_semi")
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

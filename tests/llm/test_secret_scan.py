@@ -20,7 +20,7 @@ def plain(text):
     spans = [(m.start(), 0, m.end()) for m in re.finditer(rf"({NAMES})[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", text) if len(m[2]) >= 6]
     spans += [(m.start(), 1, m.end()) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
     spans += [(m.start(), 2, m.end()) for m in re.finditer(r"[0-9a-f]+", text) if len(m[0]) >= 24]
-    more = [(m.start(), 3, m.end()) for m in re.finditer(r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", text)]
+    more = [(m.start(), 3, m.end()) for m in re.finditer(r"-----BEGIN [A-Z ]*PRIVATE KEY-----", text)]
     more += [(m.start(), 4, m.end()) for m in re.finditer(rf"{BEARER}\x20+[A-Za-z0-9._~+/=-]+", text) if len(m[0]) >= 24]
     show = lambda x: ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in sorted(x))
     return (*[sum(k == j for _, k, _ in spans) for j in range(3)], hashlib.sha256(show(spans).encode()).hexdigest(), show(spans + more))
@@ -28,7 +28,7 @@ def plain(text):
 
 def texts():
     rnd = random.Random(1)
-    bits = ["token", "TOKEN", "toKen", "api_key", "APIKEY", "passwd", "password", " ", "  ", "=", ":", "==", "'", '"', "abc", "abcdef", "é", "AKIA", "AKIAAKIA", "A1B2C3D4E5F6G7H8", "0123456789abcdef", "ff", "\x01", "\x02", "\n", "-----BEGIN RSA PRIVATE KEY-----", "Bearer abcdefghijklmnopqrstu", "😀", "ſecret", "toKen", "$1", "\\"]
+    bits = ["token", "TOKEN", "toKen", "api_key", "APIKEY", "passwd", "password", " ", "  ", "=", ":", "==", "'", '"', "abc", "abcdef", "é", "AKIA", "AKIAAKIA", "A1B2C3D4E5F6G7H8", "0123456789abcdef", "ff", "\x01", "\x02", "\n", "-----BEGIN RSA PRIVATE KEY-----", "-----BEGIN " + "LONG " * 20 + "PRIVATE KEY-----", "Bearer abcdefghijklmnopqrstu", "😀", "ſecret", "toKen", "$1", "\\"]
     return [None, "", " "] + ["".join(rnd.choices(bits, k=rnd.randrange(60))) for _ in range(200)] + ["token=token:abcdefgh", "x" * 100000 + " secret = abcdefg " + "0" * 50000, "token=abcdef " * 5000]
 
 
@@ -79,3 +79,23 @@ def test_ledger_is_opened_again_and_a_scan_is_done_again(spark):
     assert [spark.read.parquet(p).count() for p in again.parts] == [1, 1]
     assert rows_of(BlobLedger(spark, path, BASE).scan(df)) == {1: "assign:0:14", 2: "assign:0:14"}
     assert [spark.read.parquet(p).count() for p in again.parts] == [1, 1, 0]
+
+
+def test_scans_at_one_time_keep_both_parts(spark):
+    """Two scans that began before either had ended: no part is lost, and what both found counts once."""
+    df = spark.createDataFrame([(1, "token = abcdef"), (2, "secret:qwertyu")], "doc_id long, text string")
+    path = shared_dir(spark)
+    first, second = BlobLedger(spark, path, BASE), BlobLedger(spark, path, BASE)
+    first.scan(df)
+    inside = second.__class__.read
+    try:
+        second.__class__.read = lambda self: None if not self.parts[1:] else inside(self)  # as it looked at the start
+        second.scan(df)
+    finally:
+        second.__class__.read = inside
+    assert [spark.read.parquet(p).count() for p in first.parts] == [2, 2]
+    assert rows_of(first.scan(df)) == {1: "assign:0:14", 2: "assign:0:14"}
+
+
+def test_header_of_any_length():
+    assert plain("-----BEGIN " + "A " * 500 + "PRIVATE KEY-----")[4] == "header:0:1027"
