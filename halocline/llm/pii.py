@@ -1,8 +1,8 @@
 """Personal data: regular expressions propose spans, checksums confirm them, nearby words adjust their score.
 
 Base kinds are email, ip, card (Luhn) and phone; added kinds are iban (mod-97) and ssn, which needs one context word.
-Every confirmed span has a score from its kind, its checksum and the words within CONTEXT_CHARS before it, of the
-languages of the corpus; base spans are always kept, added spans from ADDED_SCORE on.
+Every confirmed span has a score from its kind, its checksum and the words within CONTEXT_CHARS before and after it, of
+the languages of the corpus; base spans are always kept, added spans from ADDED_SCORE on.
 
 Spans are code points, end exclusive; each base kind's matches are leftmost and non-overlapping, and a match that fails
 its test is dropped, its text not tried again.  An iban has its country's length, single spaces left out, and ends a
@@ -145,8 +145,8 @@ def proposals(text: str) -> Iterator[tuple[int, int, int]]:
                 yield m.start(), 5, m.end()
 
 
-def score_of(text: str, start: int, kind: str) -> float:
-    near = set(WORD.findall(text[max(0, start - CONTEXT_CHARS) : start].lower()))
+def score_of(text: str, start: int, stop: int, kind: str) -> float:
+    near = set(WORD.findall(text[max(0, start - CONTEXT_CHARS) : start].lower())) | set(WORD.findall(text[stop : stop + CONTEXT_CHARS].lower()))
     up, down = len(near & FOR[kind]), len(near & AGAINST[kind])
     return round(min(1.0, max(0.0, START[kind] + 0.2 * min(up, 2) - 0.2 * min(down, 2))), 3)
 
@@ -155,7 +155,7 @@ def find_spans(text: str | None) -> list[tuple[int, int, int, float]]:
     """(start, kind's place, end, score), in order of start and kind."""
     out = []
     for a, k, b in sorted(proposals(text)) if text else ():
-        s = score_of(text, a, KINDS[k])
+        s = score_of(text, a, b, KINDS[k])
         if k < len(BASE) or s >= ADDED_SCORE:
             out.append((a, k, b, s))
     return out

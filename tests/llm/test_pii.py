@@ -120,3 +120,10 @@ def test_context_decides_in_each_language():
     for up, down in (("Konto", "Beispiel"), ("cuenta", "ejemplo"), ("compte", "exemple")):
         scores = [find_spans(f"{w} DE89370400440532013000")[0][3] for w in (up, "und")]
         assert scores[0] > scores[1] and find_spans(f"{down} DE89370400440532013000")[0][3] < scores[1]
+
+
+def test_context_counts_on_both_sides():
+    kinds = lambda t: [KINDS[k] for _, k, _, _ in find_spans(t)]
+    assert kinds("SSN 123-45-6789") == kinds("123-45-6789 is my SSN") == ["ssn"]
+    assert kinds("123-45-6789 " + "und " * 20 + "SSN") == []  # too far off
+    assert kinds("SSN 123-45-6789 on part 7") == []  # one word for it and one against
