@@ -2,9 +2,11 @@
 
 Of every window of w consecutive k-gram hashes the smallest is selected (the last of equal ones), in the benchmark and
 in the documents alike, so two texts that share k + w - 1 words share a selected k-gram there.  Only selected k-grams
-are kept and looked up.  A hit, a pair of places with equal hashes, is extended word by word to both sides, as far as a
-window reaches; the windows that it covers are then compared byte by byte.  With k = 5 and w = 6 every shared span of
-10 words is found.  An item of fewer words is one k-gram of all of them (k its length, w = 1).
+are kept and looked up.  A hit, a place of a document whose hash the benchmark has, is extended to the windows around it;
+equal windows of the benchmark are one class, whose items are a list, and a document's window is looked up by the hash of
+its words and compared byte by byte with its class.  So the work at a hit does not depend on how many items share a
+passage.  With k = 5 and w = 6 every shared span of 10 words is found.  An item of fewer words is one k-gram of all of them
+(k its length, w = 1).
 
 The benchmark's selected places are sent to all tasks in blocks of bounded text, one block after the other: a block is
 built, sent, used over all documents and given back before the next one.  With one block nothing is shuffled or
@@ -32,7 +34,7 @@ KGRAM = 5
 #: Bytes of benchmark text sent to the tasks at once (one longer item is a block of its own); a larger benchmark takes
 #: several passes over the documents.
 BLOCK_BYTES = 8_000_000
-#: Pairs of places that are extended at once inside a task.
+#: Pairs of windows that are compared at once inside a task.
 PAIRS_AT_ONCE = 1_000_000
 
 GRAM_MULT = 0xD6E8FEB86659FD93
@@ -160,59 +162,55 @@ class Index:
         for c in np.flatnonzero(stops - first > 1).tolist():
             self.class_list[c] = len(items) + lists.setdefault(tuple(owner[first[c] : stops[c]].tolist()), len(lists))
         self.lists = [(i,) for i, _ in items] + [tuple(items[i][0] for i in own) for own in lists]
-        # of selected places whose windows are all equal one is enough; the first and the last window tell
+        # one window of each class, found by the hash of its words
+        _, first = np.unique(classes, return_index=True)
+        hashes = gram_hashes(words.hashes, n)[begins[first]] if len(begins) else np.zeros(0, np.uint64)
+        order = np.argsort(hashes, kind="stable")
+        self.window_hashes, self.window_classes, self.window_places = hashes[order], order, begins[first][order]
+        # a selected k-gram is kept once, in however many items it stands
         at, prints = winnow(words, self.k, self.w)
-        ends = np.searchsorted(words.row, np.arange(len(items) + 1))
-        low, high = np.maximum(at - self.w + 1, ends[words.row[at]]), np.minimum(at, ends[words.row[at] + 1] - n)
-        around = (self.classes[low] * self.w + at - low) * self.w + high - low
-        order = np.lexsort((self.classes[high], around, prints))
-        same = (prints[order[1:]] == prints[order[:-1]]) & (around[order[1:]] == around[order[:-1]]) & (self.classes[high[order[1:]]] == self.classes[high[order[:-1]]])
-        order = order[np.append(True, ~same)]
-        self.at, self.prints = at[order], prints[order]
-        bits = max(20, int(8 * len(order)).bit_length())
+        self.prints, once = np.unique(prints, return_index=True)
+        self.at = at[once]
+        bits = max(20, int(8 * len(self.at)).bit_length())
         self.mask = np.uint64((1 << bits) - 1)
         self.filter = np.zeros(1 << bits, bool)
         self.filter[self.prints & self.mask] = True
 
-    def hits(self, words: Words) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(place in ``words``, place in the items) with equal selected k-grams, a bounded number at once."""
+    def hits(self, words: Words) -> np.ndarray:
+        """Places in ``words`` of selected k-grams that are selected in the items too."""
         at, prints = winnow(words, self.k, self.w)
         maybe = np.flatnonzero(self.filter[prints & self.mask])
         at, prints = at[maybe], prints[maybe]
-        low, high = np.searchsorted(self.prints, prints), np.searchsorted(self.prints, prints, side="right")
-        found = np.flatnonzero(high > low)
-        at, low, n = at[found], low[found], (high - low)[found]
-        step = np.cumsum(n) // PAIRS_AT_ONCE
-        for own in np.split(np.arange(len(n)), np.flatnonzero(np.diff(step)) + 1) if len(n) else ():
-            first = np.cumsum(n[own]) - n[own]
-            yield np.repeat(at[own], n[own]), self.at[np.repeat(low[own] - first, n[own]) + np.arange(n[own].sum())]
-
-    def extended(self, words: Words, d: np.ndarray, b: np.ndarray, side: int) -> np.ndarray:
-        """How many words to one side (-1 or 1) of each pair of k-grams are equal, up to a window's reach."""
-        mine, theirs = words, self.words
-        if side == 1:
-            d, b = d + self.k - 1, b + self.k - 1
-        same, n = np.ones(len(d), bool), np.zeros(len(d), np.int64)
-        for j in range(side, side * self.w, side):
-            x, y = np.clip(d + j, 0, len(mine) - 1), np.clip(b + j, 0, len(theirs) - 1)
-            same &= (x == d + j) & (y == b + j) & (mine.row[x] == mine.row[d]) & (theirs.row[y] == theirs.row[b]) & (mine.hashes[x] == theirs.hashes[y])
-            n += same
-        return n
+        if not len(self.prints):
+            return at[:0]
+        found = np.minimum(np.searchsorted(self.prints, prints), len(self.prints) - 1)
+        return at[self.prints[found] == prints]
 
     def shared(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
-        """(place, class) of the windows that ``words`` shares with the items, once each, by place."""
-        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
-        for d, b in self.hits(words):
-            left, right = self.extended(words, d, b, -1), self.extended(words, d, b, 1)
-            n = np.maximum(left + right + self.k - self.n + 1, 0)
-            first = np.cumsum(n) - n
-            inside = np.arange(n.sum()) - np.repeat(first, n)
-            place, other = np.repeat(d - left, n) + inside, np.repeat(b - left, n) + inside
-            _, once = np.unique(np.stack((place, self.classes[other])), axis=1, return_index=True)
-            place, other = place[once], other[once]
-            same = same_windows(words, place, self.words, other, self.n)
-            found.append((place[same], self.classes[other[same]]))
-        pairs = np.unique(np.concatenate(found, axis=1), axis=1)
+        """(place, class) of the windows that ``words`` shares with the items, once each, by place.
+
+        Each hit is extended to the windows around it, at most as many as a window has k-grams.  A window is looked up among
+        the classes by the hash of all its words, however many items it stands in, and compared byte by byte.
+        """
+        at = self.hits(words)
+        whole = np.zeros(len(words) + 1, bool)
+        whole[words.begins(self.n)] = True
+        around = at[:, None] - np.arange(self.w)
+        place = np.unique(around[around >= 0])
+        place = place[whole[place]]
+        if not len(place):
+            return place, place
+        hashes = gram_hashes(words.hashes, self.n)[place]
+        low, high = np.searchsorted(self.window_hashes, hashes), np.searchsorted(self.window_hashes, hashes, side="right")
+        n = high - low  # of several classes of one hash at most one has these words
+        found = [np.zeros((2, 0), np.int64)]
+        step = np.cumsum(n) // PAIRS_AT_ONCE
+        for own in np.split(np.arange(len(n)), np.flatnonzero(np.diff(step)) + 1):
+            first = np.cumsum(n[own]) - n[own]
+            here, there = np.repeat(place[own], n[own]), np.repeat(low[own] - first, n[own]) + np.arange(n[own].sum())
+            same = same_windows(words, here, self.words, self.window_places[there], self.n)
+            found.append(np.stack((here[same], self.window_classes[there[same]])))
+        pairs = np.concatenate(found, axis=1)
         return pairs[0], pairs[1]
 
 

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 from collections import defaultdict
 
 import pyarrow as pa
@@ -115,3 +116,15 @@ def test_words_of_equal_hash_do_not_count(monkeypatch):
     words = Words(pa.array(["zz aa bbb c dd eee f gg hhh i jj q", "xx yyy z xx yyy z xx yyy z xx yyy"]))
     place, cls = index.shared(words)
     assert place.tolist() == [1] and index.lists[index.class_list[cls[0]]] == ("1",)
+
+
+def test_work_does_not_grow_with_the_items_that_share_a_passage():
+    """3,000 items with one opening of ten words, and a document that repeats it for 80 KB."""
+    opening = "answer the following question with one of the choices below"
+    items = [(str(i), f"{opening} own{i} words{i} of{i} item{i}") for i in range(3000)]
+    index = Index(items, WINDOW)
+    words = Words(pa.array([(opening + " ") * 1400]))
+    began = time.perf_counter()
+    place, cls = index.shared(words)
+    assert time.perf_counter() - began < 0.2
+    assert place.tolist() == list(range(0, 14_000, 10)) and {len(index.lists[index.class_list[c]]) for c in cls.tolist()} == {3000}
