@@ -109,3 +109,17 @@ def test_index_is_opened_again_and_compacted_by_tiers(spark, monkeypatch):
     assert {r.text: r.best for r in index.lookup(asked.select("digest")).join(asked, "digest").collect()}["t0"] == 5000
     assert {r.n for r in index.compact().join(asked.where("text = 't0'"), "digest").collect()} == {len(expected["t0"]) + 1}
     assert DigestIndex(spark, shared_dir(spark)).lookup(asked).count() == 0
+
+
+def test_ingest_goes_through_runs_filters_and_lookups(spark):
+    index = DigestIndex(spark, shared_dir(spark))
+    rows = [(i, f"t{i % 70}") for i in range(100)] + [(None, "t1"), (None, "only")]
+    digests = spark.createDataFrame(rows, "doc_id long, text string").select("doc_id", "text", sha256(F.col("text")).alias("digest"))
+    hits = index.ingest(digests.drop("text"), 6)
+    again = {r.text for r in hits.join(digests.select("digest", "text").distinct(), "digest").collect()}
+    assert again == {f"t{i}" for i in range(30)}
+    assert index.spans() == [(0, 3, 1), (4, 4, 0), (5, 5, 0)]
+    assert sorted(os.listdir(f"{index.path.removeprefix('file:')}/filters"))[1:] == ["00004-00004-0", "00005-00005-0"]
+    plan = index.lookup(hits)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftSemi") == 3 and plan.count("scalar-subquery") >= 9
+    assert {r.n for r in index.lookup(hits).join(digests.where("text = 't1'").select("digest").distinct(), "digest").collect()} == {3}
