@@ -106,6 +106,11 @@ def web_mercator(lat: ColumnOrName, lon: ColumnOrName) -> tuple[Column, Column]:
     return F.radians(as_col(lon)) * WGS84_A, F.log(F.tan(F.lit(math.pi / 4) + F.radians(as_col(lat)) / 2)) * WGS84_A
 
 
+def web_mercator_inverse(x: ColumnOrName, y: ColumnOrName) -> tuple[Column, Column]:
+    """(lat, lon) of EPSG:3857 metres."""
+    return F.degrees(2 * F.atan(F.exp(as_col(y) / WGS84_A)) - math.pi / 2), F.degrees(as_col(x) / WGS84_A)
+
+
 def utm_zone(lat: ColumnOrName, lon: ColumnOrName) -> Column:
     """Zone number, with the exceptions of south-west Norway and Svalbard."""
     la, lo = as_col(lat), normalize_longitude(lon)

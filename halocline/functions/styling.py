@@ -49,6 +49,12 @@ def palette(stops: list[tuple[int, int, int]], levels: int, at_centres: bool = T
     return out
 
 
+#: The colour of what has no value.
+NO_VALUE = "#000000"
+
+
 def fill_color(value: ColumnOrName, low: float, high: float, levels: int, stops: list[tuple[int, int, int]]) -> Column:
+    """The class's colour, the last one's from ``high`` on; black for null and NaN."""
+    v = as_col(value).cast("double")
     colors = F.array(*[F.lit(c) for c in palette(stops, levels)])
-    return F.get(colors, F.least(level_of(value, low, high, levels), F.lit(levels - 1)))
+    return F.when(v.isNull() | F.isnan(v), NO_VALUE).otherwise(F.get(colors, F.least(level_of(v, low, high, levels), F.lit(levels - 1))))

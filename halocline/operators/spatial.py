@@ -352,21 +352,20 @@ def choose_spaced(ranked: DataFrame, top_n: int, spacing_m: float, pool: int) ->
     return chosen
 
 
-#: Rows of a hotspot report that are sent to all tasks.
-MOST_SPOTS = 10_000
-
-
 def neighbourhoods(faces: DataFrame, spots: DataFrame, value: str, side_m: float) -> DataFrame:
     """Per hotspot (rank, lat, lon): faces in the square of ``side_m`` around it, their mean, maximum and bounds.
 
-    Hotspots are a report's rows (a top-n), so they go to the faces; more than MOST_SPOTS are refused.
+    Hotspots and faces meet on equal cells as large as the square, of which a hotspot lies in the few that it reaches into.
     """
-    if spots.limit(MOST_SPOTS + 1).count() > MOST_SPOTS:
-        raise ValueError(f"more than {MOST_SPOTS} hotspots")
     half = side_m / 2 / 111_000.0
-    at = spots.select("rank", F.col("lat").alias("y_"), F.col("lon").alias("x_"))
+    size = 2 * half
+    cell = lambda c: F.floor(c / size).cast("int")
+    at = spots.select("rank", F.col("lat").alias("y_"), F.col("lon").alias("x_")).dropna()
+    reach = F.least(F.try_divide(F.lit(half), F.abs(F.cos(F.radians("y_")))), F.lit(360.0))  # all around at the poles
+    at = at.withColumn("cy_", F.explode(F.sequence(cell(F.col("y_") - half), cell(F.col("y_") + half))))
+    at = at.withColumn("cx_", F.explode(F.sequence(cell(F.col("x_") - F.coalesce(reach, F.lit(360.0))), cell(F.col("x_") + F.coalesce(reach, F.lit(360.0))))))
     near = (F.abs(F.col("lat") - F.col("y_")) <= half) & (F.abs(F.col("lon") - F.col("x_")) * F.cos(F.radians("y_")) <= half)
-    joined = faces.join(F.broadcast(at), near)
+    joined = faces.withColumn("cy_", cell(F.col("lat"))).withColumn("cx_", cell(F.col("lon"))).join(at, ["cy_", "cx_"]).where(near)
     bounds = [f(c).alias(f"{c}_{f.__name__}") for c in ("lat", "lon") for f in (F.min, F.max)]
     return joined.groupBy("rank").agg(F.count("*").alias("n_faces"), F.avg(value).alias("mean_value"), F.max(value).alias("max_value"), *bounds)
 

@@ -162,9 +162,11 @@ def element_volume(spark, sf):
     return table(spark, sf, "part").select(F.col("p_partkey").alias("face_id"), F.round(depth.element_volume("p_retailprice", "p_size", F.lit(2)), 6).alias("volume_m3"), F.round(depth.element_volume("p_retailprice", "p_size", F.lit(2), add_elevation=True), 6).alias("volume_twice_m3"))
 
 
-@REG.add("sigma_table", "SELECT CAST(i AS INTEGER) AS sigma_layer, round(-0.05 - 0.1 * i, 6) AS sigma FROM (SELECT unnest(generate_series(0, 9)) AS i)")
+@REG.add("sigma_table", f"WITH {LAYERS_SQL} SELECT sigma_layer, round(-0.05 - 0.1 * sigma_layer, 6) AS sigma, count(*) AS n_faces, round(avg(value), 9) + 0.0 AS mean_value FROM layers GROUP BY sigma_layer")
 def sigma_table(spark, sf):
-    return rounded(depth.sigma_table(spark), "sigma")
+    """The table's layers where they lie, with the faces and the mean of each."""
+    rows = layers(spark, sf).join(depth.sigma_table(spark), "sigma_layer").groupBy("sigma_layer", "sigma")
+    return rounded(rounded(rows.agg(F.count("*").alias("n_faces"), F.avg("value").alias("mean_value")), "sigma"), "mean_value", digits=9)
 
 
 def flagship(spark, sf):

@@ -63,10 +63,11 @@ def dateline_unwrap(spark, sf):
     return rounded(points(spark, sf).select("face_id", *[c.alias(n) for c, n in zip(geo.unwrap_longitudes(wrapped()), "abc", strict=True)]), *"abc")
 
 
-ZONES = {"America/Anchorage": -9, "America/Adak": -10, "America/Los_Angeles": -8, "America/New_York": -5, "America/St_Johns": -3, "UTC": 0, "Asia/Kolkata": 5}
+ZONES = ("America/Anchorage", "America/Adak", "America/Los_Angeles", "America/New_York", "America/St_Johns", "UTC", "Asia/Kolkata")
 
 
-@REG.add("utc_offsets", f"SELECT n_nationkey, CAST({list(ZONES.values())}[n_nationkey % {len(ZONES)} + 1] AS INTEGER) AS offset_hours FROM nation")
+@REG.add("utc_offsets", f"""WITH z AS (SELECT n_nationkey, {list(ZONES)}[n_nationkey % {len(ZONES)} + 1] AS zone, TIMESTAMP '2023-01-15 12:00:00' AS noon FROM nation)
+    SELECT n_nationkey, CAST(trunc(date_diff('minute', noon, (noon AT TIME ZONE 'UTC') AT TIME ZONE zone) / 60) AS INTEGER) AS offset_hours FROM z""")
 def utc_offsets(spark, sf):
     zone = F.element_at(F.array(*map(F.lit, ZONES)), (F.col("n_nationkey") % len(ZONES) + 1).cast("int"))
     return table(spark, sf, "nation").select("n_nationkey", geo.utc_offset_hours(zone).alias("offset_hours"))

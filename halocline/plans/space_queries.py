@@ -37,10 +37,10 @@ def url_parse(spark, sf):
     return table(spark, sf, "pages").select("page_id", F.regexp_extract("url", r"^(https?)://", 1).alias("scheme"), F.regexp_extract("url", r"://([^/?#]*)", 1).alias("host"), F.nullif(F.regexp_extract("url", r"/([0-9]+)", 1), F.lit("")).cast("long").alias("number"))
 
 
-@REG.add("html_clean", r"""WITH t AS (SELECT page_id, regexp_extract(html, '<h1>(.*?)</h1>', 1) AS h FROM pages)
-    SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace(h, '<[^>]*>', '', 'g'), '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&'), '\s+', ' ', 'g')) AS heading FROM t""")
+@REG.add("html_clean", r"""WITH t AS (SELECT page_id, html AS h FROM pages)
+    SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace(h, '<[^>]*>', '', 'g'), '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&'), '\s+', ' ', 'g')) AS text FROM t""")
 def html_clean(spark, sf):
-    return table(spark, sf, "pages").select("page_id", names.clean_html(F.regexp_extract("html", r"<h1>(.*?)</h1>", 1)).alias("heading"))
+    return table(spark, sf, "pages").select("page_id", names.clean_html("html").alias("text"))
 
 
 @REG.add("hsds_time_string", "SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') || '+00:00' AS time_index FROM events")
@@ -53,6 +53,18 @@ def color_class(spark, sf):
     return table(spark, sf, "part").select(F.col("p_partkey").alias("face_id"), styling.resolution_class(F.col("p_size") * 12.5).alias("resolution_class"), styling.level_of("p_retailprice", 900.0, 990.0, 9).alias("level"))
 
 
+STOPS = [(68, 1, 84), (33, 145, 140), (253, 231, 37)]
+
+
+@REG.add("fill_colors", f"""WITH l AS (SELECT p_partkey, p_size, p_retailprice AS v FROM part)
+    SELECT p_partkey AS face_id, CASE WHEN p_size % 10 = 0 THEN '#000000' ELSE {styling.palette(STOPS, 9)}[CAST(least(CASE WHEN v >= 990 THEN 9 WHEN v < 900 THEN 0 ELSE floor((v - 900) / 10) END, 8) AS INTEGER) + 1] END AS color FROM l""")
+def fill_colors(spark, sf):
+    """Every tenth size has no value, half of those a NaN."""
+    size = F.col("p_size")
+    value = F.when(size % 20 == 0, float("nan")).when(size % 10 != 0, F.col("p_retailprice"))
+    return table(spark, sf, "part").select(F.col("p_partkey").alias("face_id"), styling.fill_color(value, 900.0, 990.0, 9, STOPS).alias("color"))
+
+
 @REG.add("unit_standardize", "SELECT event_id, CASE event_type WHEN 'click' THEN 'm/s' WHEN 'view' THEN 'W/m^2' ELSE 'raw' END AS units FROM events")
 def unit_standardize(spark, sf):
     variable = F.when(F.col("event_type") == "click", "mean_speed").when(F.col("event_type") == "view", "max_power_density").otherwise("other")
@@ -91,6 +103,15 @@ def web_mercator(spark, sf):
     return points(spark, sf).where("abs(lat) < 85").select("face_id", (F.round(x, 3) + 0.0).alias("x"), (F.round(y, 3) + 0.0).alias("y"))
 
 
+@REG.add("web_mercator_bounds", f"""WITH {POINTS_SQL} SELECT nation, count(*) AS n, round(min(lat), 6) + 0.0 AS lat_min, round(max(lat), 6) + 0.0 AS lat_max, round(min(lon), 6) + 0.0 AS lon_min, round(max(lon), 6) + 0.0 AS lon_max FROM points WHERE abs(lat) < 85 GROUP BY nation""")
+def web_mercator_bounds(spark, sf):
+    """Bounds of projected points, taken back to degrees."""
+    x, y = geo.web_mercator("lat", "lon")
+    b = points(spark, sf).where("abs(lat) < 85").select("nation", x.alias("x"), y.alias("y")).groupBy("nation").agg(F.count("*").alias("n"), *[f(c).alias(f"{c}_{n}") for c in "xy" for f, n in ((F.min, "min"), (F.max, "max"))])
+    out = b.select("nation", "n", *[c.alias(f"{k}_{n}") for n in ("min", "max") for k, c in zip(("lat", "lon"), geo.web_mercator_inverse(f"x_{n}", f"y_{n}"), strict=True)])
+    return rounded(out, "lat_min", "lat_max", "lon_min", "lon_max")
+
+
 @REG.add("utm_zone", f"WITH {POINTS_SQL} SELECT face_id, CAST(CASE WHEN lat >= 56 AND lat < 64 AND lon >= 3 AND lon < 12 THEN 32 WHEN lat >= 72 AND lat < 84 AND lon >= 0 AND lon < 42 THEN CASE WHEN lon < 9 THEN 31 WHEN lon < 21 THEN 33 WHEN lon < 33 THEN 35 ELSE 37 END ELSE least(floor((lon + 180) / 6) + 1, 60) END AS INTEGER) AS zone FROM points")
 def utm_zone(spark, sf):
     return points(spark, sf).select("face_id", geo.utm_zone("lat", "lon").alias("zone"))
