@@ -4,12 +4,33 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from halocline.operators import sections
+from halocline.functions import names
+from halocline.operators import derive, sections
 from halocline.plans.space_queries import transect_start
 from halocline.plans.tables import POINTS_SQL, TOP_SQL, Registry, points, rounded, table, top_point
 
 REG = Registry()
 
+
+@REG.add("face_corners", """WITH n AS (SELECT l_orderkey AS face_id, l_linenumber AS c, l_partkey AS node FROM lineitem WHERE l_linenumber <= 3), p AS (SELECT p_partkey AS node, p_size * 1.5 - 40 AS lat, p_retailprice - 950 AS lon FROM part)
+    SELECT face_id, max(lat) FILTER (c = 1) AS element_corner_1_lat, max(lon) FILTER (c = 1) AS element_corner_1_lon, max(lat) FILTER (c = 2) AS element_corner_2_lat, max(lon) FILTER (c = 2) AS element_corner_2_lon,
+           max(lat) FILTER (c = 3) AS element_corner_3_lat, max(lon) FILTER (c = 3) AS element_corner_3_lon FROM n JOIN p USING (node) GROUP BY face_id""")
+def face_corners(spark, sf):
+    """Three corners a face: the feature."""
+    n = table(spark, sf, "lineitem").where("l_linenumber <= 3").select(F.lit("m").alias("location"), F.col("l_orderkey").alias("face_id"), F.col("l_linenumber").alias("corner"), F.col("l_partkey").alias("node_id"))
+    p = table(spark, sf, "part").select(F.lit("m").alias("location"), F.col("p_partkey").alias("node_id"), (F.col("p_size") * 1.5 - 40).alias("lat_node"), (F.col("p_retailprice") - 950).alias("lon_node"))
+    return derive.corner_columns(n, p, ["location", "face_id"]).drop("location")
+
+
+@REG.add("path_templates", """SELECT o_orderkey, CASE WHEN o_orderkey % 4 > 0 THEN replace(replace('{level}/{location}/v1.0.0/' || CASE WHEN o_orderkey % 4 = 1 THEN '{level}.nc' ELSE 'x.nc' END, '{level}', 'b' || o_orderkey % 7), '{location}', o_orderpriority) END AS path
+    FROM orders""")
+def path_templates(spark, sf):
+    """Every fourth template has a place that nothing fills."""
+    k = F.col("o_orderkey")
+    template = F.concat(F.lit("{level}/{location}/v1.0.0/"), F.when(k % 4 == 1, "{level}.nc").when(k % 4 == 0, "{unknown}.nc").otherwise("x.nc"))
+    path = names.render_template(template, {"level": F.concat(F.lit("b"), (k % 7).cast("string")), "location": "o_orderpriority"})
+    return table(spark, sf, "orders").select("o_orderkey", path.alias("path"))
+
 #: Triangles with a corner at each point; the layers of corner i are the embedding's numbers from 1 + 20 i (u) and 11 + 20 i (v),
 #: and lie closer to each other near the surface.
 N_LAYERS = 10

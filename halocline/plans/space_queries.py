@@ -240,10 +240,27 @@ def hotspots_greedy(spark, sf):
     return spatial.hotspots(points(spark, sf), "value", 10, 500_000.0)
 
 
-@REG.add("geodesic_edges")
+# Vincenty's inverse, iterated row by row; at a pole an edge along the parallel has no length.
+GEODESIC_SQL = f"""WITH RECURSIVE {POINTS_SQL}, k AS (SELECT 1 / 298.257223563::DOUBLE AS f, 6378137.0::DOUBLE AS a),
+    v AS (SELECT face_id, [lat, least(lat + 0.1, 90), lat] AS ys, [lon, lon, lon + 0.1] AS xs FROM points),
+    e AS (SELECT face_id, i, ys[i] AS y1, xs[i] AS x1, ys[i % 3 + 1] AS y2, xs[i % 3 + 1] AS x2 FROM v, (SELECT unnest([1, 2, 3]) AS i)),
+    r AS (SELECT face_id, i, f, a, atan((1 - f) * tan(radians(y1))) AS u1, atan((1 - f) * tan(radians(y2))) AS u2, radians(x2 - x1) AS dl FROM e, k),
+    it AS (SELECT face_id, i, f, a, u1, u2, dl, dl AS lam, 0 AS n FROM r UNION ALL
+        SELECT face_id, i, f, a, u1, u2, dl, dl + (1 - c) * f * sa * (s + c * ss * (cm + c * cs * (2 * cm * cm - 1))), n + 1 FROM (
+            SELECT *, atan2(ss, cs) AS s, f / 16 * c2 * (4 + f * (4 - 3 * c2)) AS c, CASE WHEN c2 > 1e-15 THEN cs - 2 * sin(u1) * sin(u2) / c2 ELSE 0 END AS cm FROM (
+                SELECT *, CASE WHEN ss > 0 THEN cos(u1) * cos(u2) * sin(lam) / ss ELSE 0 END AS sa, 1 - sa * sa AS c2 FROM (
+                    SELECT *, sqrt(pow(cos(u2) * sin(lam), 2) + pow(cos(u1) * sin(u2) - sin(u1) * cos(u2) * cos(lam), 2)) AS ss, sin(u1) * sin(u2) + cos(u1) * cos(u2) * cos(lam) AS cs FROM it WHERE n < 12)))),
+    z AS (SELECT *, sqrt(pow(cos(u2) * sin(lam), 2) + pow(cos(u1) * sin(u2) - sin(u1) * cos(u2) * cos(lam), 2)) AS ss, sin(u1) * sin(u2) + cos(u1) * cos(u2) * cos(lam) AS cs FROM it WHERE n = 12),
+    y AS (SELECT *, atan2(ss, cs) AS s, a * (1 - f) AS b, CASE WHEN ss > 0 THEN cos(u1) * cos(u2) * sin(lam) / ss ELSE 0 END AS sa, 1 - sa * sa AS c2, CASE WHEN c2 > 1e-15 THEN cs - 2 * sin(u1) * sin(u2) / c2 ELSE 0 END AS cm, c2 * (a * a - b * b) / (b * b) AS w,
+                 1 + w / 16384 * (4096 + w * (-768 + w * (320 - 175 * w))) AS big, w / 1024 * (256 + w * (-128 + w * (74 - 47 * w))) AS small FROM z),
+    m AS (SELECT face_id, i, b * big * (s - small * ss * (cm + small / 4 * (cs * (2 * cm * cm - 1) - small / 6 * cm * (4 * ss * ss - 3) * (4 * cm * cm - 3)))) AS metres FROM y)
+    SELECT face_id, round(sum(metres) / 3, 1) + 0.0 AS grid_resolution_m FROM m GROUP BY face_id"""
+
+
+@REG.add("geodesic_edges", GEODESIC_SQL)
 def geodesic_edges(spark, sf):
     p = points(spark, sf).withColumns({"la2": F.least(F.col("lat") + 0.1, F.lit(90.0)), "lo2": F.col("lon") + 0.1})
-    return p.select("face_id", geo.grid_resolution([("lat", "lon"), ("la2", "lon"), ("lat", "lo2")]).alias("grid_resolution_m"))
+    return rounded(p.select("face_id", geo.grid_resolution([("lat", "lon"), ("la2", "lon"), ("lat", "lo2")]).alias("grid_resolution_m")), "grid_resolution_m", digits=1)
 
 
 # The Krueger series written out: with xi and eta the scaled northing and easting, chi the conformal latitude.
@@ -263,7 +280,22 @@ def utm_inverse(spark, sf):
     return rounded(p.select("face_id", lat.alias("lat"), lon.alias("lon")), "lat", "lon", digits=8)
 
 
-@REG.add("dateline_split")
+# A triangle (lon, lat), (lon + 2, lat + 1), (lon + 4, lat) that crosses the date line at ``d`` degrees from its west corner.
+SPLIT_SQL = f"""WITH {POINTS_SQL}, t AS (SELECT face_id, lat, lon + 0.003 AS lon, 180 - (lon + 0.003) AS d FROM points),
+    whole AS (SELECT face_id, 1 AS split_part, 1 AS split_total, unnest([0, 1, 2]) AS place, unnest([lon, lon + 2, lon + 4]) AS lon, unnest([lat, lat + 1, lat]) AS lat FROM t WHERE d >= 4),
+    cut AS (SELECT *, lat + CASE WHEN d < 2 THEN d / 2 ELSE (4 - d) / 2 END AS up FROM t WHERE d < 4),
+    p AS (SELECT face_id, 1 AS split_part, unnest([(lon, lat), (179.999::DOUBLE, up), (179.999::DOUBLE, lat)]) AS p FROM cut UNION ALL SELECT face_id, 1, (lon + 2, lat + 1) FROM cut WHERE d > 2
+        UNION ALL SELECT face_id, 2, unnest([(lon + 4, lat), (180.001::DOUBLE, up), (180.001::DOUBLE, lat)]) FROM cut UNION ALL SELECT face_id, 2, (lon + 2, lat + 1) FROM cut WHERE d < 2),
+    c AS (SELECT *, avg(p[1]) OVER w AS cx, avg(p[2]) OVER w AS cy FROM p WINDOW w AS (PARTITION BY face_id, split_part)),
+    parts AS (SELECT face_id, split_part, 2 AS split_total, row_number() OVER (PARTITION BY face_id, split_part ORDER BY atan2(p[2] - cy, p[1] - cx)) - 1 AS place, p[1] - CASE split_part WHEN 2 THEN 360 ELSE 0 END AS lon, p[2] AS lat FROM c)
+    SELECT face_id, CAST(split_part AS INTEGER) AS split_part, CAST(split_total AS INTEGER) AS split_total, CAST(place AS INTEGER) AS place, round(lon, 6) + 0.0 AS lon, round(lat, 6) + 0.0 AS lat FROM (FROM whole UNION ALL FROM parts)"""
+
+
+@REG.add("dateline_split", SPLIT_SQL)
 def dateline_split(spark, sf):
-    p = points(spark, sf).withColumns({"la2": F.col("lat") + 1, "lo2": geo.normalize_longitude(F.col("lon") + 2), "lo3": geo.normalize_longitude(F.col("lon") + 4)})
-    return spatial.split_dateline(p.select("face_id", "lat", "lon", "la2", "lo2", "lo3"), [("lat", "lon"), ("la2", "lo2"), ("lat", "lo3")]).select("face_id", "split_part", "split_total", "ring")
+    """The corners of each part in order."""
+    p = points(spark, sf).withColumn("lon", F.col("lon") + 0.003)
+    p = p.withColumns({"la2": F.col("lat") + 1, "lo2": geo.normalize_longitude(F.col("lon") + 2), "lo3": geo.normalize_longitude(F.col("lon") + 4)})
+    parts = spatial.split_dateline(p.select("face_id", "lat", "lon", "la2", "lo2", "lo3"), [("lat", "lon"), ("la2", "lo2"), ("lat", "lo3")])
+    corners = parts.select("face_id", "split_part", "split_total", F.posexplode("ring").alias("place", "p"))
+    return rounded(corners.select("face_id", "split_part", "split_total", "place", "p.lon", "p.lat"), "lon", "lat")
