@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from halocline.functions import names
+
 
 def out_of_range(df: DataFrame, lat: str, lon: str) -> DataFrame:
     """Rows whose position is not finite or not on the globe."""
@@ -40,11 +42,16 @@ def not_constant(df: DataFrame, keys: list[str], columns: list[str]) -> DataFram
 
 
 def attribute_changes(before: DataFrame, after: DataFrame, keys: list[str], attrs: str, allowed: list[str], degree_tolerance: float = 1e-4) -> DataFrame:
-    """(keys, attribute, old, new) of MAP columns, but for allowed names and for ``geospatial_`` numbers within the tolerance."""
+    """(keys, attribute, old, new) of MAP columns, but for allowed names and for ``geospatial_`` numbers and polygons within
+    the tolerance: polygons of as many corners, each of them no farther off along either axis."""
     rows = lambda df, name: df.select(*keys, F.explode(attrs).alias("attribute", name))
     both = rows(before, "old").join(rows(after, "new"), [*keys, "attribute"], "full")
     near = F.col("attribute").startswith("geospatial_") & (F.abs(F.expr("try_cast(old as double)") - F.expr("try_cast(new as double)")) <= degree_tolerance)
-    return both.where(~F.col("old").eqNullSafe(F.col("new")) & ~F.coalesce(near, F.lit(False)) & ~F.col("attribute").isin(allowed))
+    a, b = names.parse_wkt_polygon("old"), names.parse_wkt_polygon("new")
+    off = F.zip_with(a, b, lambda p, q: F.greatest(F.abs(p["lon"] - q["lon"]), F.abs(p["lat"] - q["lat"])))
+    same_ring = F.col("attribute").startswith("geospatial_") & (F.size(a) == F.size(b)) & F.forall(off, lambda d: F.coalesce(d <= degree_tolerance, F.lit(False)))
+    near = F.coalesce(near, F.lit(False)) | F.coalesce(same_ring, F.lit(False))
+    return both.where(~F.col("old").eqNullSafe(F.col("new")) & ~near & ~F.col("attribute").isin(allowed))
 
 
 def missing_required(df: DataFrame, required: DataFrame, on: list[str]) -> DataFrame:

@@ -225,7 +225,10 @@ def order_ring(pdf: pd.DataFrame) -> list[list[int]]:
 
 
 def mesh_boundary(face_node: DataFrame, node: DataFrame, keys: list[str]) -> DataFrame:
-    """Outer ring of each mesh as WKT; only boundary edges, a small part of a mesh's edges, are gathered per mesh."""
+    """Outer ring of each mesh as WKT; only boundary edges, a small part of a mesh's edges, are gathered per mesh.
+
+    Longitudes west of the date line go on beyond 180 degrees where that makes the ring narrower.
+    """
     edges = boundary_edges(face_node, keys)
     at = node.select(*keys, "node_id", "lat_node", "lon_node")
     for end in ("a", "b"):
@@ -235,6 +238,9 @@ def mesh_boundary(face_node: DataFrame, node: DataFrame, keys: list[str]) -> Dat
     def one(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         where = {n: (x, y) for e in ("a", "b") for n, x, y in zip(pdf[e], pdf[f"lon_{e}"], pdf[f"lat_{e}"], strict=True)}
         ring = order_ring(pdf)[0]
+        lons = np.array([where[n][0] for n in ring])
+        if np.ptp(np.where(lons < 0, lons + 360, lons)) < np.ptp(lons):
+            where = {n: (x + 360 if x < 0 else x, y) for n, (x, y) in where.items()}
         wkt = "POLYGON ((" + ", ".join(f"{where[n][0]:.6f} {where[n][1]:.6f}" for n in ring) + "))"
         return pd.DataFrame([{**dict(zip(keys, key, strict=True)), "wkt": wkt, "n_nodes": len(ring) - 1}])
 
@@ -352,9 +358,12 @@ def choose_spaced(ranked: DataFrame, top_n: int, spacing_m: float, pool: int) ->
     return chosen
 
 
-def neighbourhoods(faces: DataFrame, spots: DataFrame, value: str, side_m: float) -> DataFrame:
+def neighbourhoods(faces: DataFrame, spots: DataFrame, value: str, side_m: float, exclusive: bool = False) -> DataFrame:
     """Per hotspot (rank, lat, lon): faces in the square of ``side_m`` around it, their mean, maximum and bounds.
 
+    If ``exclusive``, a face in several squares counts for the best-ranked of their hotspots only, and a last row, of rank
+    null, has all faces of the report together.
+
     Hotspots and faces meet on equal cells as large as the square, of which a hotspot lies in the few that it reaches into.
     """
     half = side_m / 2 / 111_000.0
@@ -367,7 +376,12 @@ def neighbourhoods(faces: DataFrame, spots: DataFrame, value: str, side_m: float
     near = (F.abs(F.col("lat") - F.col("y_")) <= half) & (F.abs(F.col("lon") - F.col("x_")) * F.cos(F.radians("y_")) <= half)
     joined = faces.withColumn("cy_", cell(F.col("lat"))).withColumn("cx_", cell(F.col("lon"))).join(at, ["cy_", "cx_"]).where(near)
     bounds = [f(c).alias(f"{c}_{f.__name__}") for c in ("lat", "lon") for f in (F.min, F.max)]
-    return joined.groupBy("rank").agg(F.count("*").alias("n_faces"), F.avg(value).alias("mean_value"), F.max(value).alias("max_value"), *bounds)
+    if exclusive:
+        first = joined.groupBy("face_id", "lat", "lon", value).agg(F.min("rank").alias("rank"))
+        groups = first.rollup("rank")
+    else:
+        groups = joined.groupBy("rank")
+    return groups.agg(F.count("*").alias("n_faces"), F.avg(value).alias("mean_value"), F.max(value).alias("max_value"), *bounds)
 
 
 def planar_metres(lat1: float, lon1: float, lat2: float, lon2: float) -> float:

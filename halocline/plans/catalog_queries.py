@@ -182,3 +182,15 @@ def hotspot_neighbourhoods(spark, sf):
     spots = table(spark, sf, "nation").select((key + 1).cast("int").alias("rank"), (key * 6 - 75).cast("double").alias("lat"), (key * 13 - 155).cast("double").alias("lon"))
     out = spatial.neighbourhoods(points(spark, sf), spots, "value", 2_000_000.0)
     return rounded(out, "mean_value", "lat_min", "lat_max", "lon_min", "lon_max")
+
+
+@REG.add("hotspot_reports", f"""WITH {POINTS_SQL}, spots AS (SELECT n_nationkey + 1 AS rank, n_nationkey * 6 - 75 AS y, n_nationkey * 13 - 155 AS x FROM nation),
+    f AS (SELECT face_id, lat, lon, value, min(rank) AS rank FROM points, spots WHERE abs(lat - y) <= 4000000 / 2 / 111000.0::DOUBLE AND abs(lon - x) * cos(radians(y)) <= 4000000 / 2 / 111000.0::DOUBLE GROUP BY ALL)
+    SELECT CAST(rank AS INTEGER) AS rank, count(*) AS n_faces, round(avg(value), 6) AS mean_value, max(value) AS max_value, round(min(lat), 6) AS lat_min, round(max(lat), 6) AS lat_max, round(min(lon), 6) AS lon_min, round(max(lon), 6) AS lon_max
+    FROM f GROUP BY ROLLUP (rank)""")
+def hotspot_reports(spark, sf):
+    """Squares that overlap: each face counts once, and all together at the end."""
+    key = F.col("n_nationkey")
+    spots = table(spark, sf, "nation").select((key + 1).cast("int").alias("rank"), (key * 6 - 75).cast("double").alias("lat"), (key * 13 - 155).cast("double").alias("lon"))
+    out = spatial.neighbourhoods(points(spark, sf), spots, "value", 4_000_000.0, exclusive=True)
+    return rounded(out, "mean_value", "lat_min", "lat_max", "lon_min", "lon_max")

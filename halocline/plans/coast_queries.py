@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from halocline.functions import geo
-from halocline.operators import coast
+from halocline.operators import coast, spatial
 from halocline.plans.tables import POINTS_SQL, Registry, points, rounded, table
+from halocline.sources import writers
 
 REG = Registry()
 
@@ -96,6 +99,33 @@ def time_zones(spark, sf):
     return coast.time_zones(points(spark, sf), zones, size=5.0, day="2023-07-15").select("face_id", "time_zone", "utc_offset_hours")
 
 
+@REG.add("boundary_geojson", f"""WITH {ANCHOR_SQL}, vertex AS {vertices_sql(RING)}
+    SELECT k, CAST(i AS INTEGER) AS place, 'ring ' || k AS name, round(x, 6) + 0.0 AS lon, round(y, 6) + 0.0 AS lat FROM (FROM vertex UNION ALL SELECT k, {len(RING)}, x, y FROM vertex WHERE i = 0)""")
+def boundary_geojson(spark, sf):
+    """Rings as features of GeoJSON, read back: every corner, the first again at the end."""
+    closed = anchors(spark, sf).select("k", around([*RING, RING[0]], False).alias("ring"), F.concat(F.lit("ring "), "k").alias("name"))
+    text = writers.geojson_features(closed, "ring", ["k", "name"])
+    kind = "type string, geometry struct<type: string, coordinates: array<array<array<double>>>>, properties struct<k: bigint, name: string>"
+    back = text.select(F.from_json("value", kind).alias("f")).where("f.type = 'Feature' AND f.geometry.type = 'Polygon'")
+    rows = back.select("f.properties.k", "f.properties.name", F.posexplode(F.col("f.geometry.coordinates")[0]).alias("place", "p"))
+    return rounded(rows.select("k", "place", "name", F.col("p")[0].alias("lon"), F.col("p")[1].alias("lat")), "lon", "lat")
+
+
+# A fan of triangles from node 0 over all suppliers, which stand on a circle around the date line.
+FAN_SQL = "node AS (SELECT s_suppkey AS k, 10 * sin(2 * pi() * s_suppkey / (SELECT count(*) FROM supplier)) AS lat, 180 + 10 * cos(2 * pi() * s_suppkey / (SELECT count(*) FROM supplier)) AS lon FROM supplier)"
+
+
+@REG.add("mesh_boundary", f"""WITH {FAN_SQL}, r AS (SELECT k, lat, lon FROM node UNION ALL SELECT (SELECT count(*) FROM node), lat, lon FROM node WHERE k = 0)
+    SELECT 'POLYGON ((' || string_agg(printf('%.6f', lon) || ' ' || printf('%.6f', round(lat, 9) + 0.0), ', ' ORDER BY k) || '))' AS wkt, count(*) - 1 AS n_nodes FROM r""")
+def mesh_boundary(spark, sf):
+    suppliers = table(spark, sf, "supplier")
+    n = suppliers.count()
+    k, turn = F.col("s_suppkey"), F.lit(2 * math.pi) * F.col("s_suppkey") / n
+    node = suppliers.select(F.lit("m").alias("location"), k.alias("node_id"), (F.round(10 * F.sin(turn), 9) + 0.0).alias("lat_node"), geo.normalize_longitude(180 + 10 * F.cos(turn)).alias("lon_node"))
+    fan = suppliers.where((k > 0) & (k < n - 1)).select(F.lit("m").alias("location"), k.alias("face_id"), F.posexplode(F.array(F.lit(0).cast("long"), k, k + 1)).alias("c", "node_id"))
+    return spatial.mesh_boundary(fan.select("location", "face_id", (F.col("c") + 1).alias("corner"), "node_id"), node, ["location"]).select("wkt", "n_nodes")
+
+
 STATES = ("Alaska", "Maine", "Oregon", "Florida")
 REGIONS = ("Alaska", "Atlantic Coast", "Gulf of Mexico", "Hawaii")
 

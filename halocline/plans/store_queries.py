@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from halocline.operators import spatial
 from halocline.plans.space_queries import CELLS_SQL, LINE_SQL, index
-from halocline.plans.tables import POINTS_SQL, SERIES_SQL, Registry, end_points, points, rounded, series
+from halocline.plans.tables import LAYERS_SQL, POINTS_SQL, SERIES_SQL, Registry, end_points, layers, points, rounded, series
 from halocline.sources import hits, readers, writers
 from halocline.sources.extract import Extraction
 from halocline.sources.shared import shared_dir
+from halocline.streaming import rollups
 
 REG = Registry()
 
@@ -87,3 +88,33 @@ def incremental_extraction(spark, sf):
     out.run(files.where(F.col("path").rlike("day=2024-01-0")), faces[:3])
     out.run(files, faces)
     return out.series().select("face_id", "time", "zeta")
+
+
+@REG.add("daily_archive", f"WITH {SERIES_SQL} SELECT CAST(time AS DATE) AS day, count(*) AS n, round(sum(CASE WHEN day(time) <= 15 THEN zeta ELSE zeta + 1 END), 6) AS total FROM series GROUP BY 1")
+def daily_archive(spark, sf):
+    """The first half of the days, then all with other values: days that are there stay as they are."""
+    s, path = series(spark, sf).select("face_id", "time", "zeta"), shared_dir(spark)
+    writers.write_daily(s.where("day(time) <= 15"), path)
+    writers.write_daily(s.withColumn("zeta", F.col("zeta") + 1), path)
+    return rounded(spark.read.parquet(path).groupBy(F.col("day").cast("date").alias("day")).agg(F.count("*").alias("n"), F.sum("zeta").alias("total")), "total")
+
+
+@REG.add("wide_export", f"""WITH {LAYERS_SQL}, g AS (SELECT face_id, sigma_layer, CASE WHEN (face_id + sigma_layer) % 7 > 0 THEN value END AS value FROM layers)
+    SELECT face_id, {", ".join(f"coalesce(max(value) FILTER (sigma_layer = {k}), -999) AS value_sigma_layer_{k + 1:02d}" for k in range(10))} FROM g GROUP BY face_id""")
+def wide_export(spark, sf):
+    """Two-digit columns, gaps as the fill value."""
+    gaps = layers(spark, sf).withColumn("value", F.when((F.col("face_id") + F.col("sigma_layer")) % 7 > 0, F.col("value")))
+    return writers.export_wide(gaps.select("face_id", "sigma_layer", "value"), ["face_id"], ["value"])
+
+
+@REG.add("streamed_monthly", f"WITH {SERIES_SQL} SELECT face_id, date_trunc('month', time)::TIMESTAMP AS month, count(zeta) AS n, round(avg(zeta), 9) AS mean, min(zeta) AS min, max(zeta) AS max FROM series GROUP BY 1, 2")
+def streamed_monthly(spark, sf):
+    """Events that arrive in two lots, each run of the stream going on from the last one's checkpoint."""
+    s = series(spark, sf).select("face_id", F.col("time").cast("timestamp").alias("time"), "zeta")
+    source, out, state = (shared_dir(spark) for _ in range(3))
+    for lot in ("day(time) % 2 = 0", "day(time) % 2 = 1"):
+        s.where(lot).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(s.schema).parquet(source)
+        rollups.upsert(rollups.monthly(stream, ["face_id"], "zeta", lateness="400 days"), out, state).awaitTermination()
+    rows = rollups.latest_updates(spark.read.parquet(out), ["face_id", "month"])
+    return rounded(rows.withColumn("month", F.col("month").cast("timestamp_ntz")), "mean", digits=9)

@@ -29,7 +29,7 @@ def test_flagship(spark):
 FIXED = {
     "area_edge_query": {"n"}, "area_query": {"n"}, "grid_index": {"n"}, "attribute_changes": {"attribute"}, "data_file_names": {"level", "version"}, "failed_manifest": {"upload_status"},
     "file_name_parts": {"dataset", "level"}, "filename_parse": {"temporal"}, "hotspots_greedy": {"spacing_m"}, "read_area_hits": {"variable"}, "read_line_hits": {"variable"},
-    "time_delta_check": {"n_duplicates"}, "version_disagreements": {"n_levels"},
+    "sigma_table": {"n_faces"}, "time_delta_check": {"n_duplicates"}, "version_disagreements": {"n_levels"},
 }
 
 

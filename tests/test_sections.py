@@ -68,3 +68,36 @@ def test_matrix_cells_and_shore(spark):
     assert sorted({r.face_id for r in ahead.collect()}) == [*range(0, 6), 60, 61]
     alone = sections.transect_matrix(faces.where("face_id = 2"), (0.0, 0.0), 90.0, 100.0, CORNERS, "d", "v").first()
     assert alone.to_km - alone.from_km == pytest.approx(1.0)
+
+
+def test_well_known_binary(spark, tmp_path):
+    import struct
+
+    from halocline.sources import writers
+
+    ring = [(0.0, 1.5), (2.0, 1.5), (2.0, 3.0), (0.0, 1.5)]
+    df = spark.createDataFrame([(1, [{"lon": x, "lat": y} for x, y in ring]), (2, None)], "id long, ring array<struct<lon: double, lat: double>>")
+    writers.write_wkb(df, "ring", str(tmp_path / "g"))
+    rows = {r.id: r.geometry for r in spark.read.parquet(str(tmp_path / "g")).collect()}
+    assert rows[2] is None and struct.unpack("<BIII8d", bytes(rows[1])) == (1, 3, 1, 4, *[v for p in ring for v in p])
+
+
+def test_faces_of_overlapping_squares_count_once(spark):
+    from halocline.operators import spatial
+
+    faces = spark.createDataFrame([(k, 0.0, 0.001 * k, float(k)) for k in range(10)], "face_id long, lat double, lon double, p double")
+    spots = spark.createDataFrame([(1, 0.0, 0.004), (2, 0.0, 0.007), (3, 60.0, 60.0), (4, None, 1.0)], "rank int, lat double, lon double")
+    side = 0.005 * 111_000  # two and a half thousandths to either side
+    both = {r.rank: r.n_faces for r in spatial.neighbourhoods(faces, spots, "p", side).collect()}
+    assert both == {1: 5, 2: 5}
+    once = {r["rank"]: (r.n_faces, r.max_value) for r in spatial.neighbourhoods(faces, spots, "p", side, exclusive=True).collect()}
+    assert once == {1: (5, 6.0), 2: (3, 9.0), None: (8, 9.0)}
+
+
+def test_polygons_within_the_tolerance_are_no_change(spark):
+    from halocline.operators import checks
+
+    old = "POLYGON ((1.0 2.0, 3.0 4.0, 1.0 2.0))"
+    rows = [(1, old, "POLYGON ((1.00005 2.0, 3.0 3.99999, 1.0 2.0))"), (2, old, "POLYGON ((1.1 2.0, 3.0 4.0, 1.0 2.0))"), (3, old, "POLYGON ((1.0 2.0, 3.0 4.0))"), (4, old, "none"), (5, old, None)]
+    side = lambda k: spark.createDataFrame([(r[0], {"geospatial_bounds": r[k], "title": "t"}) for r in rows], "id int, attrs map<string, string>")
+    assert sorted(r.id for r in checks.attribute_changes(side(1), side(2), ["id"], "attrs", []).collect()) == [2, 3, 4, 5]
