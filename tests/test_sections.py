@@ -101,3 +101,18 @@ def test_polygons_within_the_tolerance_are_no_change(spark):
     rows = [(1, old, "POLYGON ((1.00005 2.0, 3.0 3.99999, 1.0 2.0))"), (2, old, "POLYGON ((1.1 2.0, 3.0 4.0, 1.0 2.0))"), (3, old, "POLYGON ((1.0 2.0, 3.0 4.0))"), (4, old, "none"), (5, old, None)]
     side = lambda k: spark.createDataFrame([(r[0], {"geospatial_bounds": r[k], "title": "t"}) for r in rows], "id int, attrs map<string, string>")
     assert sorted(r.id for r in checks.attribute_changes(side(1), side(2), ["id"], "attrs", []).collect()) == [2, 3, 4, 5]
+
+
+def test_exact_percentiles_over_many_tasks(spark):
+    from halocline.operators import regions
+
+    rng = np.random.default_rng(2)
+    x = np.round(rng.normal(size=999), 1)
+    df = spark.createDataFrame([(float(v),) for v in x] + [(None,)], "x double").repartition(7)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert regions.exact_percentiles(df, "x", (0.0, 0.123, 0.5, 0.99, 1.0)) == pytest.approx(np.quantile(x, (0.0, 0.123, 0.5, 0.99, 1.0)).tolist())
+        assert regions.exact_percentiles(df.where("x IS NULL"), "x", (0.5,)) == [None]
+        assert regions.power_statistics(df.limit(0), "x").first().p95 is None
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
