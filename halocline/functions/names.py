@@ -73,6 +73,43 @@ def data_file_name(location: ColumnOrName, dataset: str, level: str, stamp: Colu
     return F.concat_ws(".", as_col(location), F.concat(F.lit(dataset), F.lit(f"-{temporal}")), F.lit(level), F.date_format(t, "yyyyMMdd"), F.date_format(t, "HHmmss"), F.lit(f"v{version}"), F.lit(ext))
 
 
+def level_file_name(location: ColumnOrName, dataset: str, level: str, stamp: ColumnOrName | None, qualifier: str | None = None, temporal: str | None = None, version: str | None = None, created: ColumnOrName | None = None, ext: str | None = "nc") -> Column:
+    """A data level's file: location, dataset with qualifier and resolution, level, date and time, version, time of creation.
+
+    What is None is left out; without ``stamp`` the name has no date and time.
+    """
+    parts = [as_col(location), F.lit("-".join(x for x in (dataset, qualifier, temporal) if x)), F.lit(level)]
+    parts += [F.date_format(as_col(stamp), "yyyyMMdd"), F.date_format(as_col(stamp), "HHmmss")] if stamp is not None else []
+    parts += [F.lit(f"v{version}")] if version else []
+    parts += [F.concat(F.lit("created="), F.date_format(as_col(created), "yyyyMMdd_HHmm"), F.lit("Z"))] if created is not None else []
+    return F.concat_ws(".", *parts, *([F.lit(ext)] if ext else []))
+
+
+def figure_file_name(location: ColumnOrName, dataset: str, level: str, stamp: ColumnOrName, title: ColumnOrName, qualifier: str | None = None, temporal: str | None = None, ext: str = "png") -> Column:
+    """A figure's file: as that of its data, without the time of day, with its title."""
+    return F.concat_ws(".", dated(location, dataset, level, stamp, qualifier, temporal), as_col(title), F.lit(ext))
+
+
+def original_file_name(location: ColumnOrName, dataset: str, stamp: ColumnOrName, original: ColumnOrName, qualifier: str | None = None, temporal: str | None = None) -> Column:
+    """An original file under the conventions: level 00, without the time of day, its own name behind ``raw``."""
+    return F.concat_ws(".", dated(location, dataset, "00", stamp, qualifier, temporal), F.lit("raw"), as_col(original))
+
+
+def dated(location: ColumnOrName, dataset: str, level: str, stamp: ColumnOrName, qualifier: str | None, temporal: str | None) -> Column:
+    return F.concat_ws(".", level_file_name(location, dataset, level, None, qualifier, temporal, ext=None), F.date_format(as_col(stamp), "yyyyMMdd"))
+
+
+#: Names in which a second date stands where the time of day belongs.
+DATE_FOR_TIME = r"^(.+\.b1_vap\.\d{8})\.((?:19|[2-9]\d)\d{6})\.(v[\d.]+\.nc)$"
+
+
+def repaired_file_name(name: ColumnOrName, first: ColumnOrName) -> Column:
+    """The name with the time of day of the file's first row where a second date stood; any other name as it is."""
+    n = as_col(name)
+    part = lambda i: F.regexp_extract(n, DATE_FOR_TIME, i)
+    return F.when(n.rlike(DATE_FOR_TIME), F.concat_ws(".", part(1), F.date_format(as_col(first), "HHmmss"), part(3))).otherwise(n)
+
+
 def parse_face_batch(name: ColumnOrName) -> Column:
     """struct(batch, first, last) of a face batch's file name, null otherwise."""
     pattern = r"batch_(\d+)_faces_(\d+)_(\d+)"

@@ -114,3 +114,30 @@ def face_batch_names(spark, sf):
     k = F.col("p_partkey")
     file = F.concat(F.lit("x.batch_"), k, F.lit("_faces_"), k * 5, F.lit("_"), k * 5 + 4, F.lit(".nc"))
     return table(spark, sf, "part").select("p_partkey", names.parse_face_batch(file).alias("b")).select("p_partkey", "b.*")
+
+
+STAMP_SQL = "(o_orderdate + INTERVAL 1 SECOND * (o_orderkey * 37 % 86400))"
+
+
+@REG.add("file_name_forms", f"""SELECT o_orderkey, o_orderstatus || '.hindcast-mean-1h.b2.' || strftime({STAMP_SQL}, '%Y%m%d.%H%M%S') || '.v1.0.0.created=' || strftime(o_orderdate, '%Y%m%d_%H%MZ') || '.nc' AS data_file,
+    o_orderstatus || '.hindcast.b4.' || strftime({STAMP_SQL}, '%Y%m%d') || '.speed.png' AS figure_file, o_orderstatus || '.hindcast-30m.00.' || strftime({STAMP_SQL}, '%Y%m%d') || '.raw.' || o_orderkey || '_0001.nc' AS original_file, o_orderstatus || '.hindcast.b3' AS static_file FROM orders""")
+def file_name_forms(spark, sf):
+    stamp = F.col("o_orderdate") + F.make_dt_interval(secs=F.col("o_orderkey") * 37 % 86400)
+    return table(spark, sf, "orders").select(
+        "o_orderkey",
+        names.level_file_name("o_orderstatus", "hindcast", "b2", stamp, "mean", "1h", "1.0.0", "o_orderdate").alias("data_file"),
+        names.figure_file_name("o_orderstatus", "hindcast", "b4", stamp, F.lit("speed")).alias("figure_file"),
+        names.original_file_name("o_orderstatus", "hindcast", stamp, F.concat(F.col("o_orderkey").cast("string"), F.lit("_0001.nc")), temporal="30m").alias("original_file"),
+        names.level_file_name("o_orderstatus", "hindcast", "b3", None, ext=None).alias("static_file"),
+    )
+
+
+@REG.add("repaired_names", f"""WITH n AS (SELECT o_orderkey, {STAMP_SQL} AS t, 'AK.tidal.b1_vap.' || strftime(o_orderdate, '%Y%m%d') || '.' AS head, '.v1.0.' || o_orderkey % 3 || '.nc' AS tail FROM orders)
+    SELECT o_orderkey, head || CASE WHEN o_orderkey % 3 = 1 THEN '00' ELSE '' END || strftime(t, '%H%M%S') || tail AS name FROM n""")
+def repaired_names(spark, sf):
+    """A third of the names with a date for the time of day, a third with eight digits that are none, a third right."""
+    k, stamp = F.col("o_orderkey"), F.col("o_orderdate") + F.make_dt_interval(secs=F.col("o_orderkey") * 37 % 86400)
+    clock = F.date_format(stamp, "HHmmss")
+    second = F.when(k % 3 == 0, F.date_format(stamp, "yyyyMMdd")).when(k % 3 == 1, F.concat(F.lit("00"), clock)).otherwise(clock)
+    name = F.concat(F.lit("AK.tidal.b1_vap."), F.date_format("o_orderdate", "yyyyMMdd"), F.lit("."), second, F.lit(".v1.0."), (k % 3).cast("string"), F.lit(".nc"))
+    return table(spark, sf, "orders").select("o_orderkey", names.repaired_file_name(name, stamp).alias("name"))
