@@ -41,7 +41,8 @@ def segments(lines: DataFrame, line: str = "line", label: str | None = None) ->
     last = F.greatest(F.size(line) - 1, F.lit(1))
     ends = lines.where(F.size(line) > 0).select((F.col(label).cast("string") if label else F.lit("")).alias("label"), F.explode(F.arrays_zip(F.slice(line, 1, last).alias("a"), F.slice(line, 2, last).alias("b"))).alias("s"))
     out = ends.select(F.col("s.a.lon").alias("x1"), F.col("s.a.lat").alias("y1"), F.coalesce("s.b.lon", "s.a.lon").alias("x2"), F.coalesce("s.b.lat", "s.a.lat").alias("y2"), "label")
-    return out.withColumn("x2", F.col("x1") + geo.normalize_longitude(F.col("x2") - F.col("x1"))).dropna(subset=["x1", "y1", "x2", "y2"])
+    out = out.withColumn("x2", F.col("x1") + geo.normalize_longitude(F.col("x2") - F.col("x1"))).dropna(subset=["x1", "y1", "x2", "y2"])
+    return out.distinct()  # lines that run together count once
 
 
 def crossed_cells(segs: DataFrame, size: float, columns: int) -> DataFrame:
@@ -90,7 +91,7 @@ def nearest_within(at: DataFrame, segs: DataFrame, radius_km: float) -> DataFram
         return nearest_hits(asked.withColumnsRenamed({"by": "fy", "bx": "fx"}), index, radius)
     block = lambda c: F.floor(F.col(c) / cuts).cast("int")
     occupied = index.select("fy", "fx").distinct().withColumn("by", block("fy")).withColumn("bx", block("fx"))
-    met = asked.join(occupied, ["by", "bx"]).drop("by", "bx")
+    met = asked.join(occupied.hint("merge"), ["by", "bx"]).drop("by", "bx")
     dy = F.abs((F.col("fy") + 0.5) * small - F.col("lat"))
     dx = F.abs(geo.normalize_longitude((F.col("fx") + 0.5) * small - 180 - F.col("lon")))
     far = F.hypot(dx + small / 2, dy + small / 2)
@@ -103,8 +104,11 @@ def nearest_within(at: DataFrame, segs: DataFrame, radius_km: float) -> DataFram
 
 
 def nearest_hits(cells: DataFrame, index: DataFrame, radius: float) -> DataFrame:
-    """The nearest point of the segments in each position's cells (fy, fx), within a radius in degrees."""
-    hits = cells.join(index, ["fy", "fx"]).select("lat", "lon", nearest_on_segment("lat", "lon").alias("hit"))
+    """The nearest point of the segments in each position's cells (fy, fx), within a radius in degrees.
+
+    The index grows out of few lines, whose size says nothing of its own, so it is never broadcast.
+    """
+    hits = cells.join(index.hint("merge"), ["fy", "fx"]).select("lat", "lon", nearest_on_segment("lat", "lon").alias("hit"))
     return hits.where(F.col("hit.degrees") <= radius).groupBy("lat", "lon").agg(F.min("hit").alias("hit"))
 
 
@@ -124,7 +128,7 @@ def distance_to_coast(points: DataFrame, lines: DataFrame, line: str = "line", r
     found: DataFrame | None = None
     open_ = points.select(F.col("lat").cast("double").alias("lat"), F.col("lon").cast("double").alias("lon")).dropna().distinct().checkpoint()
     for radius in radii_km:
-        state = open_.join(nearest_within(open_, segs, radius), ["lat", "lon"], "left").checkpoint()
+        state = open_.join(nearest_within(open_, segs, radius).hint("merge"), ["lat", "lon"], "left").checkpoint()
         hits, open_ = state.where("hit IS NOT NULL"), state.where("hit IS NULL").drop("hit")
         found = hits if found is None else found.unionByName(hits)
         if open_.isEmpty():

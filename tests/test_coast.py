@@ -75,6 +75,16 @@ def test_beyond_the_last_radius_is_an_error_when_strict(spark):
     assert [r.distance_to_shore for r in coast.distance_to_coast(faces, shore.limit(0)).collect()] == [None, None]
 
 
+def test_the_index_of_a_coast_is_never_broadcast(spark):
+    lines = spark.range(2).selectExpr("transform(sequence(0, 399), k -> named_struct('lon', k / 10D, 'lat', k / 20D)) AS line")
+    segs = coast.segments(lines)
+    at = spark.range(1).selectExpr("id + 1D AS lat", "id + 2D AS lon")
+    for radius in coast.RADII_KM:
+        plan = coast.nearest_within(at, segs, radius)._jdf.queryExecution().executedPlan().toString()
+        assert "Broadcast" not in plan and "SortMergeJoin" in plan
+    assert segs.count() == 399  # lines that run together count once
+
+
 def inside(point, ring):
     """Even-odd rule on an unwrapped ring, for every turn of the globe."""
     lat, lon = point
