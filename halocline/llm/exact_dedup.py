@@ -42,9 +42,10 @@ RUN_FILTER_BITS = 1 << 20
 
 #: Runs of one size class that are merged into one of the next.
 FANOUT = 4
-#: Parts in which a table of documents is flushed, by their ids' hash.  Each takes some more small jobs, whose plans stay in
-#: the driver's memory for a while; a stage within a longer program takes its documents in one.
-FLUSHES = 3
+#: Parts in which a table of documents is flushed, by their ids' hash: FANOUT of them are compacted, and one more is looked up
+#: in the run that came of it.  Each takes some more small jobs, whose plans stay in the driver's memory for a while; a stage
+#: within a longer program takes its documents in one.
+FLUSHES = FANOUT + 1
 
 RUN_SCHEMA = "digest binary, best long, n long"
 

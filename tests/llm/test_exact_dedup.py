@@ -123,3 +123,10 @@ def test_ingest_goes_through_runs_filters_and_lookups(spark):
     plan = index.lookup(hits)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join LeftSemi") == 3 and plan.count("scalar-subquery") >= 9
     assert {r.n for r in index.lookup(hits).join(digests.where("text = 't1'").select("digest").distinct(), "digest").collect()} == {3}
+
+
+def test_groups_come_from_a_compacted_index(spark):
+    rows = [(i, f"t{i % 70}") for i in range(100)]
+    path = shared_dir(spark)
+    assert got(exact_groups(spark.createDataFrame(rows, "doc_id long, text string"), path=path)) == plain(rows)
+    assert DigestIndex(spark, path).spans() == [(0, 3, 1), (4, 4, 0)]
