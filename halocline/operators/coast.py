@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -246,13 +247,54 @@ def clipped_rings(polygons: DataFrame, ring: str = "ring", size: float = 1.0) ->
     return polygons.select(*kept, ring).repartition(n, F.xxhash64(*kept, ring)).mapInArrow(run, schema)
 
 
+#: Most rows that one row of gathered() stands for.
+MOST_MEMBERS = 1_000
+
+
+def gathered(df: DataFrame, keys: list[str], into: str, most: int = MOST_MEMBERS) -> DataFrame:
+    """(keys, ``into``): the other columns of rows with equal keys as an array of structs, about ``most`` in each.
+
+    Keys with more rows are dealt over several arrays by a hash of the row.
+    """
+    crowded = df.groupBy(*[F.col(k).alias(f"{k}_") for k in keys]).agg(F.ceil(F.count("*") / most).alias("parts_")).where("parts_ > 1")
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"{k}_")) for k in keys])
+    dealt = df.withColumn("hash_", F.xxhash64(*df.columns)).join(crowded, same, "left").withColumn("part_", F.pmod("hash_", F.coalesce("parts_", F.lit(1))))
+    others = F.struct(*[c for c in df.columns if c not in keys])
+    return dealt.groupBy(*keys, "part_").agg(F.collect_list(others).alias(into)).drop("part_")
+
+
+def bounded(parts: DataFrame, ring: str) -> DataFrame:
+    """Rings with their bounds, ``low_`` and ``high_``, and whether they are a box, as those of cells inside a polygon."""
+    ends = lambda f: F.struct(*[f(F.transform(ring, lambda p: p[c])).alias(c) for c in ("lon", "lat")])  # noqa: B023, E731
+    out = parts.withColumn("low_", ends(F.array_min)).withColumn("high_", ends(F.array_max))
+    corners = F.forall(ring, lambda p: p["lon"].isin(F.col("low_.lon"), F.col("high_.lon")) & p["lat"].isin(F.col("low_.lat"), F.col("high_.lat")))
+    full = (F.col("high_.lon") - F.col("low_.lon")) * (F.col("high_.lat") - F.col("low_.lat"))
+    return out.withColumn("box_", (F.size(ring) == 4) & corners & (ring_area(ring) > 0.75 * full))
+
+
 def points_in_rings(points: DataFrame, polygons: DataFrame, ring: str = "ring", size: float = 1.0) -> DataFrame:
-    """(point, polygon) pairs where the point lies inside, by the part of the ring in the point's own cell."""
+    """(point, polygon) pairs where the point lies inside, by the part of the ring in the point's own cell.
+
+    Equal positions and equal rings are tested once; their rows stand in arrays, of which the pairs are made in the task
+    that has tested them.
+    """
     columns = round(360 / size)
     lon = geo.normalize_longitude("lon")
-    at = points.withColumn("cell_y", F.floor(F.col("lat") / size).cast("int")).withColumn("cell_x", F.pmod(F.floor((lon + 180) / size).cast("int"), F.lit(columns)))
-    met = at.join(clipped_rings(polygons, ring, size), ["cell_y", "cell_x"]).where(geo.point_in_ring("lat", lon, ring))
-    return met.drop("cell_y", "cell_x", ring)
+    own, kept = [c for c in points.columns if c not in ("lat", "lon")], [c for c in polygons.columns if c != ring]
+    places = gathered(points.dropna(subset=["lat", "lon"]), ["lat", "lon"], "points_") if own else points
+    at = places.withColumn("cell_y", F.floor(F.col("lat") / size).cast("int")).withColumn("cell_x", F.pmod(F.floor((lon + 180) / size).cast("int"), F.lit(columns)))
+    shapes = gathered(polygons, [ring], "polygons_") if kept else polygons
+    # the parts grow out of few rings, whose size says nothing of their own, so they are never broadcast
+    parts = bounded(clipped_rings(shapes, ring, size), ring)
+    met = at.withColumn("at_", lon).join(parts.hint("merge"), ["cell_y", "cell_x"])
+    met = met.where(F.col("lat").between(F.col("low_.lat"), F.col("high_.lat")) & F.col("at_").between(F.col("low_.lon"), F.col("high_.lon")))
+    inside = F.when(F.col("box_"), (F.col("lat") < F.col("high_.lat")) & (F.col("at_") < F.col("high_.lon"))).otherwise(geo.point_in_ring("lat", F.col("at_"), ring))
+    met = met.where(inside).drop("cell_y", "cell_x", ring, "at_", "low_", "high_", "box_")
+    if own:
+        met = met.withColumn("points_", F.explode("points_"))
+    if kept:
+        met = met.withColumn("polygons_", F.explode("polygons_"))
+    return met.select(*[F.col(c) if c in ("lat", "lon") else F.col(f"points_.{c}") for c in points.columns], *[F.col(f"polygons_.{c}") for c in kept])
 
 
 # ---------------------------------------------------------------- jurisdiction
@@ -271,30 +313,47 @@ def jurisdiction(found: DataFrame, keys: list[str], date_line: bool = False, two
     outside.  For the region on the date line (``date_line``) only the first three and outside, without exceptions.
     Two states at once are an error, or with ``two_states="join"`` a label of both.
     """
+    return labels(flags_of(found, keys), keys, date_line, two_states, sources)
+
+
+def flags_of(found: DataFrame, keys: list[str]) -> DataFrame:
+    """What counts of the boundaries that contain a point; with ``copies_`` a row of ``found`` stands for so many boundaries."""
     text = lambda c: F.col(c) if c in found.columns else F.lit(None).cast("string")
-    flag = lambda c: F.coalesce(F.max(F.col(c) > 0), F.lit(False))
-    flags = found.groupBy(*keys).agg(
-        F.array_sort(F.collect_set(F.when(F.col("source") == "state", F.col("stateName")))).alias("states"),
-        flag("TS").alias("in_ts"),
-        flag("EEZ").alias("in_eez"),
-        F.collect_set(text("REGION")).alias("regions"),
-        F.collect_list(F.when(F.col("source") == "czma", text("CZMADomain"))).alias("domains"),
+    flag = lambda c: F.coalesce(F.max(c), F.lit(False))
+    region = lambda *names: reduce(Column.__or__, [text("REGION").contains(n) for n in names])
+    area = F.when(F.col("source") == "czma", text("CZMADomain"))
+    copies = F.col("copies_") if "copies_" in found.columns else F.lit(1).cast("long")
+    # states first: what is left of a point are a few rows of plain columns, which tasks can sum up before any shuffle
+    by_state = found.groupBy(*keys, F.when(F.col("source") == "state", F.col("stateName")).alias("state")).agg(
+        F.max(F.col("TS") > 0).alias("in_ts"),
+        F.max(F.col("EEZ") > 0).alias("in_eez"),
+        F.max(region("Atlantic Coast", "Pacific Coast")).alias("coast"),
+        F.max(text("REGION") == "Alaska").alias("alaska"),
+        F.sum(F.when(area.isNotNull(), copies)).alias("areas"),
+        F.max(area == RULE).alias("ruled"),
+        F.max(area.contains(RULE)).alias("like_rule"),
     )
+    return by_state.groupBy(*keys).agg(F.array_sort(F.collect_set("state")).alias("states"), *[flag(c).alias(c) for c in FLAGS], F.coalesce(F.sum("areas"), F.lit(0)).alias("areas"))
+
+
+FLAGS = ("in_ts", "in_eez", "coast", "alaska", "ruled", "like_rule")
+
+
+def labels(flags: DataFrame, keys: list[str], date_line: bool, two_states: str, sources: dict[str, str]) -> DataFrame:
     states = F.array_join("states", "/")
     if two_states == "error":
         states = F.when(F.size("states") > 1, F.raise_error(F.concat(F.lit("a point lies in more than one state: "), states)).cast("string")).otherwise(states)
     label = lambda what, source: F.struct((F.lit(what) if isinstance(what, str) else what).alias("jurisdiction"), F.lit(sources.get(source, source)).alias("jurisdiction_source"))
     outside, eez = label(OUTSIDE, "none"), label(EEZ, "eez")
-    coast = F.exists("regions", lambda r: r.contains("Atlantic Coast") | r.contains("Pacific Coast"))
-    consistent = F.array_contains("domains", RULE) | ((F.size("domains") == 1) & F.get("domains", F.lit(0)).contains(RULE))
+    consistent = F.col("ruled") | ((F.col("areas") == 1) & F.col("like_rule"))
     at_sea = label("territorial sea", "territorial sea")
     picked = F.when(F.size("states") > 0, label(F.concat(states, F.lit(" state waters")), "state"))
     if date_line:
         picked = picked.when(F.col("in_ts"), at_sea).when(F.col("in_eez"), eez).otherwise(outside)
     else:
-        picked = picked.when(F.col("in_ts"), F.when(coast, outside).otherwise(at_sea)).when(F.col("in_eez"), eez)
-        picked = picked.when(F.size("domains") > 0, F.when(consistent, label(EEZ, "czma")).otherwise(label(NOT_FOUND, NOT_FOUND)))
-        picked = picked.when(F.array_contains("regions", "Alaska"), eez).otherwise(outside)
+        picked = picked.when(F.col("in_ts"), F.when(F.col("coast"), outside).otherwise(at_sea)).when(F.col("in_eez"), eez)
+        picked = picked.when(F.col("areas") > 0, F.when(consistent, label(EEZ, "czma")).otherwise(label(NOT_FOUND, NOT_FOUND)))
+        picked = picked.when(F.col("alaska"), eez).otherwise(outside)
     return flags.select(*keys, picked.alias("p")).select(*keys, "p.jurisdiction", "p.jurisdiction_source")
 
 
@@ -303,8 +362,14 @@ def label_points(points: DataFrame, boundaries: DataFrame, keys: list[str], ring
 
     Rings may lie across the date line: they are unwrapped and cut to cells, so points on both sides of it are labelled.
     """
-    met = points_in_rings(points.select(*keys, "lat", "lon"), boundaries, ring, size).drop("lat", "lon")
-    return jurisdiction(points.select(*keys).join(met, keys, "left"), keys, **settings)
+    asked = points.select(*keys, "lat", "lon").distinct()
+    alike = boundaries.groupBy(*boundaries.columns).agg(F.count("*").alias("copies_"))
+    met = points_in_rings(asked.select("lat", "lon").dropna().distinct(), alike, ring, size)
+    found = flags_of(met, ["lat", "lon"])
+    at = asked.join(found.withColumnsRenamed({"lat": "lat_", "lon": "lon_"}).hint("merge"), (F.col("lat") == F.col("lat_")) & (F.col("lon") == F.col("lon_")), "left")
+    # a key with several positions lies in all that they lie in
+    flags = at.groupBy(*keys).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("states")))).alias("states"), *[F.coalesce(F.max(c), F.lit(False)).alias(c) for c in FLAGS], F.coalesce(F.sum("areas"), F.lit(0)).alias("areas"))
+    return labels(flags, keys, **{"date_line": False, "two_states": "error", "sources": SOURCES} | settings)
 
 
 # ---------------------------------------------------------------- time zones

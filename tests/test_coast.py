@@ -174,3 +174,22 @@ def test_time_zones(spark):
         5: ("Asia/Kolkata", 5), 6: ("Asia/Kolkata", 5), 7: ("Etc/GMT", 0), 8: ("Etc/GMT", 0),
     }
     assert len(rows) == 9 and {r.utc_offset_hours for r in coast.time_zones(points.where("face_id = 3"), zones).collect()} == {13}
+
+
+def test_equal_positions_and_rings_are_tested_once(spark, monkeypatch):
+    monkeypatch.setattr(coast.gathered, "__defaults__", (3,))
+    ring = "array(named_struct('lon', 0D, 'lat', 0D), named_struct('lon', 4D, 'lat', 0D), named_struct('lon', 4D, 'lat', 4D))"
+    faces = spark.range(20).selectExpr("id AS face_id", "IF(id < 18, 1D, 50D) AS lat", "IF(id = 0, CAST(null AS DOUBLE), 2D) AS lon")
+    rings = spark.range(7).selectExpr("id AS k", f"{ring} AS ring")
+    met = coast.points_in_rings(faces, rings)
+    assert met.columns == ["face_id", "lat", "lon", "k"]
+    assert sorted((r.face_id, r.k) for r in met.collect()) == [(f, k) for f in range(1, 18) for k in range(7)]
+    joined = [n for n in met._jdf.queryExecution().executedPlan().toString().split("\n") if "Join" in n]
+    assert joined and not any("cell_y" in n and "Broadcast" in n for n in joined)
+    # 18 faces in arrays of 3 and 7 rings in arrays of 3, more or less: far fewer rows than pairs
+    assert 2 <= coast.gathered(rings, ["ring"], "m").count() <= 3
+    areas = spark.range(2).selectExpr("'czma' AS source", "CAST(null AS STRING) AS stateName", "0 AS TS", "0 AS EEZ", "CAST(null AS STRING) AS REGION", "'partly federal consistency' AS CZMADomain", f"{ring} AS ring")
+    label = lambda rows: {r.jurisdiction for r in coast.label_points(faces.where("face_id IN (2, 3)"), rows, ["face_id"]).collect()}
+    assert (label(areas), label(areas.limit(1))) == ({coast.NOT_FOUND}, {coast.EEZ})  # equal areas still count as two
+    plan = coast.label_points(faces, areas, ["face_id"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" in plan and plan.count("copies_") > 1
