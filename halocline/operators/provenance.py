@@ -16,7 +16,7 @@ def ancestors(inputs: DataFrame, most_steps: int = MOST_STEPS) -> DataFrame:
     itself is its own ancestor.  Rows with a null on either side are left out; repeated rows count once.
     """
     direct = inputs.select("file", F.col("input").alias("ancestor")).dropna().distinct().checkpoint()
-    known = direct.withColumn("steps", F.lit(1)).checkpoint()
+    known = direct.withColumn("steps", F.lit(1))
     new = known
     for step in range(2, most_steps + 2):
         further = new.select("file", F.col("ancestor").alias("file_")).join(direct.withColumnRenamed("file", "file_"), "file_").select("file", "ancestor").distinct()
@@ -25,7 +25,7 @@ def ancestors(inputs: DataFrame, most_steps: int = MOST_STEPS) -> DataFrame:
             return known
         if step > most_steps:
             break
-        known = known.unionByName(new).checkpoint()
+        known = known.unionByName(new)  # each part is written once, in its round
     raise ValueError(f"chains of inputs of more than {most_steps} steps")
 
 
@@ -38,10 +38,11 @@ def input_history(inputs: DataFrame, files: DataFrame, most_steps: int = MOST_ST
     behind = ancestors(inputs, most_steps)
     known = files.select(F.col("file").alias("ancestor"), "level", "hash")
     named = behind.join(known, "ancestor", "left").withColumn("level", F.coalesce("level", F.lit("unknown")))
-    name = F.element_at(F.split("ancestor", "/"), -1)
-    entry = F.struct(F.col("ancestor").alias("path"), name.alias("filename"), F.struct(F.lit("SHA-256").alias("algorithm"), F.col("hash").alias("value")).alias("hash"))
-    levels = named.groupBy("file", "level").agg(F.array_sort(F.collect_set(entry)).alias("files"))
-    nested = levels.groupBy("file").agg(F.array_sort(F.collect_list(F.struct("level", "files"))).alias("history"))
+    # one shuffle by file serves both groupings; names of files are made of their paths behind it
+    entry = F.struct(F.col("ancestor").alias("path"), F.col("hash"))
+    levels = named.select("file", "level", entry.alias("entry")).repartition("file").groupBy("file", "level").agg(F.array_sort(F.collect_set("entry")).alias("files"))
+    whole = lambda f: F.struct(f["path"].alias("path"), F.element_at(F.split(f["path"], "/"), -1).alias("filename"), F.struct(F.lit("SHA-256").alias("algorithm"), f["hash"].alias("value")).alias("hash"))
+    nested = levels.groupBy("file").agg(F.array_sort(F.collect_list(F.struct("level", F.transform("files", whole).alias("files")))).alias("history"))
     return files.select("file").join(nested, "file", "left").withColumn("history", F.coalesce("history", F.array().cast(nested.schema["history"].dataType)))
 
 

@@ -86,3 +86,12 @@ def test_bounds_over_the_date_line(spark):
     assert (plain["geospatial_lon_min"], plain["geospatial_lon_max"], plain["geospatial_vertical_max"]) == (-10.0, 20.0, 0.5)
     assert attributes.bounds(facts(spark).limit(0)) == {}
     assert set(attributes.for_parts(west)) == {"geospatial_lat_units", "geospatial_lon_units", "time_coverage_start", "time_coverage_end", "time_coverage_duration_s", "time_coverage_resolution_s"}
+
+
+def test_a_history_is_shuffled_by_file_only(spark):
+    inputs = spark.createDataFrame([("a1/x.nc", "00/y.nc")], "file string, input string")
+    files = spark.createDataFrame([("a1/x.nc", "a1", "h1"), ("00/y.nc", "00", "h0")], "file string, level string, hash string")
+    history = provenance.input_history(inputs, files)
+    plan = history._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(file#" in plan and not any("hashpartitioning(file#" in n and "level#" in n.split("]")[0] for n in plan.split("\n") if "Exchange" in n)
+    assert {r.file: [h.files[0].filename for h in r.history] for r in history.collect()} == {"a1/x.nc": ["y.nc"], "00/y.nc": []}
