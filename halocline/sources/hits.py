@@ -1,8 +1,8 @@
 """From what a search has hit to the files that hold it: only the hit cells' folders are read.
 
-The point layout has a folder for each 0.01-degree cell.  The cells of a search's hits are told to Spark before it lists
-anything, so neither other folders' names nor their files are touched; inside a file, which is sorted by face and time,
-the faces and the time window skip row groups.
+The point layout has a folder for each 0.01-degree cell, or for the first of its keys only.  The folders of a search's
+hits are told to Spark before it lists anything, so neither other folders' names nor their files are touched; inside a
+file, which is sorted by the other keys, face and time, the cells, the faces and the time window skip row groups.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from halocline.functions import names
-from halocline.sources.shared import exists
+from halocline.sources.shared import exists, first_folder
 
 KEYS = ("lat_deg", "lon_deg", "lat_dec", "lon_dec")
 KEY_SCHEMA = T.StructType([T.StructField(k, T.StringType() if "dec" in k else T.IntegerType()) for k in KEYS])
@@ -31,8 +31,27 @@ def hit_cells(hits: DataFrame) -> DataFrame:
     return hits.select(names.degree_key("lat").alias("lat_deg"), names.degree_key("lon").alias("lon_deg"), names.decimal_key("lat").alias("lat_dec"), names.decimal_key("lon").alias("lon_dec")).distinct()
 
 
-def cell_folder(row: T.Row) -> str:
-    return "/".join(f"{k}={row[k]}" for k in KEYS)
+def folder_keys(spark: SparkSession, path: str) -> tuple[str, ...]:
+    """The first of KEYS, those that a point store has folders for; looks into one folder of each level."""
+    keys, at = [], path
+    for k in KEYS:
+        at = first_folder(spark, at, f"{k}=")
+        if at is None:
+            break
+        keys.append(k)
+    return tuple(keys)
+
+
+def cell_folder(row: T.Row, keys: tuple[str, ...] = KEYS) -> str:
+    return "/".join(f"{k}={row[k]}" for k in keys)
+
+
+def in_cells(rows: DataFrame, cells: list[T.Row], keys: tuple[str, ...]) -> DataFrame:
+    """Rows of these cells out of the folders by ``keys``: each further key alone reaches the files' statistics, then all count together."""
+    further = KEYS[len(keys) :]
+    for k in further:
+        rows = rows.where(F.col(k).isin(sorted({r[k] for r in cells})))
+    return rows.where(F.concat_ws("_", *KEYS).isin(["_".join(str(r[k]) for k in KEYS) for r in cells])) if further else rows
 
 
 def store_schema(spark: SparkSession, path: str) -> T.StructType:
@@ -54,11 +73,11 @@ def read_hits(spark: SparkSession, path: str, hits: DataFrame, start: str | None
     by_face = "face_id" in hits.columns
     faces = hits.select("face_id").where("face_id IS NOT NULL").distinct() if by_face else None
     if len(few) <= most_cells:
-        folders = [f"{path}/{cell_folder(r)}" for r in few if None not in r]
-        folders = [f for f in folders if exists(spark, f)]
+        named, keys = [r for r in few if None not in r], folder_keys(spark, path)
+        folders = [f for f in {f"{path}/{cell_folder(r, keys)}" for r in named} if exists(spark, f)]
         if not folders:
             return windowed(spark.createDataFrame([], schema), start, end, time)
-        rows = spark.read.schema(schema).option("basePath", path).parquet(*sorted(folders))
+        rows = in_cells(spark.read.schema(schema).option("basePath", path).parquet(*sorted(folders)), named, keys)
     else:
         rows = spark.read.schema(schema).option("basePath", path).parquet(path).join(cells, list(KEYS), "left_semi")
     rows = windowed(rows, start, end, time)

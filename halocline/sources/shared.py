@@ -26,6 +26,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return store.exists(at)
 
 
+def first_folder(spark: SparkSession, path: str, prefix: str) -> str | None:
+    """One of the folders in a folder whose names begin with ``prefix``."""
+    store, at = hadoop_path(spark, f"{path}/{prefix}*")
+    return next((f"{path}/{f.getPath().getName()}" for f in store.globStatus(at) or []), None)
+
+
 def finished(spark: SparkSession, path: str) -> list[str]:
     """Names of the tables in a folder that were written to their end, in order."""
     store, at = hadoop_path(spark, f"{path}/*/_SUCCESS")

@@ -7,6 +7,7 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
+from halocline.plans import store_queries
 from halocline.sources import extract, hits, manifest, publish, readers, tracking, writers
 
 T0 = dt.datetime(2024, 1, 1)
@@ -56,6 +57,26 @@ def test_many_cells_are_joined(spark, store):
     assert hits.read_hits(spark, store, every.where("face_id > 5"), most_cells=3).count() == 120
 
 
+def test_files_of_the_queries_store_do_not_grow_with_cells(spark):
+    path = store_queries.store(spark, "/root/testdata/sf0.01")
+    rows = spark.read.parquet(path)
+    files = len(rows.inputFiles())
+    degrees, cells = rows.select("lat_deg").distinct().count(), rows.select(*hits.KEYS).distinct().count()
+    assert hits.folder_keys(spark, path) == ("lat_deg",) and files <= degrees + 4 < cells
+
+
+@pytest.mark.parametrize("folders", range(5))
+def test_any_depth_of_folders_has_the_same_hits(spark, tmp_path, folders):
+    path = str(tmp_path / "points")
+    writers.write_points(facts(spark), path, folders=folders)
+    assert hits.folder_keys(spark, path) == hits.KEYS[:folders]
+    near = facts(spark).where("face_id IN (3, 4, 11)").select("face_id", "lat", "lon")
+    got = hits.read_hits(spark, path, near, "2024-01-01 03:00:00", "2024-01-01 05:00:00").select("face_id", "time", "zeta", *hits.KEYS)
+    assert sorted(r.zeta for r in got.collect()) == [float(f * 100 + k) for f in (3, 4, 11) for k in (3, 4, 5)]
+    assert {(r.lat_deg, r.lon_deg, r.lat_dec, r.lon_dec) for r in got.collect()} == {(10, 0, "03", "01"), (10, 0, "05", "00"), (10, 0, "14", "09")}
+    assert hits.read_hits(spark, path, near, most_cells=1).count() == 60
+
+
 def test_describe(spark):
     df = spark.createDataFrame([(1, float(x), None if x == 3 else 2.0 * x) for x in range(1, 8)] + [(2, float("nan"), 5.0)], "face_id long, a double, b double")
     rows = {(r.face_id, r.variable): r for r in hits.describe_series(df, ["face_id"], ["a", "b"]).collect()}
