@@ -57,6 +57,16 @@ def test_many_cells_are_joined(spark, store):
     assert hits.read_hits(spark, store, every.where("face_id > 5"), most_cells=3).count() == 120
 
 
+@pytest.fixture(scope="module")
+def coarse(spark, tmp_path_factory):
+    """The same rows in a folder for each degree of latitude, and a face 3 that has been in a second cell of it."""
+    path = str(tmp_path_factory.mktemp("degrees"))
+    moved = facts(spark, faces=4, steps=1).where("face_id = 3").withColumns({"lat": F.lit(10.5), "lon": F.lit(-0.5), "zeta": F.lit(-1.0)})
+    south = facts(spark, faces=2, steps=1).withColumns({"face_id": F.col("face_id") + 100, "lat": -F.col("lat") - 20})
+    writers.write_points(facts(spark).unionByName(moved).unionByName(south), path, folders=1)
+    return path
+
+
 def test_files_of_the_queries_store_do_not_grow_with_cells(spark):
     path = store_queries.store(spark, "/root/testdata/sf0.01")
     rows = spark.read.parquet(path)
@@ -77,6 +87,26 @@ def test_any_depth_of_folders_has_the_same_hits(spark, tmp_path, folders):
     assert hits.read_hits(spark, path, near, most_cells=1).count() == 60
 
 
+def test_few_folders_keep_cells_apart(spark, coarse):
+    assert sorted(os.listdir(coarse))[-2:] == ["lat_deg=-30", "lat_deg=10"] and hits.folder_keys(spark, coarse) == ("lat_deg",)
+    near = facts(spark).where("face_id = 3").select("face_id", "lat", "lon")
+    got = hits.read_hits(spark, coarse, near)
+    assert got.count() == 20 and got.where("zeta < 0").count() == 0  # not the face's row in another cell of the folder
+    assert {f.split("/")[-2] for f in got.inputFiles()} == {"lat_deg=10"}
+    cells = spark.createDataFrame([("10_0_50_50",), ("-30_0_00_05",), ("50_3_00_00",), ("10_0_99_99",)], "grid_id string")
+    assert sorted((r.face_id, r.zeta) for r in hits.read_hits(spark, coarse, cells).collect()) == [(3, -1.0), (100, 0.0)]
+    nowhere = spark.createDataFrame([(1, -60.0, 100.0), (2, None, None)], "face_id long, lat double, lon double")
+    assert hits.read_hits(spark, coarse, nowhere).count() == 0
+
+
+def test_statistics_skip_other_cells_in_a_folder(spark, coarse):
+    cells = spark.createDataFrame([("10_0_03_01",)], "grid_id string")
+    spark.conf.set("spark.sql.maxMetadataStringLength", 2000)
+    plan = hits.read_hits(spark, coarse, cells)._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "EqualTo(lon_dec,01)" in plan and "EqualTo(lat_dec,03)" in plan and "EqualTo(lon_deg,0)" in plan
+
+
 def test_describe(spark):
     df = spark.createDataFrame([(1, float(x), None if x == 3 else 2.0 * x) for x in range(1, 8)] + [(2, float("nan"), 5.0)], "face_id long, a double, b double")
     rows = {(r.face_id, r.variable): r for r in hits.describe_series(df, ["face_id"], ["a", "b"]).collect()}
