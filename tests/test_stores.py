@@ -7,6 +7,8 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
+from halocline.functions import names
+from halocline.operators import spatial
 from halocline.plans import store_queries
 from halocline.sources import extract, hits, manifest, publish, readers, tracking, writers
 
@@ -107,6 +109,23 @@ def test_statistics_skip_other_cells_in_a_folder(spark, coarse):
     assert "EqualTo(lon_dec,01)" in plan and "EqualTo(lat_dec,03)" in plan and "EqualTo(lon_deg,0)" in plan
 
 
+def test_cells_along_a_line_are_joined_in_few_folders(spark, coarse):
+    index = spatial.grid_index(spatial.grid_points(facts(spark).select("face_id", "lat", "lon").distinct()))
+    found = spatial.along_line(index, (10.0, -0.05), (10.15, 0.1), 0.02)
+    named, joined = (hits.read_hits(spark, coarse, found, most_cells=n) for n in (2_000, 3))
+    assert sorted(r.zeta for r in named.collect()) == sorted(r.zeta for r in joined.collect()) and joined.count() == 240
+
+
+def test_decimal_keys_are_padded_without_a_formatter(spark):
+    rows = spark.createDataFrame([(0.0,), (-0.004,), (12.05,), (-152.789,), (179.99,), (None,), (float("nan"),)], "x double")
+    for n in (1, 2, 4):
+        key = names.decimal_key("x", n)
+        plain = F.format_string(f"%0{n}d", F.floor((F.abs("x") - F.floor(F.abs("x"))) * 10**n).cast("long"))
+        got = rows.select(key.alias("k"), plain.alias("p"))
+        assert all(r.k == r.p for r in got.collect())
+        assert "format_string" not in rows.select(key)._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_describe(spark):
     df = spark.createDataFrame([(1, float(x), None if x == 3 else 2.0 * x) for x in range(1, 8)] + [(2, float("nan"), 5.0)], "face_id long, a double, b double")
     rows = {(r.face_id, r.variable): r for r in hits.describe_series(df, ["face_id"], ["a", "b"]).collect()}
