@@ -95,3 +95,26 @@ def test_a_history_is_shuffled_by_file_only(spark):
     plan = history._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(file#" in plan and not any("hashpartitioning(file#" in n and "level#" in n.split("]")[0] for n in plan.split("\n") if "Exchange" in n)
     assert {r.file: [h.files[0].filename for h in r.history] for r in history.collect()} == {"a1/x.nc": ["y.nc"], "00/y.nc": []}
+
+
+def test_a_history_sends_each_hash_once_as_bytes(spark):
+    """Names in files twice, hashes that are no lower-case hex, cycles, and files behind others by chains of two lengths."""
+    inputs = links(spark, ("c/3", "b/2"), ("c/3", "a/1"), ("b/2", "a/1"), ("b/2", "a/0"), ("b/2", "a/0"), ("p/1", "q/1"), ("q/1", "p/1"), ("gone/1", "a/1"), ("b/2", None))
+    hashes = {"c/3": "0A", "b/2": "abc", "a/1": "00ff", "a/0": "", "p/1": "zz", "q/1": "12"}
+    files = spark.createDataFrame([(f, f[0], h) for f, h in hashes.items()] + [("a/1", "a", "00fe"), ("c/3", "c", "0A"), (None, "z", "1")], "file string, level string, hash string")
+    history = provenance.input_history(inputs, files)
+    got = sorted((r.file or "", [(h.level, [(f.path, f.hash.value) for f in h.files]) for h in r.history]) for r in history.collect())
+    first = ("a", [("a/0", ""), ("a/1", "00fe"), ("a/1", "00ff")])
+    third = ("c/3", [first, ("b", [("b/2", "abc")])])
+    ring = [("p", [("p/1", "zz")]), ("q", [("q/1", "12")])]
+    assert got == [("", []), ("a/0", []), ("a/1", []), ("a/1", []), ("b/2", [first]), third, third, ("p/1", ring), ("q/1", ring)]
+    plan = history._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning(file#" in plan and "unhex" in plan
+
+
+def test_a_history_of_too_many_steps(spark):
+    chain = links(spark, *[(f"f{k}", f"f{k - 1}") for k in range(1, 6)])
+    files = spark.createDataFrame([(f"f{k}", "f", "00") for k in range(6)], "file string, level string, hash string")
+    assert {r.file: len(r.history[0].files) if r.history else 0 for r in provenance.input_history(chain, files, 5).collect()} == {f"f{k}": k for k in range(6)}
+    with pytest.raises(ValueError, match="more than 4 steps"):
+        provenance.input_history(chain, files, 4)
