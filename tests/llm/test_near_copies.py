@@ -86,3 +86,46 @@ def test_differences_to_a_hub_tell_all_links():
     # one link for each other group is enough
     a, b = differing(slice(0, len(sets)), at, np.concatenate(differ).view(np.int64), n, np.arange(len(sets)) // 30, every, every)
     assert all(i // 30 != j // 30 for i, j in zip(a, b, strict=True)) and len(set(zip(a.tolist(), (b // 30).tolist(), strict=True))) == len(a)
+
+
+def test_a_crowded_band_loses_no_link(spark, monkeypatch):
+    """All texts share their only key and a passage, so no second key can find what links in their band."""
+    import numpy as np
+
+    monkeypatch.setattr("halocline.llm.near_copies.bands", lambda least: np.array([7], np.uint64))
+    rnd = random.Random(9)
+    passage = " ".join(f"p{k}" for k in range(40))
+    rows = []
+    for k in range(30):
+        a, b = copies(rnd, 200, (3, 4, 5, 6, 12)[k % 5])
+        rows += [(2 * k, f"{passage} {a}", "a"), (2 * k + 1, f"{passage} {b}", "b")]
+    rows += [(60, passage, ""), (61, passage + " one more", ""), (62, "a b", ""), (63, "a b c", "")]
+    texts = {d: t for d, t, _ in rows}
+    linked = {d for d in texts if d % 2 and similar(texts[d], texts[d - 1])}
+    assert 10 < len(linked) < 31
+    df = spark.createDataFrame(rows, SCHEMA)
+    for name, limit in {"CROWD": 3, "MEET": 4, "ASK": 3}.items():
+        monkeypatch.setattr(f"halocline.llm.near_copies.{name}", limit)
+    assert {r.doc_id for r in keep_one(df).collect()} == set(texts) - linked
+
+
+def test_who_asks_meets_each_member_once(spark):
+    from pyspark.sql import functions as F
+
+    from halocline.llm import near_copies
+
+    ends = "struct<first_: long, key_: long>"
+    rows = spark.range(50).select(F.lit(1).cast("long").alias("band"), F.struct(F.col("id").alias("first_"), F.col("id").alias("key_")).cast(ends).alias("node_"), F.struct(F.col("id").alias("first_"), F.col("id").alias("key_")).cast(ends).alias("root"))
+    bands_ = spark.range(1).select(F.lit(1).cast("long").alias("band"), F.lit(50).cast("long").alias("size"), F.lit(17).cast("long").alias("askers"))
+    old = near_copies.MEET, near_copies.ASK
+    near_copies.MEET, near_copies.ASK = 7, 5
+    try:
+        got = near_copies.pieces_of(rows, bands_, F.col("node_.first_") % 3 == 0).collect()
+    finally:
+        near_copies.MEET, near_copies.ASK = old
+    pieces = {}
+    for r in got:
+        pieces.setdefault(r.piece, []).append(r)
+    pairs = [(a.node_.first_, b.node_.first_) for piece in pieces.values() for a in piece if a.asks for b in piece if b.member]
+    assert sorted(pairs) == [(a, b) for a in range(0, 50, 3) for b in range(50)]
+    assert max(sum(r.asks for r in piece) for piece in pieces.values()) < 17
